@@ -1,4 +1,4 @@
-"""Scaling, K-Means, assignment, silhouette, summary and labels of clusters."""
+"""Scaling, assignment, silhouette, summary and labels of clusters."""
 
 from __future__ import annotations
 
@@ -8,14 +8,14 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions import round_mean
 from tablewright.operators.ordering import stable_sample
+from tablewright.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 Point = Sequence[float]
 
@@ -51,44 +51,6 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> Scaler:
     )
 
 
-@dataclass(frozen=True)
-class Clustering:
-    """Centres of the best start and its cost (sum of squared distances)."""
-
-    centers: tuple[tuple[float, ...], ...]
-    cost: float
-    costs: tuple[float, ...]
-
-
-def fit_kmeans(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 42,
-               starts: int = 10, max_iter: int = 300, tolerance: float = 1e-4) -> Clustering:
-    """K-Means from several starts; the start with the lowest cost wins.
-
-    Only the feature vectors are kept, in memory and then on local disk, for the passes of
-    all starts; a lost block is read again from ``df``. ``tolerance`` bounds the sum of the
-    squared moves of all centres, so each may move by at most its share.
-    """
-    vectors = (
-        VectorAssembler(inputCols=list(features), outputCol="features")
-        .transform(df.select(*features))
-        .select("features")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        fits = []
-        for start in range(starts):
-            model = KMeans(
-                k=k, seed=seed + start, maxIter=max_iter, tol=(tolerance / k) ** 0.5
-            ).fit(vectors)
-            fits.append((model.summary.trainingCost, model.clusterCenters()))
-    finally:
-        vectors.unpersist()
-    cost, centers = min(fits, key=lambda fit: fit[0])
-    return Clustering(
-        tuple(tuple(float(x) for x in c) for c in centers), cost, tuple(f[0] for f in fits)
-    )
-
-
 def nearest_center(features: Sequence[str | Column], centers: Sequence[Point]) -> Column:
     """Number of the closest centre; the lower number wins a tie."""
     values = [F.col(f) if isinstance(f, str) else f for f in features]

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablewright.operators import cluster as clusters
 from tablewright.operators.clean import require_values
+from tablewright.operators.kmeans import fit_kmeans
 from tablewright.operators.ids import slice_of, surrogate_id
 from tablewright.operators.ordering import top_k
 from tablewright.operators.quality import key_violations, profile, row_counts, same_rows
@@ -172,7 +173,7 @@ def cluster(spark: SparkSession, layout: Layout, k: int = 4, starts: int = 10,
     rows = require_values(raw, features, ["id", *games.CLUSTER_COLUMNS])
     scaler = clusters.fit_scaler(rows, features)
     scaled = [f"{c}_z" for c in features]
-    fit = clusters.fit_kmeans(scaler.transform(rows).select(*scaled), scaled, k, seed, starts)
+    fit = fit_kmeans(scaler.transform(rows).select(*scaled), scaled, k, seed, starts)
     assigned = materialise(
         clusters.assign_clusters(rows, [scaler.scaled(c) for c in features], fit.centers),
         "clustered",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: tempfile.TemporaryDirectory | None = None
@@ -31,6 +33,7 @@ def build_session(app: str = "tablewright", master: str | None = None,
                 .config("spark.driver.memory", "16g")
                 .config("spark.driver.host", "localhost")
                 .config("spark.ui.enabled", "false")
+                .config("spark.ui.showConsoleProgress", "false")
             )
     for key, value in (settings or {}).items():
         builder = builder.config(key, value)
@@ -64,3 +67,11 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = f"{workspace(df.sparkSession)}/{label}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_with_tasks(module: str) -> None:
+    """Send the functions of ``module`` to the tasks by value.
+
+    Executors then need no copy of this package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])

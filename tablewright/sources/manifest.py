@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions import megabytes
+from tablewright.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 # Files up to this size are digested from one in-memory value; larger ones as a stream.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import round_mean
 from tablewright.operators import cluster as clusters
+from tablewright.operators.kmeans import fit_kmeans
 from tablewright.session import materialise
 from tablewright.workload.tables import Query, half_even, half_up, table
 
@@ -35,7 +36,7 @@ def _clustered(spark: SparkSession, folder: str) -> DataFrame:
 
 def zscore_features(spark: SparkSession, folder: str) -> DataFrame:
     return _scaled(spark, folder).select(
-        "l_orderkey", "l_linenumber", *[F.round(c, 6).alias(c) for c in SCALED]
+        "l_orderkey", "l_linenumber", *[round_mean(c, 6).alias(c) for c in SCALED]
     )
 
 
@@ -87,7 +88,7 @@ def cluster_points(spark: SparkSession, folder: str) -> DataFrame:
 def kmeans_best_of_n(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(*FEATURES)
     scaler = clusters.fit_scaler(lines, FEATURES)
-    fit = clusters.fit_kmeans(scaler.transform(lines), SCALED, k=4, starts=10)
+    fit = fit_kmeans(scaler.transform(lines), SCALED, k=4, starts=10)
     assigned = clusters.assign_clusters(lines, [scaler.scaled(c) for c in FEATURES], fit.centers)
     summary = clusters.cluster_summary(materialise(assigned, "clustered"), MEANS, count_name="lines")
     return clusters.label_clusters(summary, LABELS, "Standard")

@@ -58,7 +58,7 @@ def fill_nulls(spark: SparkSession, folder: str) -> DataFrame:
 
 def dedup_rows(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("text", "lang", "n_chars")
-    return distinct_rows(normalise(documents, text=["text", "lang"])).select(
+    return distinct_rows(normalise(documents, text=["lang"])).select(
         F.md5("text").alias("text_md5"), "lang", "n_chars"
     )
 
@@ -176,7 +176,7 @@ QUERIES = {
         FROM labelled"""),
     "dedup_rows": Query(dedup_rows, """
         WITH distinct_text AS (
-            SELECT DISTINCT trim(upper(text)) AS text, trim(upper(lang)) AS lang, n_chars
+            SELECT DISTINCT text, trim(upper(lang)) AS lang, n_chars
             FROM documents
         )
         SELECT md5(text) AS text_md5, lang, n_chars FROM distinct_text"""),
