@@ -102,10 +102,11 @@ def batch(spark: SparkSession, source: str, layout: Layout) -> dict[str, DataFra
 
 
 def increments(spark: SparkSession, layout: Layout, n: int = 5,
-               files_per_trigger: int | None = None) -> DataFrame:
+               bytes_per_trigger: int = 64 * 1024**3) -> DataFrame:
     """Replay the processed table in ``n`` increments and return the progress table.
 
-    A repeated run continues the same feed and adds nothing.
+    A micro-batch takes at most ``bytes_per_trigger`` of files. A repeated run continues the
+    same feed and adds nothing.
     """
     feed, target = layout.path("stream", "feed"), layout.path("stream", "output")
     rows = spark.read.parquet(layout.path("processed"))
@@ -120,7 +121,7 @@ def increments(spark: SparkSession, layout: Layout, n: int = 5,
             sliced.select(*games.INCREMENT_INPUT, BATCH), feed, n, slice_column=F.col(BATCH)
         )
     process_increments(
-        spark, feed, schema, target, games.flag_increment, files_per_trigger=files_per_trigger
+        spark, feed, schema, target, games.flag_increment, bytes_per_trigger=bytes_per_trigger
     )
     output = read_increments(spark, target)
     if not same_rows(rows, output):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,11 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=True)
 
 
+def _decoded(c: str) -> Column:
+    """Plain file name; the reader's metadata is URL-encoded but leaves plus signs alone."""
+    return F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))
+
+
 def read_csv_text(spark: SparkSession, path: str | list[str], names: Sequence[str],
                   glob: str = "*.csv", multi_line: bool = False) -> DataFrame:
     """All columns as text plus ``source_file`` and ``source_path``.
@@ -44,8 +49,8 @@ def read_csv_text(spark: SparkSession, path: str | list[str], names: Sequence[st
     )
     return df.select(
         "*",
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_path").alias("source_path"),
+        _decoded("_metadata.file_name").alias("source_file"),
+        _decoded("_metadata.file_path").alias("source_path"),
     )
 
 

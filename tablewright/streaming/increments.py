@@ -32,19 +32,20 @@ def stage_increments(df: DataFrame, feed: str, n: int, *key: str,
     """Write ``df`` as a feed of ``n`` increments and return the feed's schema.
 
     The slice comes from the values of ``key`` (all columns if none is given), so a retry
-    puts a row into the same increment. Each task writes its own rows: no shuffle. Select
-    the columns that the stream needs first; the feed is a copy.
+    puts a row into the same increment. Select the columns that the stream needs first; the
+    feed is a copy. The rows are rebalanced by increment into files of even size: without
+    it, every task would write a small file per increment.
     """
     chosen = slice_of(n, *(key or df.columns)) if slice_column is None else slice_column.cast("int")
     staged = df.withColumn(BATCH, chosen)
-    staged.write.mode("append").partitionBy(BATCH).parquet(feed)
+    staged.hint("rebalance", BATCH).write.mode("append").partitionBy(BATCH).parquet(feed)
     return staged.schema
 
 
 def process_increments(spark: SparkSession, feed: str, schema: T.StructType, target: str,
                        transform: Callable[[DataFrame], DataFrame],
                        files_per_trigger: int | None = None,
-                       bytes_per_trigger: str | None = None) -> StreamingQuery:
+                       bytes_per_trigger: int | None = None) -> StreamingQuery:
     """Process everything new in ``feed`` and stop; returns the finished query.
 
     The file sink's log makes each file's rows appear once, also when a run is repeated or
