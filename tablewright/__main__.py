@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import argparse
 
+from tablewright.operators.ordering import ranked
 from tablewright.plans import jobs
+from tablewright.plans.games import ROLLUPS, SAMPLE_COLUMNS
 from tablewright.session import build_session
 
 JOBS = ("ingest", "load", "batch", "increments", "marts", "export", "cluster")
@@ -32,9 +34,11 @@ def main() -> None:
     elif args.job == "load":
         jobs.load_raw(spark, args.source, layout).printSchema()
     elif args.job == "batch":
-        for name, table in jobs.batch(spark, args.source, layout).items():
-            print(name)
-            table.show(10, truncate=False)
+        tables = jobs.batch(spark, args.source, layout)
+        tables.pop("processed").select(*SAMPLE_COLUMNS).show(5, truncate=False)
+        for spec in ROLLUPS:
+            print(spec.name)
+            ranked(tables[spec.name], "total_games", spec.key).show(truncate=False)
     elif args.job == "increments":
         jobs.increments(spark, layout, args.increments).orderBy("batch").show()
     elif args.job == "marts":

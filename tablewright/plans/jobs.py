@@ -16,11 +16,11 @@ from tablewright.operators.ordering import top_k
 from tablewright.operators.quality import key_violations, profile, row_counts, same_rows
 from tablewright.operators.rollup import rollups_in_one_pass
 from tablewright.plans import games
-from tablewright.session import materialise
+from tablewright.session import materialise, sized_shuffles
 from tablewright.sinks.contracts import apply_contract
 from tablewright.sinks.files import export_csv, write_all, write_json, write_parquet
 from tablewright.sources.csv import EMPTY_ONLY, PANDAS_TOKENS, read_csv, read_csv_text, typed
-from tablewright.sources.manifest import file_manifest
+from tablewright.sources.manifest import file_manifest, folder_bytes
 from tablewright.streaming import (
     BATCH,
     process_increments,
@@ -72,7 +72,8 @@ def ingest(spark: SparkSession, source: str, layout: Layout,
         F.lit("SUCCESS").alias("status"),
     )
     log = layout.path("raw", "ingestion_log")
-    write_json(record, log)
+    with sized_shuffles(spark, folder_bytes(spark, source, "*.csv")):
+        write_json(record, log)
     return spark.read.schema(record.schema).json(log)
 
 
@@ -90,7 +91,8 @@ def batch(spark: SparkSession, source: str, layout: Layout) -> dict[str, DataFra
     rollups, the statistics and the join all read it.
     """
     raw = read_csv(spark, source, games.RAW_SCHEMA, EMPTY_ONLY)
-    features = materialise(games.add_features(games.clean_games(raw)), "features")
+    with sized_shuffles(spark, folder_bytes(spark, source, "*.csv")):
+        features = materialise(games.add_features(games.clean_games(raw)), "features")
     write_all(rollups_in_one_pass(features, games.ROLLUPS), layout.path("curated"))
     processed = layout.path("processed")
     write_parquet(games.enrich_games(features), processed)

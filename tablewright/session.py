@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +72,37 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Bytes of input per shuffle partition, and the most partitions that one shuffle gets.
+PARTITION_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 50_000
+
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def shuffle_partitions(input_bytes: int, configured: int) -> int:
+    """Partitions for a shuffle of the whole input; never fewer than the session has set."""
+    return max(configured, min(MOST_PARTITIONS, math.ceil(input_bytes / PARTITION_BYTES)))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Within the block, shuffles start with as many partitions as the input needs.
+
+    AQE merges partitions that turn out small, but it cannot split those of a whole-row
+    dedup that turn out too large; so the start must be high enough.
+    """
+    before = spark.conf.get(_INITIAL, None)
+    configured = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(_INITIAL, str(shuffle_partitions(input_bytes, configured)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_INITIAL)
+        else:
+            spark.conf.set(_INITIAL, before)
+
+
 def ship_with_tasks(module: str) -> None:
     """Send the functions of ``module`` to the tasks by value.
 

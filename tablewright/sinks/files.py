@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablewright.operators.ids import running_total
 from tablewright.operators.sizing import measured_bytes
+from tablewright.sources.csv import read_csv_text
 from tablewright.sources.tables import JdbcServer
 
 # A table of at most this size may become one CSV file.
@@ -57,17 +60,30 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False,
     writer.csv(path)
 
 
+def export_progress(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """``(part, rows, total)`` of a finished CSV export; ``total`` is the running sum."""
+    parts = read_csv_text(spark, path, names).groupBy(F.col("source_file").alias("part"))
+    return running_total(parts.agg(F.count("*").alias("rows")), "part", "rows", "total")
+
+
 def jdbc_write_options(server: JdbcServer, table: str, batch_size: int = 10_000,
-                       column_types: str | None = None) -> dict[str, str]:
+                       connections: int = 16, column_types: str | None = None) -> dict[str, str]:
     """Writer options; ``column_types`` is the DDL of the columns that need a database type."""
-    options = {**server.options(), "dbtable": table, "batchsize": str(batch_size)}
+    options = {
+        **server.options(), "dbtable": table, "batchsize": str(batch_size),
+        "numPartitions": str(connections),
+    }
     if column_types:
         options["createTableColumnTypes"] = column_types
     return options
 
 
 def write_jdbc(df: DataFrame, server: JdbcServer, table: str, mode: str = "overwrite",
-               batch_size: int = 10_000, column_types: str | None = None) -> None:
-    """Every task inserts its own rows in batches; overwrite drops and recreates the table."""
-    options = jdbc_write_options(server, table, batch_size, column_types)
+               batch_size: int = 10_000, connections: int = 16,
+               column_types: str | None = None) -> None:
+    """Every task inserts its own rows in batches; overwrite drops and recreates the table.
+
+    ``connections`` bounds how many tasks the database sees.
+    """
+    options = jdbc_write_options(server, table, batch_size, connections, column_types)
     df.write.format("jdbc").options(**options).mode(mode).save()

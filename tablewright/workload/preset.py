@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators import cluster as clusters
 from tablewright.operators.clean import require_values
+from tablewright.operators.ids import slice_of
 from tablewright.operators.ordering import ranked, top_k
+from tablewright.operators.quality import key_violations, row_counts
 from tablewright.operators.rollup import rollup, rollups_in_one_pass
 from tablewright.plans import games, jobs
 from tablewright.session import materialise, workspace
+from tablewright.sinks.contracts import apply_contract
 from tablewright.sinks.files import export_csv
 from tablewright.workload.tables import (
     CLEAN_GAMES,
@@ -35,6 +40,39 @@ def games_processed(spark: SparkSession, folder: str) -> DataFrame:
     return games.enrich_games(materialise(games_features(spark, folder), "features"))
 
 
+def games_sample_columns(spark: SparkSession, folder: str) -> DataFrame:
+    return games_processed(spark, folder).select(*games.SAMPLE_COLUMNS)
+
+
+def games_conservation(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows before and after the enrichment, and after the split into increments."""
+    features = materialise(games_features(spark, folder), "features")
+    enriched = games.enrich_games(features)
+    sliced = features.withColumn("slice", slice_of(5, *games.RAW_SCHEMA.fieldNames()))
+    parts = [sliced.where(F.col("slice") == i) for i in range(5)]
+    return row_counts({
+        "features": features, "enriched": enriched, "increments": reduce(DataFrame.unionByName, parts),
+    })
+
+
+def _mart(name: str):
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        source, agreed = games.MARTS[name]
+        return apply_contract(_curated(source)(spark, folder), agreed)
+
+    return run
+
+
+def games_mart_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Null or repeated keys per mart."""
+    features = materialise(games_features(spark, folder), "features")
+    tables = rollups_in_one_pass(features, games.ROLLUPS)
+    return row_counts({
+        name: key_violations(apply_contract(tables[source], agreed), agreed.key)
+        for name, (source, agreed) in games.MARTS.items()
+    })
+
+
 def _curated(name: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spec = next(r for r in games.ROLLUPS if r.name == name)
@@ -167,16 +205,39 @@ _SUMMARY_SQL = f"""{_CLUSTERED_SQL}, summary AS (
         FROM clustered GROUP BY cluster
     )"""
 
+def _mart_sql(name: str) -> str:
+    source, agreed = games.MARTS[name]
+    casts = ", ".join(
+        f.name if f.max_length else f"CAST({f.name} AS {f.type.simpleString().upper()}) AS {f.name}"
+        for f in agreed.fields
+    )
+    return f"SELECT {casts} FROM ({_CURATED_SQL[source]})"
+
+
+_CURATED_SQL = {
+    "by_provider": f"WITH {FEATURE_GAMES} {_PROVIDER_SQL}",
+    "by_game_type": _group_sql(
+        "game_type", _RTP, f"{half_up('avg(max_multiplier)', 0)} AS avg_max_multiplier"),
+    "by_volatility": _group_sql("volatility", _RTP, _WIN),
+    "by_rtp_category": _group_sql("rtp_category", _WIN),
+    "by_bet_tier": _group_sql("bet_tier", _RTP),
+}
+
 QUERIES = {
     "games_clean": Query(games_clean, f"WITH {CLEAN_GAMES} SELECT * FROM clean"),
     "games_features": Query(games_features, f"WITH {FEATURE_GAMES} SELECT * FROM features"),
     "games_processed": Query(games_processed, _PROCESSED_SQL),
-    "games_by_provider": Query(_curated("by_provider"), f"WITH {FEATURE_GAMES} {_PROVIDER_SQL}"),
-    "games_by_game_type": Query(_curated("by_game_type"), _group_sql(
-        "game_type", _RTP, f"{half_up('avg(max_multiplier)', 0)} AS avg_max_multiplier")),
-    "games_by_volatility": Query(_curated("by_volatility"), _group_sql("volatility", _RTP, _WIN)),
-    "games_by_rtp_category": Query(_curated("by_rtp_category"), _group_sql("rtp_category", _WIN)),
-    "games_by_bet_tier": Query(_curated("by_bet_tier"), _group_sql("bet_tier", _RTP)),
+    "games_sample_columns": Query(games_sample_columns, f"""
+        SELECT {', '.join(games.SAMPLE_COLUMNS)} FROM ({_PROCESSED_SQL})"""),
+    "games_conservation": Query(games_conservation, f"WITH {FEATURE_GAMES} " + " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", count(*) AS \"rows\" FROM features"
+        for t in ("features", "enriched", "increments"))),
+    **{f"games_{name}": Query(_curated(name), sql) for name, sql in _CURATED_SQL.items()},
+    **{f"games_mart_{name}": Query(_mart(name), _mart_sql(name)) for name in games.MARTS},
+    "games_mart_violations": Query(games_mart_violations, f"WITH {FEATURE_GAMES} " + " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(DISTINCT coalesce({agreed.key}, '-')) "
+        f"- count(DISTINCT {agreed.key}) AS \"rows\" FROM features"
+        for name, (_, agreed) in games.MARTS.items())),
     "games_basic_by_provider": Query(_basic("by_provider"), _group_sql("provider", _RTP, _WIN)),
     "games_basic_by_game_type": Query(_basic("by_game_type"), _group_sql("game_type", _RTP)),
     "games_basic_by_volatility": Query(_basic("by_volatility"), _group_sql("volatility")),

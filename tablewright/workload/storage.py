@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.rollup import Rollup, mean, rollup, row_count
 from tablewright.session import workspace
-from tablewright.sinks.files import export_csv, write_parquet, write_table
+from tablewright.sinks.files import export_csv, export_progress, write_parquet, write_table
 from tablewright.sources.csv import read_csv, read_csv_inferred
 from tablewright.sources.tables import read_parquet, read_table
 from tablewright.workload.tables import LABELLED, Query, half_up, labelled_documents, table
@@ -51,6 +51,15 @@ def csv_null_marker(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, rows.schema, null_tokens=["\\N"])
 
 
+def export_running_total(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the parts of an export and the end of their running total."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    path = workspace(spark)
+    export_csv(lines, path, rows_per_file=100_000)
+    steps = export_progress(spark, path, lines.columns)
+    return steps.agg(F.sum("rows").alias("rows"), F.max("total").alias("total"))
+
+
 def parquet_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Events overwritten, then appended to: a scan of all part files."""
     events = table(spark, folder, "events").select("event_id", "event_type", "value")
@@ -79,6 +88,8 @@ QUERIES = {
         FROM part GROUP BY p_brand"""),
     "csv_null_marker": Query(csv_null_marker, f"""
         WITH {LABELLED} SELECT doc_id, lang, quality FROM labelled"""),
+    "export_running_total": Query(export_running_total, """
+        SELECT count(*) AS "rows", count(*) AS total FROM lineitem"""),
     "parquet_parts": Query(parquet_parts, "SELECT event_id, event_type, value FROM events"),
     "catalog_table": Query(catalog_table, "SELECT * FROM customer"),
 }

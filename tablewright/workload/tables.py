@@ -80,7 +80,7 @@ def game_rows(spark: SparkSession, folder: str) -> DataFrame:
         "bonus_buy_available": F.col("l_returnflag") == "N",
         "max_multiplier": F.when(F.col("l_quantity") != 13, F.col("l_quantity") * 250),
         "languages": F.lit("en"),
-        "last_updated": F.date_format("l_shipdate", "yyyy-MM-dd"),
+        "last_updated": F.col("l_shipdate").cast("date").cast("string"),
     }
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))

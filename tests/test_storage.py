@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.session import materialise, workspace
-from tablewright.sinks.files import export_csv, jdbc_write_options, write_json, write_table
+from tablewright.session import materialise, shuffle_partitions, sized_shuffles, workspace
+from tablewright.sinks.files import export_csv, export_progress, jdbc_write_options, write_json, write_table
 from tablewright.sources.csv import PANDAS_TOKENS, read_csv, read_csv_text
-from tablewright.sources.manifest import file_manifest
+from tablewright.sources.manifest import file_manifest, folder_bytes
 from tablewright.sources.tables import (
     JdbcRanges,
     JdbcServer,
@@ -99,6 +99,8 @@ def test_sharded_export_has_a_header_per_file(spark, tmp_path):
     export_csv(spark.range(100).coalesce(1), f"{tmp_path}/out", rows_per_file=30)
     files = [f for f in os.listdir(f"{tmp_path}/out") if f.endswith(".csv")]
     assert len(files) == 4
+    steps = export_progress(spark, f"{tmp_path}/out", ["id"]).orderBy("part").collect()
+    assert [r["rows"] for r in steps] == [30, 30, 30, 10] and steps[-1]["total"] == 100
     assert all(open(f"{tmp_path}/out/{f}").readline() == "id\n" for f in files)
 
 
@@ -130,8 +132,8 @@ def test_jdbc_options():
         "driver": "org.postgresql.Driver", "dbtable": "games", "fetchsize": "100000",
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "1200000", "numPartitions": "12",
     }
-    written = jdbc_write_options(JdbcServer("jdbc:x"), "t", 500, "k varchar(3)")
-    assert written == {"url": "jdbc:x", "dbtable": "t", "batchsize": "500", "createTableColumnTypes": "k varchar(3)"}
+    written = jdbc_write_options(JdbcServer("jdbc:x"), "t", 500, 4, "k varchar(3)")
+    assert written == {"url": "jdbc:x", "dbtable": "t", "batchsize": "500", "numPartitions": "4", "createTableColumnTypes": "k varchar(3)"}
 
 
 class FakeSession:
@@ -150,6 +152,23 @@ def test_workspace_follows_the_session():
         workspace(FakeSession("spark://host:7077", {}))
 
 
+def test_shuffles_are_sized_by_the_input(spark):
+    assert shuffle_partitions(10, 8) == 8
+    assert shuffle_partitions(10 * 1024**4, 200) == 40_960
+    assert shuffle_partitions(100 * 1024**4, 200) == 50_000
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with sized_shuffles(spark, 1024**4):
+        assert spark.conf.get(name) == "4096"
+    assert spark.conf.get(name, None) is None
+
+
+def test_folder_bytes(spark, tmp_path):
+    write(f"{tmp_path}/in/a.csv", "12345")
+    write(f"{tmp_path}/in/b.txt", "1234567")
+    assert folder_bytes(spark, f"{tmp_path}/in", "*.csv") == 5
+    assert folder_bytes(spark, f"{tmp_path}/in", "*.json") == 0
+
+
 def test_materialise_keeps_schema_and_rows(spark):
     df = materialise(spark.range(5).withColumn("t", F.lit(None).cast("string")))
     assert df.schema.simpleString() == "struct<id:bigint,t:string>" and df.count() == 5
