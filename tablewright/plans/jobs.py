@@ -10,13 +10,13 @@ from pyspark.sql import types as T
 
 from tablewright.operators import cluster as clusters
 from tablewright.operators.clean import require_values
+from tablewright.operators.ids import dense_id, slice_of, surrogate_id
 from tablewright.operators.kmeans import fit_kmeans
-from tablewright.operators.ids import slice_of, surrogate_id
 from tablewright.operators.ordering import top_k
 from tablewright.operators.quality import key_violations, profile, row_counts, same_rows
 from tablewright.operators.rollup import rollups_in_one_pass
 from tablewright.plans import games
-from tablewright.session import materialise, sized_shuffles
+from tablewright.session import materialise, scratch_tables, sized_shuffles
 from tablewright.sinks.contracts import apply_contract
 from tablewright.sinks.files import export_csv, write_all, write_json, write_parquet
 from tablewright.sources.csv import EMPTY_ONLY, PANDAS_TOKENS, read_csv, read_csv_text, typed
@@ -46,41 +46,48 @@ def ingest(spark: SparkSession, source: str, layout: Layout,
 
     Returns the profile, or None if the folder holds no CSV file.
     """
-    manifest = materialise(file_manifest(spark, source), "manifest")
-    if manifest.isEmpty():
-        return None
-    names = schema.fieldNames()
-    landing = layout.path("raw", "landed", f"run={run}")
-    write_parquet(read_csv_text(spark, source, names), landing, "overwrite", "source_file")
-
-    landed = spark.read.parquet(landing)
-    measured = profile(
-        typed(landed, schema, PANDAS_TOKENS).select("source_file", *names), ["source_file"]
-    )
-    record = manifest.join(measured, F.col("file") == F.col("source_file"), "left").select(
-        "file",
-        F.current_timestamp().alias("ingestion_ts"),
-        F.col("path").alias("raw_path"),
-        "size_mb",
-        "md5",
-        F.coalesce("rows", F.lit(0)).alias("rows"),
-        F.coalesce("columns", F.array(*[F.lit(n) for n in names])).alias("columns"),
-        F.coalesce(
-            "nulls", F.create_map(*[x for n in names for x in (F.lit(n), F.lit(0).cast("long"))])
-        ).alias("nulls"),
-        F.coalesce("duplicates", F.lit(0)).alias("duplicates"),
-        F.lit("SUCCESS").alias("status"),
-    )
-    log = layout.path("raw", "ingestion_log")
-    with sized_shuffles(spark, folder_bytes(spark, source, "*.csv")):
-        write_json(record, log)
+    with scratch_tables(spark):
+        manifest = materialise(file_manifest(spark, source), "manifest")
+        if manifest.isEmpty():
+            return None
+        names = schema.fieldNames()
+        landing = layout.path("raw", "landed", f"run={run}")
+        write_parquet(read_csv_text(spark, source, names), landing, "overwrite", "source_file")
+
+        landed = spark.read.parquet(landing)
+        measured = profile(
+            typed(landed, schema, PANDAS_TOKENS).select("source_file", *names), ["source_file"]
+        )
+        record = manifest.join(measured, F.col("file") == F.col("source_file"), "left").select(
+            "file",
+            F.current_timestamp().alias("ingestion_ts"),
+            F.col("path").alias("raw_path"),
+            "size_mb",
+            "md5",
+            F.coalesce("rows", F.lit(0)).alias("rows"),
+            F.coalesce("columns", F.array(*[F.lit(n) for n in names])).alias("columns"),
+            F.coalesce(
+                "nulls", F.create_map(*[x for n in names for x in (F.lit(n), F.lit(0).cast("long"))])
+            ).alias("nulls"),
+            F.coalesce("duplicates", F.lit(0)).alias("duplicates"),
+            F.lit("SUCCESS").alias("status"),
+        )
+        log = layout.path("raw", "ingestion_log")
+        with sized_shuffles(spark, folder_bytes(spark, source, "*.csv")):
+            write_json(record, log)
     return spark.read.schema(record.schema).json(log)
 
 
-def load_raw(spark: SparkSession, source: str, layout: Layout) -> DataFrame:
-    """Recreate the raw table, with an id column, from CSV."""
+def load_raw(spark: SparkSession, source: str, layout: Layout,
+             dense_ids: bool = False) -> DataFrame:
+    """Recreate the raw table, with an id column, from CSV.
+
+    Ids are unique; ``dense_ids`` makes them 1..n at the price of one more copy of the rows.
+    """
     path = layout.path("raw", "table")
-    write_parquet(surrogate_id(read_csv(spark, source, games.RAW_SCHEMA, PANDAS_TOKENS)), path)
+    rows = read_csv(spark, source, games.RAW_SCHEMA, PANDAS_TOKENS)
+    with scratch_tables(spark):
+        write_parquet(dense_id(rows) if dense_ids else surrogate_id(rows), path)
     return spark.read.parquet(path)
 
 
@@ -91,14 +98,15 @@ def batch(spark: SparkSession, source: str, layout: Layout) -> dict[str, DataFra
     rollups, the statistics and the join all read it.
     """
     raw = read_csv(spark, source, games.RAW_SCHEMA, EMPTY_ONLY)
-    with sized_shuffles(spark, folder_bytes(spark, source, "*.csv")):
-        features = materialise(games.add_features(games.clean_games(raw)), "features")
-    write_all(rollups_in_one_pass(features, games.ROLLUPS), layout.path("curated"))
-    processed = layout.path("processed")
-    write_parquet(games.enrich_games(features), processed)
-    written = spark.read.parquet(processed)
-    if not same_rows(features, written):
-        raise RuntimeError("the enrichment changed the number of rows")
+    with scratch_tables(spark):
+        with sized_shuffles(spark, folder_bytes(spark, source, "*.csv")):
+            features = materialise(games.add_features(games.clean_games(raw)), "features")
+        write_all(rollups_in_one_pass(features, games.ROLLUPS), layout.path("curated"))
+        processed = layout.path("processed")
+        write_parquet(games.enrich_games(features), processed)
+        written = spark.read.parquet(processed)
+        if not same_rows(features, written):
+            raise RuntimeError("the enrichment changed the number of rows")
     tables = {r.name: spark.read.parquet(layout.path("curated", r.name)) for r in games.ROLLUPS}
     return {"processed": written, **tables}
 
@@ -127,7 +135,9 @@ def increments(spark: SparkSession, layout: Layout, n: int = 5,
     )
     output = read_increments(spark, target)
     if not same_rows(rows, output):
-        raise RuntimeError("the increments and the processed table differ in their rows")
+        raise RuntimeError(
+            "the processed table is not the one that the feed was made of; use a new folder"
+        )
     return progress(output)
 
 
@@ -177,29 +187,30 @@ def cluster(spark: SparkSession, layout: Layout, k: int = 4, starts: int = 10,
     scaler = clusters.fit_scaler(rows, features)
     scaled = [f"{c}_z" for c in features]
     fit = fit_kmeans(scaler.transform(rows).select(*scaled), scaled, k, seed, starts)
-    assigned = materialise(
-        clusters.assign_clusters(rows, [scaler.scaled(c) for c in features], fit.centers),
-        "clustered",
-    )
-    summary = clusters.label_clusters(
-        clusters.cluster_summary(assigned, games.CLUSTER_MEANS),
-        games.CLUSTER_LABELS, games.CLUSTER_LABEL_DEFAULT,
-    )
-    quality = clusters.silhouette(
-        scaler.transform(assigned), scaled, sample_size=sample_size, seed=seed, identity=["id"]
-    )
-    results = {
-        "summary": summary,
-        "silhouette": quality,
-        "points": clusters.cluster_points(
-            assigned, ["rtp", "max_win"], seed=seed, identity=["id"]
-        ),
-    }
-    write_all(results, layout.path("clusters"))
-    export_csv(
-        assigned.select(*games.CLUSTER_COLUMNS, "cluster"),
-        layout.path("exports", "games_with_clusters"),
-    )
+    with scratch_tables(spark):
+        assigned = materialise(
+            clusters.assign_clusters(rows, [scaler.scaled(c) for c in features], fit.centers),
+            "clustered",
+        )
+        summary = clusters.label_clusters(
+            clusters.cluster_summary(assigned, games.CLUSTER_MEANS),
+            games.CLUSTER_LABELS, games.CLUSTER_LABEL_DEFAULT,
+        )
+        quality = clusters.silhouette(
+            scaler.transform(assigned), scaled, sample_size=sample_size, seed=seed, identity=["id"]
+        )
+        results = {
+            "summary": summary,
+            "silhouette": quality,
+            "points": clusters.cluster_points(
+                assigned, ["rtp", "max_win"], seed=seed, identity=["id"]
+            ),
+        }
+        write_all(results, layout.path("clusters"))
+        export_csv(
+            assigned.select(*games.CLUSTER_COLUMNS, "cluster"),
+            layout.path("exports", "games_with_clusters"),
+        )
     return {name: spark.read.parquet(layout.path("clusters", name)) for name in results}
 
 

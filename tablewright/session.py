@@ -8,10 +8,12 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 _local_folder: tempfile.TemporaryDirectory | None = None
 
 
@@ -67,11 +69,34 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     Later readers start from files, not from the whole lineage, so a lost executor costs
     only a re-read, and Catalyst plans with the true size.
     """
-    path = f"{workspace(df.sparkSession)}/{label}"
+    folder = workspace(df.sparkSession)
+    open_block = _scratch.get()
+    if open_block is not None:
+        open_block.append(folder)
+    path = f"{folder}/{label}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that :func:`materialise` writes in this block when it ends.
+
+    For jobs whose results are written elsewhere; a table read after the block must not
+    depend on one of them.
+    """
+    folders: list[str] = []
+    token = _scratch.set(folders)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        settings = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in folders:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(settings).delete(path, True)
+
+
 # Bytes of input per shuffle partition, and the most partitions that one shuffle gets.
 PARTITION_BYTES = 256 * 1024 * 1024
 MOST_PARTITIONS = 50_000

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions import band, deviation
-from tablewright.operators.enrich import attach_stats, enrich_with_group_stats
+from tablewright.operators.enrich import enrich_with_group_stats
 from tablewright.operators.rollup import (
     Rollup,
     count_true,
@@ -113,11 +113,14 @@ def enrich_group_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def enrich_split_join(spark: SparkSession, folder: str) -> DataFrame:
-    """The same join on the path for statistics that are too large to broadcast."""
-    rows = _keyed_lines(spark, folder)
-    stats = rollup(rows, Rollup("stats", "supplier", _STATS))
-    joined = attach_stats(rows, stats, "supplier", "supplier_lines", max_broadcast_bytes=0)
-    return joined.withColumn("vs_supplier_avg", deviation("l_quantity", "supplier_avg"))
+    """The path for statistics that are too large to broadcast; one key holds a third of the rows."""
+    part = F.when(F.col("l_quantity") > 33, F.lit(-1)).when(F.col("l_partkey") != 7, F.col("l_partkey"))
+    rows = table(spark, folder, "lineitem").select(
+        part.cast("long").alias("part"), "l_orderkey", "l_linenumber", "l_quantity"
+    )
+    metrics = (mean("part_avg", "l_quantity"), row_count("part_lines"), stddev("part_stddev", "l_quantity"))
+    joined = enrich_with_group_stats(rows, "part", metrics, max_broadcast_bytes=0)
+    return joined.withColumn("vs_part_avg", deviation("l_quantity", "part_avg"))
 
 
 _ENRICHED_SQL = f"""
@@ -136,6 +139,20 @@ _ENRICHED_SQL = f"""
             {half_up('l_quantity - supplier_avg')} AS vs_supplier_avg
         FROM keyed k LEFT JOIN stats s ON k.supplier = s.supplier"""
 
+_SPLIT_SQL = f"""
+        WITH keyed AS (
+            SELECT CASE WHEN l_quantity > 33 THEN -1 WHEN l_partkey <> 7 THEN l_partkey END AS part,
+                l_orderkey, l_linenumber, l_quantity
+            FROM lineitem
+        ), stats AS (
+            SELECT part, {half_up('avg(l_quantity)')} AS part_avg, count(*) AS part_lines,
+                {half_up('stddev_samp(l_quantity)', 4)} AS part_stddev
+            FROM keyed GROUP BY part
+        )
+        SELECT k.*, s.part_avg, s.part_lines, s.part_stddev,
+            {half_up('l_quantity - part_avg')} AS vs_part_avg
+        FROM keyed k LEFT JOIN stats s ON k.part = s.part"""
+
 QUERIES = {
     "rollup_provider": Query(rollup_provider, f"""
         WITH {_LINES}
@@ -168,5 +185,5 @@ QUERIES = {
     "rollups_shared_scan": Query(rollups_shared_scan, _STACKED_SQL),
     "rollup_stacked": Query(rollup_stacked, _STACKED_SQL),
     "enrich_group_stats": Query(enrich_group_stats, _ENRICHED_SQL),
-    "enrich_split_join": Query(enrich_split_join, _ENRICHED_SQL),
+    "enrich_split_join": Query(enrich_split_join, _SPLIT_SQL),
 }

@@ -134,6 +134,8 @@ def test_marts_export_and_clusters(spark, tmp_path):
     layout = jobs.Layout(f"{tmp_path}/tables")
     raw = jobs.load_raw(spark, f"{tmp_path}/input", layout)
     assert raw.columns == ["id", *NAMES] and raw.count() == 200
+    dense = jobs.load_raw(spark, f"{tmp_path}/input", layout, dense_ids=True)
+    assert sorted(r["id"] for r in dense.select("id").collect()) == list(range(1, 201))
     jobs.batch(spark, f"{tmp_path}/input", layout)
     counts = {r["table"]: r["rows"] for r in jobs.marts(spark, layout).collect()}
     assert counts["provider_stats"] == 3 and counts["volatility_stats"] == 4 and counts["rtp_category_stats"] == 3

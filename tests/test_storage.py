@@ -8,7 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.session import materialise, shuffle_partitions, sized_shuffles, workspace
+from tablewright.session import (
+    materialise,
+    scratch_tables,
+    shuffle_partitions,
+    sized_shuffles,
+    workspace,
+)
 from tablewright.sinks.files import export_csv, export_progress, jdbc_write_options, write_json, write_table
 from tablewright.sources.csv import PANDAS_TOKENS, read_csv, read_csv_text
 from tablewright.sources.manifest import file_manifest, folder_bytes
@@ -152,6 +158,16 @@ def test_workspace_follows_the_session():
         workspace(FakeSession("spark://host:7077", {}))
 
 
+def test_scratch_tables_are_deleted(spark):
+    with scratch_tables(spark):
+        inside = materialise(spark.range(3))
+        folder = inside.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    outside = materialise(spark.range(3))
+    assert outside.count() == 3
+
+
 def test_shuffles_are_sized_by_the_input(spark):
     assert shuffle_partitions(10, 8) == 8
     assert shuffle_partitions(10 * 1024**4, 200) == 40_960
