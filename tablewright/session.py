@@ -99,9 +99,12 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
 
 # Bytes of input per shuffle partition, and the most partitions that one shuffle gets.
 PARTITION_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 50_000
+MOST_PARTITIONS = 32_768
+# The most tasks that one scan gets: tasks times partitions is the number of shuffle blocks.
+MOST_SCAN_TASKS = 100_000
 
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_SPLIT = "spark.sql.files.maxPartitionBytes"
 
 
 def shuffle_partitions(input_bytes: int, configured: int) -> int:
@@ -109,23 +112,34 @@ def shuffle_partitions(input_bytes: int, configured: int) -> int:
     return max(configured, min(MOST_PARTITIONS, math.ceil(input_bytes / PARTITION_BYTES)))
 
 
+def split_bytes(input_bytes: int, configured: int) -> int:
+    """Bytes per scan task; never fewer than the session has set."""
+    return max(configured, math.ceil(input_bytes / MOST_SCAN_TASKS))
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Within the block, shuffles start with as many partitions as the input needs.
+    """Within the block, scans and shuffles are cut for an input of that size.
 
     AQE merges partitions that turn out small, but it cannot split those of a whole-row
-    dedup that turn out too large; so the start must be high enough.
+    dedup that turn out too large; so the start must be high enough. Scan tasks grow instead
+    of becoming more, since every task writes a block for every partition.
     """
-    before = spark.conf.get(_INITIAL, None)
-    configured = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(_INITIAL, str(shuffle_partitions(input_bytes, configured)))
+    before = {name: spark.conf.get(name, None) for name in (_INITIAL, _SPLIT)}
+    partitions = int(before[_INITIAL] or spark.conf.get("spark.sql.shuffle.partitions"))
+    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get(_SPLIT)
+    )
+    spark.conf.set(_INITIAL, str(shuffle_partitions(input_bytes, partitions)))
+    spark.conf.set(_SPLIT, f"{split_bytes(input_bytes, split)}b")
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_INITIAL)
-        else:
-            spark.conf.set(_INITIAL, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def ship_with_tasks(module: str) -> None:

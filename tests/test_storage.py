@@ -13,6 +13,7 @@ from tablewright.session import (
     scratch_tables,
     shuffle_partitions,
     sized_shuffles,
+    split_bytes,
     workspace,
 )
 from tablewright.sinks.files import export_csv, export_progress, jdbc_write_options, write_json, write_table
@@ -168,14 +169,23 @@ def test_scratch_tables_are_deleted(spark):
     assert outside.count() == 3
 
 
-def test_shuffles_are_sized_by_the_input(spark):
+def test_scans_and_shuffles_are_sized_by_the_input(spark):
+    tera = 1024**4
     assert shuffle_partitions(10, 8) == 8
-    assert shuffle_partitions(10 * 1024**4, 200) == 40_960
-    assert shuffle_partitions(100 * 1024**4, 200) == 50_000
-    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    with sized_shuffles(spark, 1024**4):
-        assert spark.conf.get(name) == "4096"
-    assert spark.conf.get(name, None) is None
+    assert shuffle_partitions(tera, 200) == 4096
+    assert shuffle_partitions(100 * tera, 200) == 32_768
+    assert split_bytes(tera, 128 * 1024**2) == 128 * 1024**2
+    assert split_bytes(100 * tera, 128 * 1024**2) > 1024**3
+    names = [
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.files.maxPartitionBytes",
+    ]
+    before = [spark.conf.get(n, None) for n in names]
+    with sized_shuffles(spark, tera):
+        assert spark.conf.get(names[0]) == "4096"
+    with sized_shuffles(spark, 100 * tera):
+        assert spark.conf.get(names[1]) == "1099511628b"
+    assert [spark.conf.get(n, None) for n in names] == before
 
 
 def test_folder_bytes(spark, tmp_path):
