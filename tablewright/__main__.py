@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from tablewright.operators.ordering import ranked
 from tablewright.plans import jobs
 from tablewright.plans.games import ROLLUPS, SAMPLE_COLUMNS
 from tablewright.session import build_session
+from tablewright.sources.tables import JdbcServer
 
-JOBS = ("ingest", "load", "batch", "increments", "marts", "export", "cluster")
+JOBS = ("ingest", "load", "batch", "increments", "marts", "publish", "export", "cluster")
 
 
 def main() -> None:
@@ -18,10 +20,14 @@ def main() -> None:
     parser.add_argument("--root", required=True, help="folder of all tables")
     parser.add_argument("--source", help="CSV file or folder (ingest, load, batch)")
     parser.add_argument("--increments", type=int, default=5)
+    parser.add_argument("--jdbc-url", help="database (publish); password in JDBC_PASSWORD")
+    parser.add_argument("--jdbc-user")
     parser.add_argument("--master", help="only outside spark-submit, for example local[8]")
     args = parser.parse_args()
     if args.job in ("ingest", "load", "batch") and not args.source:
         parser.error(f"{args.job} needs --source")
+    if args.job == "publish" and not args.jdbc_url:
+        parser.error("publish needs --jdbc-url")
 
     spark = build_session(f"tablewright-{args.job}", args.master)
     layout = jobs.Layout(args.root)
@@ -44,6 +50,9 @@ def main() -> None:
     elif args.job == "marts":
         jobs.marts(spark, layout).show()
         jobs.most_profitable(spark, layout).show(truncate=False)
+    elif args.job == "publish":
+        server = JdbcServer(args.jdbc_url, args.jdbc_user, os.environ.get("JDBC_PASSWORD"))
+        jobs.publish(spark, layout, server)
     elif args.job == "export":
         jobs.export(spark, layout)
     else:

@@ -18,9 +18,10 @@ from tablewright.operators.rollup import rollups_in_one_pass
 from tablewright.plans import games
 from tablewright.session import materialise, scratch_tables, sized_shuffles
 from tablewright.sinks.contracts import apply_contract
-from tablewright.sinks.files import export_csv, write_all, write_json, write_parquet
+from tablewright.sinks.files import export_csv, write_all, write_jdbc, write_json, write_parquet
 from tablewright.sources.csv import EMPTY_ONLY, PANDAS_TOKENS, read_csv, read_csv_text, typed
 from tablewright.sources.manifest import file_manifest, folder_bytes
+from tablewright.sources.tables import JdbcServer
 from tablewright.streaming import (
     BATCH,
     process_increments,
@@ -154,6 +155,15 @@ def marts(spark: SparkSession, layout: Layout) -> DataFrame:
     return row_counts(published)
 
 
+def publish(spark: SparkSession, layout: Layout, server: JdbcServer) -> None:
+    """Drop and recreate the raw table and the marts in a database."""
+    raw = spark.read.parquet(layout.path("raw", "table"))
+    write_jdbc(raw, server, "games_raw")
+    for name, (_, contract) in games.MARTS.items():
+        table = spark.read.parquet(layout.path("marts", name))
+        write_jdbc(table, server, name, column_types=contract.jdbc_column_types())
+
+
 def most_profitable(spark: SparkSession, layout: Layout, k: int = 5) -> DataFrame:
     """The ``k`` providers with the highest average profitability, nulls first."""
     stats = spark.read.parquet(layout.path("marts", "provider_stats"))

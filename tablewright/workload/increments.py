@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions import all_true, band
+from tablewright.functions import all_true, band, round_mean
 from tablewright.operators.ids import running_total, slice_of, surrogate_id
 from tablewright.session import workspace
 from tablewright.streaming import (
@@ -18,7 +18,7 @@ from tablewright.streaming import (
     read_increments,
     stage_increments,
 )
-from tablewright.workload.tables import Query, table
+from tablewright.workload.tables import Query, half_up, table
 
 SLICES = 5
 
@@ -32,8 +32,16 @@ def stable_split(spark: SparkSession, folder: str) -> DataFrame:
     return _sliced(spark, folder)
 
 
-def one_increment(spark: SparkSession, folder: str) -> DataFrame:
-    return _sliced(spark, folder).where(F.col(BATCH) == 2).drop(BATCH)
+def each_increment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every increment selected by its own filter and summed up."""
+    sliced = _sliced(spark, folder)
+    return reduce(DataFrame.unionByName, [
+        sliced.where(F.col(BATCH) == i).drop(BATCH).agg(
+            F.lit(i).alias("batch"), F.count("*").alias("input_rows"),
+            F.max("event_id").alias("last_event"), round_mean(F.avg("value")).alias("avg_value"),
+        )
+        for i in range(SLICES)
+    ])
 
 
 def split_counts_running(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,8 +104,10 @@ _SLICED = """
 
 QUERIES = {
     "stable_split": Query(stable_split, _SLICED),
-    "one_increment": Query(one_increment, """
-        SELECT event_id, user_id, event_type, value FROM events WHERE event_id % 5 = 2"""),
+    "each_increment": Query(each_increment, f"""
+        SELECT stream_batch AS batch, count(*) AS input_rows, max(event_id) AS last_event,
+            {half_up('avg(value)')} AS avg_value
+        FROM ({_SLICED}) GROUP BY stream_batch"""),
     "split_counts_running": Query(split_counts_running, f"""
         SELECT stream_batch, count(*) AS input_rows,
             CAST(sum(count(*)) OVER (ORDER BY stream_batch) AS BIGINT) AS output_rows

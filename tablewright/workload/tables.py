@@ -56,7 +56,7 @@ def game_rows(spark: SparkSession, folder: str) -> DataFrame:
     odd = F.col("l_linenumber") % 2 == 1
     priority = F.col("o_orderpriority")
     columns = {
-        "casino": F.concat(F.lit("Casino "), F.col("o_orderstatus")),
+        "casino": F.concat(F.lit("Site "), F.col("o_orderstatus")),
         "game": F.when(odd, F.concat(F.lit(" "), F.col("p_name"))).otherwise(F.upper("p_name")),
         "provider": F.when(
             F.col("s_name") != "Supplier#000000007",
@@ -93,7 +93,7 @@ def game_rows(spark: SparkSession, folder: str) -> DataFrame:
 GAMES = """
     games AS (
         SELECT
-            'Casino ' || o_orderstatus AS casino,
+            'Site ' || o_orderstatus AS casino,
             CASE WHEN l_linenumber % 2 = 1 THEN ' ' || p_name ELSE upper(p_name) END AS game,
             CASE WHEN s_name <> 'Supplier#000000007' THEN
                 CASE WHEN l_linenumber % 2 = 1 THEN s_name ELSE lower(s_name) || '  ' END

@@ -7,6 +7,7 @@ import os
 import pytest
 
 from tablewright.plans import games, jobs
+from tablewright.sources.tables import JdbcServer
 
 NAMES = games.RAW_SCHEMA.fieldNames()
 
@@ -123,7 +124,7 @@ def test_ingest_of_an_empty_folder(spark, tmp_path):
     assert jobs.ingest(spark, f"{tmp_path}/in", jobs.Layout(f"{tmp_path}/out")) is None
 
 
-def test_marts_export_and_clusters(spark, tmp_path):
+def test_marts_export_and_clusters(spark, tmp_path, monkeypatch):
     rows = [
         game(game=f"G{i}", provider=f"P{i % 3}", rtp=str(90 + i % 10), max_win=str(1000 * (i % 17)),
              max_multiplier="" if i % 20 == 0 else str(500 * (i % 9)), min_bet=str(0.1 * (i % 12)),
@@ -147,6 +148,14 @@ def test_marts_export_and_clusters(spark, tmp_path):
     best = [r["avg_profitability"] for r in jobs.most_profitable(spark, layout).collect()]
     assert best == sorted(best, reverse=True) and len(best) == 3
 
+    sent = {}
+    monkeypatch.setattr(jobs, "write_jdbc", lambda df, server, table, **kw: sent.update({table: (df.count(), kw)}))
+    jobs.publish(spark, layout, JdbcServer("jdbc:postgresql://host/db"))
+    assert sent["games_raw"] == (200, {}) and sent["provider_stats"][0] == 3
+    assert sent["bet_tier_stats"][1] == {
+        "column_types": "bet_tier varchar(50), total_games int, avg_rtp decimal(6,2)",
+    }
+
     jobs.export(spark, layout)
     exported = spark.read.csv(layout.path("exports", "games_raw"), header=True)
     assert exported.count() == 200 and exported.columns == ["id", *NAMES]
