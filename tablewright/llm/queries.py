@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablewright.llm import decontaminate, pieces
 from tablewright.llm.fingerprint import fingerprints
 from tablewright.workload.tables import Query, table
 
@@ -12,6 +13,21 @@ def _fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints(table(spark, folder, "documents"))
 
 
+# A parameter of the deployment; the file is read on the driver and never copied.
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def _tokens(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.encode(documents, pieces.Vocabulary.load(TOKENIZER))
+
+
+def _decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
+    "op7_sentencepiece": Query(_tokens, None),
+    "op9_decontamination": Query(_decontaminate, None),
     "op10_fingerprints": Query(_fingerprints, None),
 }
