@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontaminate, pieces
+from tablewright.llm import decontaminate, jaccard, pieces
 from tablewright.llm.fingerprint import fingerprints
 from tablewright.workload.tables import Query, table
 
@@ -26,8 +26,13 @@ def _decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def _jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op7_sentencepiece": Query(_tokens, None),
+    "op8_jaccard_join": Query(_jaccard, None),
     "op9_decontamination": Query(_decontaminate, None),
     "op10_fingerprints": Query(_fingerprints, None),
 }
