@@ -19,6 +19,7 @@ from tablewright.session import ship_with_tasks, workspace
 # Bytes of text that a task turns into numpy arrays at once; one longer text is a chunk alone.
 CHUNK_BYTES = 2 << 20
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _ROOT = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
 
@@ -146,7 +147,15 @@ class Store:
 
     def put(self, df: DataFrame, label: str) -> DataFrame:
         path = f"{self.folder}/{label}-{uuid.uuid4().hex[:8]}"
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(_CLEAN_UP, None)
+        self.spark.conf.set(_CLEAN_UP, "true")  # what was shuffled for a stored table is not read again
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_CLEAN_UP)
+            else:
+                self.spark.conf.set(_CLEAN_UP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.stored_at = path
         return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontaminate, jaccard, pieces
+from tablewright.llm import decontaminate, jaccard, pieces, suffixes
 from tablewright.llm.fingerprint import fingerprints
 from tablewright.workload.tables import Query, table
 
@@ -30,7 +30,12 @@ def _jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(table(spark, folder, "documents"))
 
 
+def _suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.removals(table(spark, folder, "documents"))
+
+
 QUERIES = {
+    "op3_suffix_dedup": Query(_suffixes, None),
     "op7_sentencepiece": Query(_tokens, None),
     "op8_jaccard_join": Query(_jaccard, None),
     "op9_decontamination": Query(_decontaminate, None),
