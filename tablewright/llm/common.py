@@ -95,9 +95,9 @@ def _table(true: str | None = None) -> np.ndarray:
 LOWER, SPACE = _table(), _table(" \t\n\v\f\r")
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words (runs without white space), and the first word of each row."""
-    solid = ~SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs without bytes of ``gap``), and the first word of each row."""
+    solid = ~gap[data]
     before = np.empty_like(solid)
     before[1:] = solid[:-1]
     edges = offsets[:-1][offsets[:-1] < len(data)]
@@ -136,6 +136,17 @@ def shingles(words: np.ndarray, first: np.ndarray, width: int = 5) -> tuple[np.n
     return mix(value), begin
 
 
+def sampled_labels(labels: DataFrame, label: str, most: int) -> DataFrame:
+    """About ``most`` labelled documents ``(doc_id, y)`` at most, chosen by a hash of the id.
+
+    A document with several labels counts once, with the largest one. The bound lets the result be
+    broadcast.
+    """
+    clean = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y"))
+    share = min(1.0, most / max(1, clean.count()))
+    return clean.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+
 class Store:
     """Tables between two steps, below ``spark.checkpoint.dir``.
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, jaccard, pieces, suffixes
+from tablewright.llm import decontaminate, jaccard, pieces, quality, suffixes, toxicity
 from tablewright.llm.fingerprint import fingerprints
 from tablewright.workload.tables import Query, table
 
@@ -34,8 +35,37 @@ def _suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.removals(table(spark, folder, "documents"))
 
 
+def held_out(folds: int, fold: int) -> Column:
+    """Whether crc32 of the id as text falls into the fold; a row without an id does not."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
+
+
+TOXIC_FOLDS, TOXIC_HELD, TOXIC_FROM = 3, 1, 0.7
+QUALITY_FOLDS, QUALITY_HELD, QUALITY_FROM = 5, 0, 0.3
+
+
+def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held = held_out(TOXIC_FOLDS, TOXIC_HELD)
+    model = toxicity.fit(documents, labels.where(~held))
+    return toxicity.score(documents, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), F.size("spans").alias("n_spans"),
+    )
+
+
+def _quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held = held_out(QUALITY_FOLDS, QUALITY_HELD)
+    model = quality.fit(documents, labels.where(~held))
+    return quality.score(documents, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= QUALITY_FROM).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
+    "op2_toxicity": Query(_toxicity, None),
     "op3_suffix_dedup": Query(_suffixes, None),
+    "op5_quality": Query(_quality, None),
     "op7_sentencepiece": Query(_tokens, None),
     "op8_jaccard_join": Query(_jaccard, None),
     "op9_decontamination": Query(_decontaminate, None),
