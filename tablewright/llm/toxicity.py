@@ -24,9 +24,9 @@ from tablewright.session import ship_with_tasks
 # which tokens are sent to the driver, with so many tokens each at most. They bound the fit only.
 SAMPLE, TAGGED, TOKENS = 8_000, 3_000, 120
 # A feature marks toxic tokens from this likelihood ratio on, and this much evidence in all.
-RATIO, EVIDENCE = 12.0, 20.0
+RATIO, EVIDENCE = 5.0, 15.0
 MARKS = 20_000
-BEGINNINGS = (3, 4, 5, 6, 8)
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 BITS = 20
 LANES = 2048
 
