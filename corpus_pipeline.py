@@ -3,10 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablewright.llm import decontaminate, jaccard, pieces, suffixes, toxicity
 from tablewright.llm.common import Store
+from tablewright.llm.queries import TOKENIZER, TOXIC_FROM, TOXIC_FOLDS, TOXIC_HELD, held_out
 
-STAGES: list = []
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the threshold.
+
+    The model learns from the labels outside of the held-out fold. Rows without an id or a text
+    are scored like any other; repeated rows stay repeated.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels.where(~held_out(TOXIC_FOLDS, TOXIC_HELD)))
+    return toxicity.mark(docs, model, "__score").where(F.col("__score") < TOXIC_FROM).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document with the smallest id.
+
+    Documents that share an id are one document here: one row stays, that of the smallest text.
+    Rows without an id are no document's copy and stay.
+    """
+    groups = jaccard.join(docs).where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(groups, "doc_id", "left_semi")
+    repeated = kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    others = [c for c in docs.columns if c != "doc_id"]
+    # Ids occur once as a rule; only those that do not are gathered.
+    twice = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in others if c != "text"])).alias("row"))
+    first = twice.select("doc_id", *[F.col(f"row.{c}").alias(c) for c in others]).select(*docs.columns)
+    once = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    return once.unionByName(first).unionByName(docs.where("doc_id IS NULL"))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of long strings that occur earlier; documents left empty stay, empty."""
+    return suffixes.deduplicate(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``lang``, ``source`` and the token ids of every document that is left."""
+    kept = docs.select("doc_id", "lang", "source", "text")
+    return pieces.encode(kept, pieces.Vocabulary.load(TOKENIZER))
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("ngram_jaccard_join", one_of_each_group),
+    ("suffix_array_dedup", without_repeats),
+    ("benchmark_decontamination", without_benchmark),
+    ("sentencepiece", tokens),
+]
 
 # The stages learn a model, walk suffix arrays and search a lattice: none of it is SQL.
 ORACLE_SQL = None

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from tablewright.session import ship_with_tasks, workspace
 
-# Bytes of text that a task turns into numpy arrays at once; one longer text is a chunk alone.
-CHUNK_BYTES = 2 << 20
+# Bytes of text that a task turns into numpy arrays at once, so few that they stay in the cache;
+# one longer text is a chunk alone.
+CHUNK_BYTES = 1 << 18
 
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _ROOT = np.uint64(0x9E3779B97F4A7C15 | 1)

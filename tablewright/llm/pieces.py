@@ -26,6 +26,8 @@ MARK, LITERAL = 0x2581, 0x110000
 BYTE_PENALTY = 10.0
 # Longer words go through the stream one by one; shorter ones side by side, with the same ids.
 SIDE_BY_SIDE = 256
+# Bytes of text at once: words that are new in them are segmented together.
+CHUNK = 2 << 20
 # Words whose ids a task remembers between chunks; beyond that it starts anew.
 REMEMBERED = 1_000_000
 
@@ -330,7 +332,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         at = len(names)
-        for batch in chunks(batches, at):
+        for batch in chunks(batches, at, CHUNK):
             ids, rows = encoder.encode(batch.column(at))
             data, offsets = text_bytes(batch.column(at))
             again, places = encoder.decode(ids, rows)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, jaccard, pieces, quality, suffixes, toxicity
+from tablewright.llm import decontaminate, extract, jaccard, licenses, pieces, quality, suffixes, toxicity, urls
 from tablewright.llm.fingerprint import fingerprints
 from tablewright.workload.tables import Query, table
 
@@ -40,6 +40,94 @@ def held_out(folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
 
 
+RULES = [urls.Rule("net/", False), urls.Rule("example.net/en/", True), urls.Rule("example.com/de/", False), urls.Rule("org/fr/", True)]
+
+
+def _urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), RULES)
+
+
+# Host, path and rule as the library reads them; components by repeated joins from both ends.
+_URLS_SQL = r"""
+    WITH RECURSIVE parts AS (
+        SELECT page_id, url, html,
+            translate(coalesce(regexp_extract(url, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?', 2), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            coalesce(regexp_extract(url, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?', 3), '') AS path,
+            coalesce(regexp_extract(url, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?', 4), '') AS query,
+            regexp_extract(url, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?', 1) AS scheme
+        FROM pages
+    ), raw AS (
+        SELECT host || path || query AS a, scheme, host, unnest([
+            regexp_extract(regexp_extract(html, '(?is)(<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>)', 1), '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1),
+            regexp_extract(regexp_extract(html, '(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>)', 1), '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)
+        ]) AS target
+        FROM parts WHERE host <> ''
+    ), resolved AS (
+        SELECT a, CASE WHEN contains(target, '://') THEN target WHEN starts_with(target, '//') THEN scheme || ':' || target
+            WHEN starts_with(target, '/') THEN scheme || '://' || host || target END AS target
+        FROM raw WHERE target <> ''
+    ), links AS (
+        SELECT a, translate(regexp_extract(target, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?', 2), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+            || regexp_extract(target, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?', 3) || regexp_extract(target, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?', 4) AS b
+        FROM resolved WHERE regexp_extract(target, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?', 2) <> ''
+    ), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach AS (
+        SELECT a, b FROM both_ways
+        UNION
+        SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a
+    ), nodes AS (
+        SELECT node, regexp_extract('x://' || node, '(?s)^(.*?)://([^/?#]*)([^?#]*)', 2) AS host, regexp_extract('x://' || node, '(?s)^(.*?)://([^/?#]*)([^?#]*)', 3) AS path
+        FROM (SELECT DISTINCT b AS node FROM reach)
+    ), judged AS (
+        SELECT node, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN true
+            WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN false
+            WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN true
+            WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN false END AS own
+        FROM nodes
+    ), inherited AS (SELECT r.a AS node, bool_or(own) AS allowed FROM reach r JOIN judged j ON r.b = j.node WHERE own IS NOT NULL GROUP BY r.a),
+    ruled AS (
+        SELECT page_id, host, path, host || path || query AS node,
+            CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+        FROM parts
+    )
+    SELECT page_id, host, path, rule,
+        CASE WHEN coalesce(CASE rule WHEN 'example.net/en/' THEN true WHEN 'org/fr/' THEN true WHEN 'net/' THEN false WHEN 'example.com/de/' THEN false END, allowed, true)
+            THEN 'allow' ELSE 'block' END AS verdict
+    FROM ruled LEFT JOIN inherited USING (node)"""
+
+
+def _licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+# Exact containment of every template in every document: what retrieval by bands must find.
+_LICENSES_SQL = f"""
+    WITH templates(template, t) AS (VALUES {", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in licenses.TEMPLATES.items())}),
+    cut AS (
+        SELECT template, NULL AS doc_id, t FROM templates UNION ALL SELECT NULL, doc_id, text FROM documents
+    ), words AS (
+        SELECT template, doc_id, string_split(trim(regexp_replace(translate(coalesce(t, ''), '{licenses.UPPER}', '{licenses.LOWER}'), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM cut
+    ), sets AS (
+        SELECT template, doc_id, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS h FROM words
+    ), matches AS (
+        SELECT d.doc_id, m.template, len(m.h) AS n_shingles, len(list_intersect(m.h, d.h)) AS n_found
+        FROM sets d, sets m WHERE d.template IS NULL AND m.template IS NOT NULL
+    )
+    SELECT doc_id, template, CAST(n_shingles AS INTEGER) AS n_shingles, CAST(max(n_found) AS INTEGER) AS n_found FROM matches WHERE n_found >= {licenses.CONTAINED} * n_shingles
+    GROUP BY doc_id, template, n_shingles"""
+
+
+def _main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 TOXIC_FOLDS, TOXIC_HELD, TOXIC_FROM = 3, 1, 0.7
 QUALITY_FOLDS, QUALITY_HELD, QUALITY_FROM = 5, 0, 0.3
 
@@ -63,9 +151,12 @@ def _quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": Query(_urls, _URLS_SQL),
     "op2_toxicity": Query(_toxicity, None),
     "op3_suffix_dedup": Query(_suffixes, None),
+    "op4_main_text": Query(_main_text, None),
     "op5_quality": Query(_quality, None),
+    "op6_license_scan": Query(_licenses, _LICENSES_SQL),
     "op7_sentencepiece": Query(_tokens, None),
     "op8_jaccard_join": Query(_jaccard, None),
     "op9_decontamination": Query(_decontaminate, None),
