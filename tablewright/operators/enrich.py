@@ -11,8 +11,9 @@ from tablewright.operators.rollup import Metric, Rollup, rollup
 from tablewright.operators.sizing import MAX_BROADCAST_BYTES, measured_bytes
 from tablewright.session import materialise
 
-# A key with at least this share of all rows is hot; there can be at most 1,000 such keys.
-HOT_SHARE = 0.001
+# A key is hot when it would fill this share of a shuffle partition; there are at most so many
+# hot keys as partitions divided by the share.
+HOT_FILL = 0.5
 
 
 def enrich_with_group_stats(df: DataFrame, key: str, metrics: Sequence[Metric],
@@ -34,8 +35,8 @@ def attach_stats(df: DataFrame, stats: DataFrame, key: str, counter: str,
     """Left join ``df`` with ``stats`` (one row per key, ``counter`` = rows of that key).
 
     Measured small stats are broadcast and no row of ``df`` is shuffled. Larger stats are
-    split: hot keys, at most 1,000, are broadcast; the other rows, none of whose keys holds
-    more than a thousandth of the table, are joined by shuffle.
+    split: keys that would fill half a shuffle partition are broadcast, at most twice as many as
+    there are partitions; the other rows are joined by a sorted shuffle.
     """
     known = stats.where(F.col(key).isNotNull())
     _, size = measured_bytes(known)
@@ -43,7 +44,11 @@ def attach_stats(df: DataFrame, stats: DataFrame, key: str, counter: str,
         return df.join(F.broadcast(known), key, "left")
 
     total = known.agg(F.sum(counter)).first()[0]
-    is_hot = F.col(counter) >= F.lit(HOT_SHARE * total)
+    partitions = int(
+        df.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    )
+    is_hot = F.col(counter) >= F.lit(HOT_FILL * total / partitions)
     hot = known.where(is_hot)
     columns = [key, *[c for c in df.columns if c != key], *[c for c in stats.columns if c != key]]
     unshuffled = (
@@ -54,7 +59,7 @@ def attach_stats(df: DataFrame, stats: DataFrame, key: str, counter: str,
     shuffled = (
         df.where(F.col(key).isNotNull())
         .join(F.broadcast(hot.select(key)), key, "left_anti")
-        .join(known.where(~is_hot), key, "left")
+        .join(known.where(~is_hot).hint("merge"), key, "left")
         .select(*columns)
     )
     return unshuffled.unionByName(shuffled)

@@ -6,7 +6,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -16,9 +15,6 @@ from tablewright.session import ship_with_tasks
 
 ship_with_tasks(__name__)
 
-# Expected rows of the sample from which the starts are drawn.
-START_SAMPLE = 20_000
-
 
 @dataclass(frozen=True)
 class Clustering:
@@ -55,42 +51,51 @@ def _moved(tally: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.where(rows > 0, tally[:, :, 1:-1] / np.maximum(rows, 1), centers)
 
 
-def _spread_start(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k sample points, each drawn with a chance that grows with its squared distance."""
-    random = np.random.default_rng(seed)
-    chosen = [sample[random.integers(len(sample))]]
-    for _ in range(k - 1):
-        gaps = np.min([((sample - c) ** 2).sum(axis=1) for c in chosen], axis=0)
-        total = gaps.sum()
-        chosen.append(sample[random.choice(len(sample), p=gaps / total if total > 0 else None)])
-    return np.array(chosen)
-
-
-def _starting_centers(points: DataFrame, total: int, k: int, seed: int, starts: int,
-                      max_iter: int, tolerance: float) -> np.ndarray:
-    """One set of centres per start, settled on a sample; each start is a task of its own."""
-    spark = points.sparkSession
-    share = min(1.0, START_SAMPLE / total)
-    sample = points.sample(share, seed).limit(2 * START_SAMPLE).toPandas().to_numpy("float64")
-    if len(sample) < k:
-        sample = points.limit(k).toPandas().to_numpy("float64")
-    shared = spark.sparkContext.broadcast(sample)
-
-    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in batch["id"]:
-                centers = _spread_start(shared.value, k, seed + int(start))[None]
-                for _ in range(max_iter):
-                    moved = _moved(_tally(shared.value, centers), centers)
-                    shift = ((moved - centers) ** 2).sum()
-                    centers = moved
-                    if shift <= tolerance:
-                        break
-                yield pd.DataFrame({"start": [start], "flat": [centers.ravel().tolist()]})
+def _chance(points: np.ndarray, seed: int) -> np.ndarray:
+    """A number in (0, 1) for every row that depends only on its values and the seed."""
+    state = np.full(len(points), seed, np.uint64)
+    for column in points.T:
+        # Adding 0.0 makes the two zeros one.
+        state = (state ^ (column + 0.0).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        state = (state ^ (state >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        state ^= state >> np.uint64(32)
+    return ((state >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+
 
-    settled = spark.range(0, starts, 1, starts).mapInPandas(settle, "start long, flat array<double>")
-    rows = sorted(settled.collect(), key=lambda r: r["start"])
-    return np.array([r["flat"] for r in rows]).reshape(starts, k, sample.shape[1])
+def _starting_centers(points: DataFrame, k: int, seed: int, starts: int) -> np.ndarray:
+    """One set of ``k`` rows per start, drawn from all rows; ``k`` passes that all starts share.
+
+    Each next row is drawn with a chance that grows with its squared distance to those drawn
+    before: the row with the least exponential waiting time wins, and the time comes from a hash
+    of the row's values, so the draw does not depend on the partitioning.
+    """
+    names = points.columns
+    chosen = np.empty((starts, 0, len(names)))
+    schema = ", ".join(["start long", "wait double", *[f"c{i} double" for i in range(len(names))]])
+    for step in range(k):
+        def draw(batches: Iterator[pa.RecordBatch], chosen=chosen, step=step) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                if not len(rows):
+                    continue
+                best = []
+                for start in range(starts):
+                    wait = -np.log(_chance(rows, (seed * 1_000_003 + start) * 1_009 + step))
+                    if step:
+                        gaps = ((rows[:, None] - chosen[start]) ** 2).sum(axis=2).min(axis=1)
+                        with np.errstate(divide="ignore"):
+                            wait = wait / gaps
+                    least = int(wait.argmin())
+                    best.append((start, wait[least], *rows[least]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(b[0]) for b in best]), *[pa.array([float(b[i]) for b in best]) for i in range(1, len(names) + 2)]],
+                    names=["start", "wait", *[f"c{i}" for i in range(len(names))]],
+                )
+
+        drawn = points.mapInArrow(draw, schema).groupBy("start").agg(F.min(F.struct("wait", *[f"c{i}" for i in range(len(names))])).alias("best"))
+        rows = {r["start"]: list(r["best"])[1:] for r in drawn.collect()}
+        chosen = np.concatenate([chosen, np.array([[rows[s]] for s in range(starts)])], axis=1)
+    return chosen
 
 
 def _one_pass(points: DataFrame, centers: np.ndarray) -> np.ndarray:
@@ -125,7 +130,8 @@ def fit_kmeans(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 4
     One pass over the rows moves the centres of all starts that still move, so ten starts
     cost as many passes as the slowest one, not the sum. A pass returns one row per centre.
     A start is done when the squared moves of its centres sum up to ``tolerance`` or less.
-    Rows must have no null in ``features``.
+    Rows must have no null in ``features``. Starts are drawn from all rows, and the centres are
+    numbered by their coordinates, so the result does not depend on the partitioning.
 
     Only the features are kept, in memory and then on local disk; a lost block is read
     again from ``df``.
@@ -142,7 +148,7 @@ def fit_kmeans(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 4
             spread.count()
             points.unpersist()
             points = spread
-        centers = _starting_centers(points, total, k, seed, starts, max_iter, tolerance)
+        centers = _starting_centers(points, k, seed, starts)
         moving = np.ones(starts, dtype=bool)
         passes = 0
         while moving.any() and passes < max_iter:
@@ -156,7 +162,7 @@ def fit_kmeans(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 4
         points.unpersist()
     best = int(costs.argmin())
     return Clustering(
-        tuple(tuple(float(x) for x in c) for c in centers[best]),
+        tuple(sorted(tuple(float(x) for x in c) for c in centers[best])),
         float(costs[best]),
         tuple(float(c) for c in costs),
         passes + 1,

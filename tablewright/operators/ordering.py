@@ -11,8 +11,13 @@ from pyspark.sql.window import Window
 from tablewright.operators.enrich import attach_stats
 from tablewright.session import materialise
 
-# Digest prefix that forms the histogram buckets: 16**4 = 65,536 rows per group at most.
-_PREFIX = 4
+
+def _prefix_length(rows: int, n: int) -> int:
+    """Hexadecimal digits of a digest prefix that about ``n`` of ``rows`` rows share, or fewer."""
+    length = 1
+    while rows > max(n, 1) * 16**length and length < 12:
+        length += 1
+    return length
 
 
 def ranked(df: DataFrame, metric: str, tie: str, nulls_first: bool = False) -> DataFrame:
@@ -43,7 +48,8 @@ def stable_sample(df: DataFrame, n: int, identity: Sequence[str] | None = None,
     The sample is the ``n`` rows with the smallest digest, so it does not depend on the
     partitioning. ``df`` is read twice, so pass a written table.
 
-    A histogram of digest prefixes first gives the prefix at which ``n`` rows are reached.
+    A histogram of digest prefixes, whose length follows the number of rows, first gives the
+    prefix at which ``n`` rows are reached.
     Only rows up to that prefix go on: about ``n`` rows and one bucket, not ``n`` rows from
     every task. Equal rows are then counted, not sorted, so a hot group of copies is one row.
     """
@@ -53,7 +59,8 @@ def stable_sample(df: DataFrame, n: int, identity: Sequence[str] | None = None,
         F.concat(F.lit("="), F.col(by).cast("string")), F.lit("null")
     )
     tagged = tagged.withColumn("__group", group)
-    tagged = tagged.withColumn("__bucket", F.substring("__digest", 1, _PREFIX))
+    prefix = _prefix_length(df.count(), n)
+    tagged = tagged.withColumn("__bucket", F.substring("__digest", 1, prefix))
 
     along = Window.partitionBy("__group").orderBy("__bucket")
     earlier = F.coalesce(

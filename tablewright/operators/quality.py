@@ -84,6 +84,13 @@ def key_violations(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def fingerprint(df: DataFrame) -> str:
+    """Count and sum of row hashes: equal for equal rows in any order, whatever their partitioning."""
+    hashed = df.select(F.xxhash64(*df.columns).cast("decimal(38,0)").alias("h"))
+    row = hashed.agg(F.count("*").alias("n"), F.coalesce(F.sum("h"), F.lit(0)).alias("s")).first()
+    return f"{row['n']}-{int(row['s']) % (1 << 64):016x}"
+
+
 def same_rows(before: DataFrame, after: DataFrame) -> bool:
     """True if both tables have the same number of rows."""
     counts = {r["table"]: r["rows"] for r in row_counts({"before": before, "after": after}).collect()}

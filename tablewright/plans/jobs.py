@@ -13,13 +13,13 @@ from tablewright.operators.clean import require_values
 from tablewright.operators.ids import dense_id, slice_of, surrogate_id
 from tablewright.operators.kmeans import fit_kmeans
 from tablewright.operators.ordering import top_k
-from tablewright.operators.quality import key_violations, profile, row_counts, same_rows
+from tablewright.operators.quality import fingerprint, key_violations, profile, row_counts, same_rows
 from tablewright.operators.rollup import rollups_in_one_pass
 from tablewright.plans import games
 from tablewright.session import materialise, scratch_tables, sized_shuffles
 from tablewright.sinks.contracts import apply_contract
 from tablewright.sinks.files import export_csv, write_all, write_jdbc, write_json, write_parquet
-from tablewright.sources.csv import EMPTY_ONLY, PANDAS_TOKENS, read_csv, read_csv_text, typed
+from tablewright.sources.csv import EMPTY_ONLY, PANDAS_TOKENS, read_csv, read_csv_text, text_profile, typed
 from tablewright.sources.manifest import file_manifest, folder_bytes
 from tablewright.sources.tables import JdbcServer
 from tablewright.streaming import (
@@ -58,7 +58,7 @@ def ingest(spark: SparkSession, source: str, layout: Layout,
         landed = spark.read.parquet(landing)
         measured = profile(
             typed(landed, schema, PANDAS_TOKENS).select("source_file", *names), ["source_file"]
-        )
+        ).drop("nulls").join(text_profile(landed, schema, PANDAS_TOKENS), "source_file")
         record = manifest.join(measured, F.col("file") == F.col("source_file"), "left").select(
             "file",
             F.current_timestamp().alias("ingestion_ts"),
@@ -71,6 +71,7 @@ def ingest(spark: SparkSession, source: str, layout: Layout,
                 "nulls", F.create_map(*[x for n in names for x in (F.lit(n), F.lit(0).cast("long"))])
             ).alias("nulls"),
             F.coalesce("duplicates", F.lit(0)).alias("duplicates"),
+            F.coalesce("unreadable", F.create_map().cast("map<string,bigint>")).alias("unreadable"),
             F.lit("SUCCESS").alias("status"),
         )
         log = layout.path("raw", "ingestion_log")
@@ -116,32 +117,39 @@ def increments(spark: SparkSession, layout: Layout, n: int = 5,
                bytes_per_trigger: int = 64 * 1024**3) -> DataFrame:
     """Replay the processed table in ``n`` increments and return the progress table.
 
-    A micro-batch takes at most ``bytes_per_trigger`` of files. A repeated run continues the
-    same feed and adds nothing.
+    A micro-batch takes at most ``bytes_per_trigger`` of files. Feed and output belong to the
+    fingerprint of their rows: a repeated run continues the same feed and adds nothing, and a
+    processed table with other rows makes a new feed. The output is published last, when it was
+    found to hold exactly the rows of the feed; :func:`increment_output` reads it.
     """
-    feed, target = layout.path("stream", "feed"), layout.path("stream", "output")
     rows = spark.read.parquet(layout.path("processed"))
+    # Rows that are equal in the columns of the feed may differ elsewhere: slice by all.
+    identity = [c for c in rows.columns if c in games.RAW_SCHEMA.fieldNames()]
+    sliced = rows.withColumn(BATCH, slice_of(n, *identity)).select(*games.INCREMENT_INPUT, BATCH)
     schema = T.StructType([
         *[rows.schema[c] for c in games.INCREMENT_INPUT], T.StructField(BATCH, T.IntegerType()),
     ])
+    mark = fingerprint(sliced)
+    feed, target = layout.path("stream", f"feed-{mark}"), layout.path("stream", f"output-{mark}")
     if not _exists(spark, feed):
-        # Rows that are equal in the columns of the feed may differ elsewhere: slice by all.
-        identity = [c for c in rows.columns if c in games.RAW_SCHEMA.fieldNames()]
-        sliced = rows.withColumn(BATCH, slice_of(n, *identity))
-        stage_increments(
-            sliced.select(*games.INCREMENT_INPUT, BATCH), feed, n, slice_column=F.col(BATCH)
-        )
+        stage_increments(sliced, feed, n, slice_column=F.col(BATCH), mode="overwrite")
     process_increments(
         spark, feed, schema, target, games.flag_increment, bytes_per_trigger=bytes_per_trigger
     )
     output = read_increments(spark, target)
-    if not same_rows(rows, output):
-        raise RuntimeError(
-            "the processed table is not the one that the feed was made of; use a new folder"
-        )
+    same = [c for c in sliced.columns if c in output.columns]
+    if fingerprint(sliced.select(*same)) != fingerprint(output.select(*same)):
+        raise RuntimeError("the output does not hold the rows of the processed table")
+    write_parquet(spark.createDataFrame([(target,)], "path string"), layout.path("stream", "current"))
     return progress(output)
 
 
+def increment_output(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Rows of the last run of :func:`increments` that succeeded."""
+    target = spark.read.parquet(layout.path("stream", "current")).first()["path"]
+    return read_increments(spark, target)
+
+
 def marts(spark: SparkSession, layout: Layout) -> DataFrame:
     """Publish the typed marts; returns their row counts."""
     published = {}

@@ -35,7 +35,6 @@ def build_session(app: str = "tablewright", master: str | None = None,
         if cores.isdigit():
             builder = (
                 builder.config("spark.sql.shuffle.partitions", cores)
-                .config("spark.driver.memory", "16g")
                 .config("spark.driver.host", "localhost")
                 .config("spark.ui.enabled", "false")
                 .config("spark.ui.showConsoleProgress", "false")

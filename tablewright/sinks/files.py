@@ -12,7 +12,7 @@ from tablewright.operators.sizing import measured_bytes
 from tablewright.sources.csv import read_csv_text
 from tablewright.sources.tables import JdbcServer
 
-# A table of at most this size may become one CSV file.
+# A report of at most this size becomes one CSV file, a larger one stays in parts.
 SINGLE_FILE_BYTES = 64 * 1024 * 1024
 
 
@@ -44,13 +44,10 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False,
                null_value: str = "", rows_per_file: int | None = None) -> None:
     """CSV with a header in every file.
 
-    ``single_file`` is for reports and is refused for a table that is too large for one
-    task; without it the export stays as wide as the table.
+    ``single_file`` is for reports: a table that one task can write becomes one file. A larger
+    one is exported all the same, in parts, as is every table without it.
     """
-    if single_file:
-        rows, size = measured_bytes(df)
-        if size > SINGLE_FILE_BYTES:
-            raise ValueError(f"{rows} rows are too many for one file; export several")
+    if single_file and measured_bytes(df)[1] <= SINGLE_FILE_BYTES:
         df = df.coalesce(1)
     writer = df.write.mode("overwrite").option("header", True).option("nullValue", null_value)
     writer = writer.option("escape", '"')
@@ -61,8 +58,11 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False,
 
 
 def export_progress(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
-    """``(part, rows, total)`` of a finished CSV export; ``total`` is the running sum."""
-    parts = read_csv_text(spark, path, names).groupBy(F.col("source_file").alias("part"))
+    """``(part, rows, total)`` of a finished CSV export; ``total`` is the running sum.
+
+    Rows are counted, not lines: a quoted value may hold line breaks.
+    """
+    parts = read_csv_text(spark, path, names, multi_line=True).groupBy(F.col("source_file").alias("part"))
     return running_total(parts.agg(F.count("*").alias("rows")), "part", "rows", "total")
 
 

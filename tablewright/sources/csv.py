@@ -62,12 +62,39 @@ def typed(df: DataFrame, schema: T.StructType,
         value = null_tokens_to_null(field.name, null_tokens)
         if isinstance(field.dataType, T.BooleanType):
             value = parse_boolean(value)
+        elif isinstance(field.dataType, T.IntegralType):
+            # A whole number may be written with decimals, as of a column that had gaps.
+            text = F.regexp_replace(F.trim(value), r"^([+-]?[0-9]+)\.0*$", "$1")
+            value = text.try_cast(field.dataType)
         elif not isinstance(field.dataType, T.StringType):
             value = F.trim(value).try_cast(field.dataType)
         columns[field.name] = value
     return df.withColumns(columns)
 
 
+def text_profile(landed: DataFrame, schema: T.StructType,
+                 null_tokens: Sequence[str] = EMPTY_ONLY) -> DataFrame:
+    """Per ``source_file`` the missing values of each column, ``nulls``, and ``unreadable``.
+
+    Missing are the null tokens; text that is there but does not fit its type is unreadable. Only
+    columns with such text are in the second map.
+    """
+    names = schema.fieldNames()
+    both = typed(
+        landed.select("source_file", *names, *[null_tokens_to_null(c, null_tokens).alias(f"__{c}") for c in names]),
+        schema, null_tokens,
+    )
+    counted = both.groupBy("source_file").agg(
+        *[F.count_if(F.col(f"__{c}").isNull()).alias(f"__null_{i}") for i, c in enumerate(names)],
+        *[F.count_if(F.col(f"__{c}").isNotNull() & F.col(c).isNull()).alias(f"__bad_{i}") for i, c in enumerate(names)],
+    )
+    nulls = F.create_map(*[x for i, c in enumerate(names) for x in (F.lit(c), F.col(f"__null_{i}"))])
+    bad = F.create_map(*[x for i, c in enumerate(names) for x in (F.lit(c), F.col(f"__bad_{i}"))])
+    return counted.select(
+        "source_file", nulls.alias("nulls"), F.map_filter(bad, lambda _, n: n > 0).alias("unreadable")
+    )
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
              null_tokens: Sequence[str] = EMPTY_ONLY, multi_line: bool = False,
              glob: str = "*.csv") -> DataFrame:

@@ -2,65 +2,32 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-from urllib.parse import unquote, urlparse
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions import megabytes
-from tablewright.session import ship_with_tasks
-
-ship_with_tasks(__name__)
-
-# Files up to this size are digested from one in-memory value; larger ones as a stream.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
-
-
-def _open(uri: str):
-    parsed = urlparse(uri)
-    if parsed.scheme in ("", "file"):
-        return open(unquote(parsed.path), "rb")
-    from pyarrow import fs
-
-    system, path = fs.FileSystem.from_uri(uri)
-    return system.open_input_stream(path)
-
 
-def _streamed_md5(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in paths:
-        digests = []
-        for uri in batch:
-            digest = hashlib.md5()
-            with _open(uri) as stream:
-                while block := stream.read(4 * 1024 * 1024):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield pd.Series(digests)
+# The largest file that Spark's reader holds in one value.
+MOST_BYTES = 2**31 - 1
 
 
-def file_manifest(spark: SparkSession, path: str, glob: str = "*.csv",
-                  whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+def file_manifest(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """``(file, path, bytes, size_mb, md5)`` of every file in ``path`` that fits ``glob``.
 
-    MD5 of one file is sequential, so a file is one task's work; a file that would not fit
-    in a value is read as a stream. The size test reaches the scan, which then opens only
-    the files that it needs.
+    All files are read by Spark, with its storage settings, whatever their scheme. MD5 of one
+    file is sequential, so a file is one task's work; one of more than 2 GB is an error.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    streamed = F.pandas_udf(_streamed_md5, "string")
-    small = files.where(F.col("length") <= whole_file_bytes).withColumn("md5", F.md5("content"))
-    large = files.where(F.col("length") > whole_file_bytes).withColumn("md5", streamed("path"))
-    columns = [
+    sizes = files.agg(F.max("length")).first()[0] or 0
+    if sizes > MOST_BYTES:
+        raise ValueError(f"{path}: a file of {sizes} bytes is too large for a digest; split it")
+    return files.select(
         F.element_at(F.split("path", "/"), -1).alias("file"),
         F.col("path"),
         F.col("length").alias("bytes"),
         megabytes("length").alias("size_mb"),
-        F.col("md5"),
-    ]
-    return small.select(*columns).unionByName(large.select(*columns))
+        F.md5("content").alias("md5"),
+    )
 
 
 def folder_bytes(spark: SparkSession, path: str, glob: str = "*") -> int:

@@ -28,17 +28,19 @@ def checkpoint_path(target: str) -> str:
 
 
 def stage_increments(df: DataFrame, feed: str, n: int, *key: str,
-                     slice_column: Column | None = None) -> T.StructType:
+                     slice_column: Column | None = None,
+                     mode: str = "append") -> T.StructType:
     """Write ``df`` as a feed of ``n`` increments and return the feed's schema.
 
     The slice comes from the values of ``key`` (all columns if none is given), so a retry
     puts a row into the same increment. Select the columns that the stream needs first; the
     feed is a copy. The rows are rebalanced by increment into files of even size: without
-    it, every task would write a small file per increment.
+    it, every task would write a small file per increment. ``mode`` is "overwrite" for a feed
+    whose staging may have been cut short.
     """
     chosen = slice_of(n, *(key or df.columns)) if slice_column is None else slice_column.cast("int")
     staged = df.withColumn(BATCH, chosen)
-    staged.hint("rebalance", BATCH).write.mode("append").partitionBy(BATCH).parquet(feed)
+    staged.hint("rebalance", BATCH).write.mode(mode).partitionBy(BATCH).parquet(feed)
     return staged.schema
 
 

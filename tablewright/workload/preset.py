@@ -126,7 +126,7 @@ def games_increments(spark: SparkSession, folder: str) -> DataFrame:
     layout = jobs.Layout(workspace(spark))
     games_processed(spark, folder).write.parquet(layout.path("processed"))
     jobs.increments(spark, layout, 5)
-    output = spark.read.parquet(layout.path("stream", "output", "data"))
+    output = jobs.increment_output(spark, layout)
     return output.groupBy("rtp_flag", "is_premium").agg(F.count("*").alias("games"))
 
 

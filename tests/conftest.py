@@ -13,7 +13,7 @@ TESTDATA = "/root/testdata"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", {"spark.sql.ui.retainedExecutions": "1"})
+    session = build_session("tests", "local[8]", {"spark.sql.ui.retainedExecutions": "1", "spark.driver.memory": "12g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
