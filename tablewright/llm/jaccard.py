@@ -8,6 +8,11 @@ partitions, at least one holds no differing element. Partitions are so many that
 all clean ones are empty, too, is below 1e-12 a pair. Sets of up to nine elements are
 cut into single elements, and all subsets after the allowed deletions are signatures.
 
+Boilerplate would give unlike documents equal signatures. Sets of which at most a third are very
+frequent shingles therefore also sign without them, and those of which under a tenth are frequent
+sign only so: similar sets still have one way of signing in common, and leaving elements out never
+makes sets differ more. Which shingles count as frequent changes the cost, not the links.
+
 Links are found without pairing a whole bucket: members are first checked against the bucket's
 smallest member; only buckets that still span several groups are looked at pair by pair, in blocks
 of bounded size, by parity sketches that never rule out a similar pair; what is left is checked.
@@ -36,6 +41,11 @@ SHARE, NEED = 75, 100
 TINY = 9
 # Signatures that a task sorts at once, and those that meet in one bucket of the exchange.
 FLUSH, BUCKET = 1_500_000, 1_000_000
+# Shingles that a share of all documents has are frequent; so many of them at most, the most
+# frequent ones first, which bounds what is sent to the tasks.
+FREQUENT, MOST_FREQUENT = 0.001, 100_000
+# Shares of frequent shingles up to which a set signs without them, and from which with them.
+WITHOUT, WITH = 1 / 3, 0.1
 # Members of a signature in one block of pairwise comparison.
 BLOCK = 2048
 
@@ -47,8 +57,9 @@ def _bands() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         low.append(high[-1] + 1)
     for a, b in zip(low, high):
         k = (NEED - SHARE) * 2 * b // (NEED + SHARE)
-        common = math.ceil(SHARE * a / NEED)
-        parts.append(max(k + 1, math.ceil(k * 10 ** min(12 / common, 6))))
+        # Common elements of a pair at least, all of them or those that are not frequent.
+        common = (math.ceil((SHARE / NEED - WITHOUT) * a), math.ceil(SHARE * a / NEED))
+        parts.append([max(k + 1, math.ceil(k * 10 ** min(12 / c, 6))) for c in common])
     return np.array(low[:64]), np.array(high), np.array(parts, np.int64)
 
 
@@ -76,35 +87,41 @@ def short(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-def signatures(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(values: np.ndarray, at: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All signatures and the row of each; the low six bits are the band of the larger set.
 
     Every set signs for its own band and for the next one, where it may be the smaller set.
+    ``frequent`` is sorted.
     """
     sizes = np.diff(at)
     element = mix(values)
-    out, rows = [], []
+    all_rows = np.repeat(np.arange(len(sizes)), sizes)
+    near = np.searchsorted(frequent, values)
+    common = np.zeros(len(values), bool)
+    common[near < len(frequent)] = frequent[near[near < len(frequent)]] == values[near < len(frequent)]
+    share = np.bincount(all_rows, common, minlength=len(sizes)) / np.maximum(sizes, 1)
+    out, rows = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     for step in (0, 1):
         band = np.searchsorted(LOW, sizes, side="right") - 1 + step
         wide = (sizes > 0) & (band >= 0) & (HIGH[np.clip(band, 0, 63)] > TINY)
-        parts = np.where(wide, PARTS[np.clip(band, 0, 63)], 0)
-        base = np.concatenate([[0], np.cumsum(parts)])
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        of = wide[row]
-        row, item = row[of], element[of]
-        seed = mix(band.astype(np.uint64) + np.uint64(77))[row]
-        part = ((mix(item ^ seed) >> np.uint64(32)) * parts[row].astype(np.uint64)) >> np.uint64(32)
-        cell = base[row] + part.astype(np.int64)
-        low = np.bincount(cell, (item & np.uint64(0xFFFFFFFF)).astype(float), minlength=base[-1])
-        high = np.bincount(cell, (item >> np.uint64(32)).astype(float), minlength=base[-1])
-        full = np.flatnonzero(np.bincount(cell, minlength=base[-1]))
-        whose = np.searchsorted(base, full, side="right") - 1
-        content = low[full].astype(np.uint64) + (high[full].astype(np.uint64) << np.uint64(32))
-        value = mix(content + mix((full - base[whose]).astype(np.uint64) ^ seed_of(band[whose])))
-        out.append((value & ~np.uint64(63)) | band[whose].astype(np.uint64))
-        rows.append(whose)
-        tiny = np.flatnonzero((sizes > 0) & ~wide)
-        for r in tiny.tolist():
+        for mode, signs in enumerate((share <= WITHOUT, share >= WITH)):
+            parts = np.where(wide & signs, PARTS[np.clip(band, 0, 63), mode], 0)
+            base = np.concatenate([[0], np.cumsum(parts)])
+            of = parts[all_rows] > 0 if mode else (parts[all_rows] > 0) & ~common
+            row, item = all_rows[of], element[of]
+            seed = seed_of(2 * band + mode)
+            part = ((mix(item ^ seed[row]) >> np.uint64(32)) * parts[row].astype(np.uint64)) >> np.uint64(32)
+            cell = base[row] + part.astype(np.int64)
+            # Sums of 64-bit values per cell, exact in two halves.
+            low = np.bincount(cell, (item & np.uint64(0xFFFFFFFF)).astype(float), minlength=base[-1])
+            high = np.bincount(cell, (item >> np.uint64(32)).astype(float), minlength=base[-1])
+            full = np.flatnonzero(np.bincount(cell, minlength=base[-1]))
+            whose = np.searchsorted(base, full, side="right") - 1
+            content = low[full].astype(np.uint64) + (high[full].astype(np.uint64) << np.uint64(32))
+            value = mix(content + mix((full - base[whose]).astype(np.uint64) ^ seed[whose]))
+            out.append((value & ~np.uint64(63)) | band[whose].astype(np.uint64))
+            rows.append(whose)
+        for r in np.flatnonzero((sizes > 0) & ~wide).tolist():
             own = [int(x) for x in element[at[r] : at[r + 1]]]
             total, b = sum(own), int(band[r])
             found = {total - sum(gone) for d in range(len(own) * (NEED - SHARE) // NEED + 1) for gone in itertools.combinations(own, d)}
@@ -118,15 +135,41 @@ def seed_of(band: np.ndarray) -> np.ndarray:
     return mix(band.astype(np.uint64) + np.uint64(1_000_003))
 
 
+_CLASS = "doc_id long, n_shingles long, c binary, k long, frequent binary"
+
+
 def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    powers = Powers()
+    """Class of every document; and, once a flush, the shingles that many of its documents have."""
+    names = ["doc_id", "n_shingles", "c", "k", "frequent"]
+    powers, held, size, documents = Powers(), [], 0, 0
+
+    def flush() -> pa.RecordBatch:
+        value, count = np.unique(np.concatenate(held), return_counts=True)
+        many = count >= max(4, documents * FREQUENT)
+        pack = np.stack([value[many].view(np.int64), count[many]], 1).tobytes()
+        return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([pack], pa.binary())], names=names)
+
     for batch in chunks(batches, 1):
         values, at = shingle_sets(batch.column(1), powers)
         keys = [digest(values[a:b]) if b > a else None for a, b in zip(at, at[1:])]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(at)), pa.array(keys, pa.binary()), pa.array([None if k is None else short(k) for k in keys], pa.int64())],
-            names=["doc_id", "n_shingles", "c", "k"],
+            [batch.column(0), pa.array(np.diff(at)), pa.array(keys, pa.binary()), pa.array([None if k is None else short(k) for k in keys], pa.int64()), pa.nulls(batch.num_rows, pa.binary())],
+            names=names,
         )
+        held.append(values)
+        size, documents = size + len(values), documents + batch.num_rows
+        if size >= FLUSH:
+            yield flush()
+            held, size, documents = [], 0, 0
+    if held:
+        yield flush()
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for pack in batch.column(0).to_pylist():
+            rows = np.frombuffer(pack, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["h", "n"])
 
 
 _ROW = "bucket int, sig long, k long, pack binary"
@@ -173,7 +216,7 @@ def _distinct(sig: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return sig, key, np.repeat(np.diff(_runs(sig)), np.diff(_runs(sig)))
 
 
-def _sign(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], buckets: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Signatures of a task, packed by bucket.
 
     Members of a signature that several sets of the task share leave as rows at once; only one of
@@ -198,7 +241,7 @@ def _sign(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
 
     for batch in chunks(batches, 0):
         values, at = shingle_sets(batch.column(0), powers)
-        sig, row = signatures(values, at)
+        sig, row = signatures(values, at, frequent)
         keys = np.array([short(digest(values[a:b])) if b > a else 0 for a, b in zip(at, at[1:])], np.int64)
         held.append((sig, keys[row]))
         size += len(sig)
@@ -275,7 +318,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values = _set_of(z, powers)
             band = int(np.searchsorted(LOW, len(values), side="right")) - 1
             for b in (band, band + 1):
-                width = int(min(8192, max(256, 1 << int(8 * HIGH[b]).bit_length())))
+                width = int(min(8192, max(256, 1 << int(4 * HIGH[b]).bit_length())))
                 cell = mix(values ^ np.uint64(0x5BD1E995)) & np.uint64(width - 1)
                 parity = np.bincount(cell.astype(np.int64), minlength=width) & 1
                 keys.append(c)
@@ -342,12 +385,16 @@ def join(documents: DataFrame) -> DataFrame:
     """
     store = Store(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    classes = store.put(texts.mapInArrow(_classify, "doc_id long, n_shingles long, c binary, k long"), "classes")
-    total = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    everything = store.put(texts.mapInArrow(_classify, _CLASS), "classes")
+    classes = everything.where("frequent IS NULL").drop("frequent")
+    total, number = (x or 0 for x in classes.agg(F.sum("n_shingles"), F.count("*")).first())
     buckets = max(1, -(-total // BUCKET))
+    counts = everything.where("frequent IS NOT NULL").select("frequent").mapInArrow(_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") >= max(8, FREQUENT * number)).orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).select("h").toArrow()
+    frequent = np.sort(top.column("h").to_numpy().astype(np.int64).view(np.uint64))
     representative = classes.where("c IS NOT NULL AND doc_id IS NOT NULL").groupBy("c", "k").agg(F.min("doc_id").alias("doc_id"))
 
-    signed = texts.where("doc_id IS NOT NULL").select("text").mapInArrow(lambda batches: _sign(batches, buckets), _ROW)
+    signed = texts.where("doc_id IS NOT NULL").select("text").mapInArrow(lambda batches: _sign(batches, buckets, frequent), _ROW)
     members = store.put(
         signed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "sig long, k long").distinct(), "members"
     )
