@@ -94,6 +94,17 @@ def kmeans_best_of_n(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.label_clusters(summary, LABELS, "Standard")
 
 
+def kmeans_separated(spark: SparkSession, folder: str) -> DataFrame:
+    """All order lines on a feature with four far groups: the best partition is known."""
+    quarter = F.floor((F.col("l_quantity") - 1) / 12.5)
+    lines = table(spark, folder, "lineitem").select("l_quantity", (quarter * 1000 + F.col("l_discount") * 10).alias("x"))
+    fit = fit_kmeans(lines, ["x"], k=4, starts=5)
+    assigned = clusters.assign_clusters(lines, ["x"], fit.centers)
+    return assigned.groupBy("cluster").agg(
+        F.count("*").alias("lines"), round_mean(F.avg("l_quantity"), 2).alias("avg_quantity")
+    )
+
+
 _SCALED_SQL = """
     stats AS (
         SELECT """ + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATURES) + """
@@ -191,4 +202,8 @@ QUERIES = {
         QUALIFY row_number() OVER (PARTITION BY cluster
             ORDER BY md5(concat_ws('|', CAST(event_id AS VARCHAR), '42'))) <= 3000"""),
     "kmeans_best_of_n": Query(kmeans_best_of_n, None),
+    "kmeans_separated": Query(kmeans_separated, f"""
+        SELECT CAST(floor((l_quantity - 1) / 12.5) AS INTEGER) AS cluster, count(*) AS lines,
+            {half_up("avg(l_quantity)")} AS avg_quantity
+        FROM lineitem GROUP BY 1"""),
 }

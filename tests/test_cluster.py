@@ -122,3 +122,9 @@ def test_points_are_limited_per_cluster(spark):
     points = c.cluster_points(df, ["x", "y"], per_cluster=50, identity=["id"])
     assert points.columns == ["x", "y", "cluster"]
     assert {r["count"] for r in points.groupBy("cluster").count().collect()} == {50}
+
+
+def test_kmeans_does_not_depend_on_the_partitioning(spark):
+    df = blobs(spark)
+    fits = [fit_kmeans(df.repartition(n), ["x", "y"], k=4, starts=3) for n in (4, 7)]
+    assert [[round(x, 6) for x in c] for c in fits[0].centers] == [[round(x, 6) for x in c] for c in fits[1].centers]
