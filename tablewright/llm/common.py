@@ -49,6 +49,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def lowered(column: pa.Array) -> pa.Array:
+    """A string column in lower case, with as many code points; null stays null."""
+    return pc.utf8_lower(column)
+
+
+def folded(column: pa.Array) -> pa.Array:
+    """A string column in lower case, where the letter that has two capitals is written as two."""
+    return pc.replace_substring(pc.utf8_lower(column), "ß", "ss")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(30))

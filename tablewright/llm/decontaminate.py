@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import Powers, chunks, shingles, text_bytes, word_hashes
+from tablewright.llm.common import Powers, chunks, folded, shingles, text_bytes, word_hashes
 from tablewright.session import ship_with_tasks
 
 # BM25: saturation of repeated terms and length normalisation.
@@ -73,7 +73,7 @@ def build_index(items: list[tuple[int, str, str]]) -> Index:
     powers = Powers()
 
     def hashed(texts: list[str]) -> list[np.ndarray]:
-        data, offsets = text_bytes(pa.array(texts, pa.string()))
+        data, offsets = text_bytes(folded(pa.array(texts, pa.string())))
         words, first = word_hashes(data, offsets, powers)
         return [words[a:b] for a, b in zip(first, first[1:])]
 
@@ -187,7 +187,7 @@ def _share(part: np.ndarray, of: np.ndarray) -> float:
 def _search(index: Index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     powers = Powers()
     for batch in chunks(batches, 1):
-        data, offsets = text_bytes(batch.column(1))
+        data, offsets = text_bytes(folded(batch.column(1)))
         words, first = word_hashes(data, offsets, powers)
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
         for begin, end, row, item, score in zip(*(x.tolist() for x in retrieve(index, words, first))):
@@ -208,7 +208,7 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for every document and test item that it contains, with the best passage's figures.
 
     ``documents`` has ``doc_id`` and ``text``; ``benchmark`` has ``item_id`` and ``text``, or
-    ``question`` and ``answer`` in place of ``text``. Words are compared with A-Z lower-cased and
+    ``question`` and ``answer`` in place of ``text``. Words are compared in lower case, with
     white space ignored. Null or empty texts match nothing, an empty benchmark gives no rows, equal
     items match separately, and further columns are ignored. Rows with equal ``doc_id`` are
     matched separately.

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import LOWER, Powers, chunks, mix, sampled_labels, text_bytes, word_spans
+from tablewright.llm.common import Powers, chunks, lowered, mix, sampled_labels, text_bytes, word_spans
 from tablewright.session import ship_with_tasks
 
 # Labelled documents from which features are counted and the document model is fit, and those of
@@ -44,9 +44,9 @@ class Model(NamedTuple):
 
 def tokens(column: pa.Array, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Features of every token (own ones, by column), first token of each row, starts and ends."""
-    data, offsets = text_bytes(column)
+    data, offsets = text_bytes(lowered(column))
     starts, ends, first = word_spans(data, offsets, _GAP)
-    prefix = powers.prefix(LOWER[data])
+    prefix = powers.prefix(data)
     own = [powers.between(prefix, starts, ends)]
     for size in BEGINNINGS:
         own.append(mix(powers.between(prefix, starts, np.minimum(starts + size, ends)) + np.uint64(size)))
@@ -235,7 +235,7 @@ def _measure(batches: Iterator[pa.RecordBatch], model: Model, score: bool) -> It
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x[:, i]) for i in range(3))], names=["y", "a", "b", "c"])
             continue
         value = 1 / (1 + np.exp(-(x @ model.document[:-1] + model.document[-1])))
-        data, offsets = text_bytes(batch.column(1))
+        data, offsets = text_bytes(lowered(batch.column(1)))
         chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         hit = np.flatnonzero(toxic >= 0.5)
         row = np.searchsorted(first, hit, side="right") - 1
