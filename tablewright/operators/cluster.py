@@ -101,17 +101,20 @@ def label_clusters(summary: DataFrame, rules: Sequence[tuple[str, str]], default
                    cluster: str = "cluster") -> DataFrame:
     """Add ``label``: the label of the last metric in ``rules`` that the cluster leads.
 
-    ``summary`` has k rows, so the label side of the join has at most one row per rule.
+    ``summary`` has k rows, one per cluster: one aggregate gathers them with the leaders of all
+    metrics, so what the summary is made of is read once.
     """
-    names = F.create_map(*[x for metric, label in rules for x in (F.lit(metric), F.lit(label))])
-    labels = (
-        cluster_argmax(summary, [m for m, _ in rules], cluster)
-        .groupBy(cluster)
-        .agg(F.max_by(names[F.col("metric")], F.col("priority")).alias("label"))
-    )
-    return summary.join(F.broadcast(labels), cluster, "left").withColumn(
-        "label", F.coalesce("label", F.lit(default))
+    leaders = [
+        F.max_by(cluster, F.when(F.col(m).isNotNull(), F.struct(F.col(m), -F.col(cluster)))).alias(f"__leader_{i}")
+        for i, (m, _) in enumerate(rules)
+    ]
+    whole = summary.agg(F.collect_list(F.struct(*summary.columns)).alias("__rows"), *leaders)
+    rows = whole.select(F.explode("__rows").alias("__row"), *[f"__leader_{i}" for i in range(len(rules))])
+    label = F.coalesce(
+        *[F.when(F.col(f"__row.{cluster}") == F.col(f"__leader_{i}"), F.lit(rules[i][1])) for i in reversed(range(len(rules)))],
+        F.lit(default),
     )
+    return rows.select("__row.*", label.alias("label"))
 
 
 def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster",
