@@ -28,7 +28,9 @@ LENGTH, GRAM = 100, 32
 # Strings of LENGTH bytes have so many places for a gram.
 PLACES = LENGTH - GRAM + 1
 # Occurrences of an anchor in one shard, and bytes that a shard sorts at once.
-SPREAD, SHARD_BYTES = 4096, 1 << 20
+SPREAD, SHARD_BYTES = 4096, 1 << 19
+# Bytes of text whose grams are hashed at once, so few that they stay in the cache.
+CHUNK = 1 << 17
 LAST = (1 << 63) - 1
 
 
@@ -57,7 +59,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         least = np.where(first, left, right)
         span += step
     starts = np.arange(n - LENGTH + 1)
-    row_end = offsets[1:][np.searchsorted(offsets, starts, side="right") - 1]
+    row_end = np.repeat(offsets[1:], np.diff(offsets))[: len(starts)]
     valid = starts + LENGTH <= row_end
     change = np.ones(len(starts), bool)
     change[1:] = (where[1:] != where[:-1]) | ~valid[:-1]
@@ -79,6 +81,8 @@ def suffix_ranks(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     with fewer bytes left has a rank that is good for shorter comparisons only.
     """
     n = len(data)
+    if not n:
+        return np.empty(0, np.int64)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     key = np.ascontiguousarray(np.lib.stride_tricks.as_strided(padded, (n, 8), (1, 1))).view(">u8").ravel().astype(np.uint64)
     left = ends - np.arange(n)
@@ -150,7 +154,7 @@ _COUNTED = f"h long, {_KEYS}, pos long"
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches, 2):
+    for batch in chunks(batches, 2, CHUNK):
         data, offsets = text_bytes(batch.column(2))
         _, _, at, value = anchors(data, offsets)
         row = np.searchsorted(offsets, at, side="right") - 1
@@ -164,29 +168,43 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes around each repeated anchor, of a task's texts."""
     unpack = zstandard.ZstdDecompressor()
+
+    def cut(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+        raw = b"".join(texts)
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        lists = part.column(3)
+        wanted = lists.flatten()
+        whose = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy())
+        places = wanted.field("pos").to_numpy() + offsets[whose]
+        parts = wanted.field("parts").to_numpy()
+        by = np.argsort(places, kind="stable")
+        places, parts = places[by], parts[by]
+        begin, end, at, value = anchors(np.frombuffer(raw, np.uint8), offsets)
+        near = np.minimum(np.searchsorted(places, at), len(places) - 1)
+        hit = np.flatnonzero(places[near] == at)
+        parts, begin, end, value = parts[near[hit]], begin[hit], end[hit] + LENGTH, value[hit]
+        row = np.searchsorted(offsets, begin, side="right") - 1
+        rows = pa.array(row)
+        keys = (part.column(0).to_numpy() ^ part.column(1).to_numpy()) & 0x7FFFFFFF
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(value.view(np.int64)), pa.array((keys[row] % np.maximum(parts, 1)).astype(np.int32)), pa.array(parts > 1),
+                part.column(0).take(rows), part.column(1).take(rows), pa.array(begin - offsets[row]),
+                pa.array([raw[a:b] for a, b in zip(begin.tolist(), end.tolist())], pa.binary()),
+            ],
+            names=["h", "part", "shared", "id", "tie", "start", "bytes"],
+        )
+
     for batch in batches:
-        for i in range(batch.num_rows):
-            key, tie = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-            data = np.frombuffer(unpack.decompress(batch.column(2)[i].as_py()), np.uint8)
-            wanted = batch.column(3)[i].values
-            places = wanted.field("pos").to_numpy()
-            parts = wanted.field("parts").to_numpy()
-            begin, end, at, value = anchors(data, np.array([0, len(data)]))
-            by = np.argsort(places, kind="stable")
-            near = np.minimum(np.searchsorted(places[by], at), len(by) - 1)
-            hit = np.flatnonzero(places[by][near] == at)
-            parts = parts[by][near][hit]
-            begin, end, value = begin[hit], end[hit] + LENGTH, value[hit]
-            raw = data.tobytes()
-            n = len(hit)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(value.view(np.int64)), pa.array(((key ^ tie) & 0x7FFFFFFF) % np.maximum(parts, 1).astype(np.int32)),
-                    pa.array((parts > 1)), pa.array(np.full(n, key)), pa.array(np.full(n, tie)), pa.array(begin),
-                    pa.array([raw[a:b] for a, b in zip(begin.tolist(), end.tolist())], pa.binary()),
-                ],
-                names=["h", "part", "shared", "id", "tie", "start", "bytes"],
-            )
+        texts, size, first = [], 0, 0
+        for i, z in enumerate(batch.column(2).to_pylist()):
+            texts.append(unpack.decompress(z))
+            size += len(texts[-1])
+            if size >= CHUNK:
+                yield cut(batch.slice(first, i + 1 - first), texts)
+                texts, size, first = [], 0, i + 1
+        if texts:
+            yield cut(batch.slice(first), texts)
 
 
 _MARK = f"{_KEYS}, first long, last long, d1 long, d2 long"
@@ -196,17 +214,32 @@ def _resolve(table: pa.Table, powers: Powers) -> pa.RecordBatch:
     """Within a shard: windows that start earlier elsewhere, as runs; and what others must know."""
     table = table.combine_chunks()
     shared, ids, ties, start = (table.column(c).to_numpy() for c in ("shared", "id", "tie", "start"))
-    data, at = text_bytes(table.column("bytes").combine_chunks() if isinstance(table.column("bytes"), pa.ChunkedArray) else table.column("bytes"))
-    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    ends = at[1:][row]
-    rank = suffix_ranks(data, ends)
-    windows = np.flatnonzero(ends - np.arange(len(data)) >= LENGTH)
     # Stretches by (document, place): equal ones, of a repeated row, count as one.
     by = np.lexsort((start, ties, ids))
     fresh = np.ones(len(by), bool)
     fresh[1:] = (ids[by][1:] != ids[by][:-1]) | (ties[by][1:] != ties[by][:-1]) | (start[by][1:] != start[by][:-1])
     place = np.empty(len(by), np.int64)
     place[by] = np.cumsum(fresh)
+    # Of stretches with equal bytes only the earliest is sorted; the others go whole.
+    codes = table.column("bytes").combine_chunks().dictionary_encode()
+    if isinstance(codes, pa.ChunkedArray):
+        codes = codes.combine_chunks()
+    code = codes.indices.to_numpy()
+    eldest = np.full(len(codes.dictionary), -1, np.int64)
+    eldest[code[by][::-1]] = by[::-1]
+    copies = np.flatnonzero(place > place[eldest[code]])
+    size = np.diff(text_bytes(codes.dictionary)[1])[code[copies]]
+    copied = (ids[copies], ties[copies], start[copies], start[copies] + size - LENGTH)
+    # Equal strings have the same anchor: a stretch that is alone with its anchor holds none.
+    _, which, number = np.unique(table.column("h").to_numpy()[eldest], return_inverse=True, return_counts=True)
+    several = np.flatnonzero((number[which] > 1) | shared[eldest])
+    eldest = eldest[several]
+    data, at = text_bytes(codes.dictionary.take(pa.array(several)))
+    shared, ids, ties, start, place = (x[eldest] for x in (shared, ids, ties, start, place))
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    ends = at[1:][row]
+    rank = suffix_ranks(data, ends)
+    windows = np.flatnonzero(ends - np.arange(len(data)) >= LENGTH)
     age = (place[row[windows]] << 32) + (windows - at[:-1][row[windows]])
     order = windows[np.lexsort((age, rank[windows]))]
     age_of = np.zeros(len(data), np.int64)
@@ -232,14 +265,14 @@ def _resolve(table: pa.Table, powers: Powers) -> pa.RecordBatch:
     d1 = powers.between(prefix, tell, tell + LENGTH).view(np.int64)
     d2 = powers.between(backward, tell, tell + LENGTH).view(np.int64)
     far = start[q] + tell - at[:-1][q]
-    nothing = np.zeros(len(first), bool)
-    mask = np.concatenate([~nothing, np.zeros(len(tell), bool)])
+    none = len(first) + len(copies)
+    mask = np.concatenate([np.ones(none, bool), np.zeros(len(tell), bool)])
+    blank = np.zeros(none, np.int64)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.concatenate([ids[r], ids[q]])), pa.array(np.concatenate([ties[r], ties[q]])),
-            pa.array(np.concatenate([first + base, far])), pa.array(np.concatenate([last + base, far])),
-            pa.array(np.concatenate([np.zeros(len(first), np.int64), d1]), mask=mask),
-            pa.array(np.concatenate([np.zeros(len(first), np.int64), d2]), mask=mask),
+            pa.array(np.concatenate([ids[r], copied[0], ids[q]])), pa.array(np.concatenate([ties[r], copied[1], ties[q]])),
+            pa.array(np.concatenate([first + base, copied[2], far])), pa.array(np.concatenate([last + base, copied[3], far])),
+            pa.array(np.concatenate([blank, d1]), mask=mask), pa.array(np.concatenate([blank, d2]), mask=mask),
         ],
         names=["id", "tie", "first", "last", "d1", "d2"],
     )
@@ -337,7 +370,7 @@ def repeats(documents: DataFrame, store: Store) -> DataFrame:
     """What changes: ``(id, tie, n_removed, n_spans, kept_sha256, left)``, one row for each document
     of which bytes go; ``left`` is the rest, compressed. Equal rows count once."""
     texts = _keyed(documents).where(F.octet_length("text") >= LENGTH)
-    found = texts.mapInArrow(_find, _COUNTED)
+    found = store.put(texts.mapInArrow(_find, _COUNTED), "anchors")
     count = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     hits = (
         found.join(count, "h")
@@ -345,6 +378,7 @@ def repeats(documents: DataFrame, store: Store) -> DataFrame:
         .agg(F.collect_set(F.struct("pos", F.ceil(F.col("n") / SPREAD).alias("parts"))).alias("hits"))
     )
     hits = store.put(hits, "hits")
+    store.drop(found)
     packed = texts.mapInArrow(_packed, f"{_KEYS}, z binary").join(hits, ["id", "tie"]).dropDuplicates(["id", "tie"])
     packed = store.put(packed, "repeated")
     stretches = packed.mapInArrow(_stretch, f"h long, part int, shared boolean, {_KEYS}, start long, bytes binary")
