@@ -2,11 +2,12 @@
 
 Two documents link when 100 * intersection >= 75 * union of their word-shingle sets. Sizes are cut
 into bands so that similar sets lie in the same or in neighbouring bands. Within a band, similar
-sets differ in at most k elements. The feature domain is cut by a hash into more than k
-partitions, and each non-empty one is a signature (the subsets of one partition): of more than k
-partitions, at least one holds no differing element. Partitions are so many that the chance that
-all clean ones are empty, too, is below 1e-12 a pair. Sets of up to nine elements are
-cut into single elements, and all subsets after the allowed deletions are signatures.
+sets differ in at most k elements. The feature domain is cut by a hash into more than k partitions, and
+each one's content is a signature (the subsets of one partition): of more than k partitions, at
+least one holds no differing element. Partitions with very few elements do not sign, since unlike
+documents would meet there; numbers are chosen by band so that the chance that a similar pair has
+no signing partition without a difference is below 1e-9. Sets of up to nine elements are cut into
+single elements, and all subsets after the allowed deletions are signatures.
 
 Boilerplate would give unlike documents equal signatures. Sets of which at most a third are very
 frequent shingles therefore also sign without them, and those of which under a tenth are frequent
@@ -37,6 +38,8 @@ from tablewright.session import ship_with_tasks
 WIDTH = 5
 # A link: NEED * intersection >= SHARE * union.
 SHARE, NEED = 75, 100
+# Logarithm of the chance that a similar pair has no signature in common.
+LOST = -9
 # Bands up to this size enumerate deletions.
 TINY = 9
 # Signatures that a task sorts at once, and those that meet in one bucket of the exchange.
@@ -50,7 +53,24 @@ WITHOUT, WITH = 1 / 3, 0.1
 BLOCK = 2048
 
 
-def _bands() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _chance_of_none(parts: int, k: int, common: int, least: int) -> float:
+    """Logarithm (base 10) of the chance that no partition is free of k differing elements and has
+    ``least`` of the common ones."""
+    mean = common / parts
+    few = sum(math.exp(-mean + i * math.log(mean) - math.lgamma(i + 1)) for i in range(least))
+    return parts * math.log10(max(1e-300, 1 - (1 - 1 / parts) ** k * max(0.0, 1 - few)))
+
+
+def _partitions(k: int, common: int) -> tuple[int, int]:
+    """How many partitions, and how many elements one must have to sign."""
+    for least in range(6, 1, -1):
+        for parts in range(k + 1, 2 * k + 2, max(1, k // 20)):
+            if _chance_of_none(parts, k, common, least) < LOST:
+                return parts, least
+    return max(k + 1, math.ceil(k * 10 ** min(-LOST / common, 6))), 1
+
+
+def _bands() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     low, high, parts = [1], [], []
     for _ in range(64):
         high.append(low[-1] * NEED // SHARE)
@@ -59,11 +79,13 @@ def _bands() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         k = (NEED - SHARE) * 2 * b // (NEED + SHARE)
         # Common elements of a pair at least, all of them or those that are not frequent.
         common = (math.ceil((SHARE / NEED - WITHOUT) * a), math.ceil(SHARE * a / NEED))
-        parts.append([max(k + 1, math.ceil(k * 10 ** min(12 / c, 6))) for c in common])
-    return np.array(low[:64]), np.array(high), np.array(parts, np.int64)
+        # Very large sets keep the figures of large ones: those only become safer with size.
+        parts.append([_partitions(k, c) if k < 20_000 else (k + 1, 6) for c in common])
+    both = np.array(parts, np.int64)
+    return np.array(low[:64]), np.array(high), both[:, :, 0], both[:, :, 1]
 
 
-LOW, HIGH, PARTS = _bands()
+LOW, HIGH, PARTS, LEAST = _bands()
 
 
 def shingle_sets(column: pa.Array, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
@@ -115,8 +137,10 @@ def signatures(values: np.ndarray, at: np.ndarray, frequent: np.ndarray) -> tupl
             # Sums of 64-bit values per cell, exact in two halves.
             low = np.bincount(cell, (item & np.uint64(0xFFFFFFFF)).astype(float), minlength=base[-1])
             high = np.bincount(cell, (item >> np.uint64(32)).astype(float), minlength=base[-1])
-            full = np.flatnonzero(np.bincount(cell, minlength=base[-1]))
-            whose = np.searchsorted(base, full, side="right") - 1
+            inside = np.bincount(cell, minlength=base[-1])
+            whose = np.repeat(np.arange(len(sizes)), parts)
+            full = np.flatnonzero(inside >= LEAST[np.clip(band, 0, 63), mode][whose])
+            whose = whose[full]
             content = low[full].astype(np.uint64) + (high[full].astype(np.uint64) << np.uint64(32))
             value = mix(content + mix((full - base[whose]).astype(np.uint64) ^ seed[whose]))
             out.append((value & ~np.uint64(63)) | band[whose].astype(np.uint64))
@@ -279,16 +303,20 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from resolve()
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    packer = zstandard.ZstdCompressor(3)
+    for batch in batches:
+        packs = [packer.compress(t.encode()) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packs, pa.binary())], names=["doc_id", "z"])
+
+
 def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of the wanted classes, compressed; a row of another class with the same id goes."""
-    powers, packer = Powers(), zstandard.ZstdCompressor(3)
-    for batch in chunks(batches, 0):
-        values, at = shingle_sets(batch.column(0), powers)
-        keep = [i for i, (a, b) in enumerate(zip(at, at[1:])) if b > a and digest(values[a:b]) == batch.column(1)[i].as_py()]
-        part = batch.take(pa.array(keep, pa.int64()))
-        yield pa.RecordBatch.from_arrays(
-            [part.column(1), pa.array([packer.compress(t.encode()) for t in part.column(0).to_pylist()], pa.binary())], names=["c", "z"]
-        )
+    """Texts of the wanted classes; a row of another class with the same id goes."""
+    powers = Powers()
+    for batch in batches:
+        keep = [digest(_set_of(z, powers)) == c for z, c in zip(*(batch.column(i).to_pylist() for i in (0, 1)))]
+        part = batch.filter(pa.array(keep, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([part.column(1), part.column(0)], names=["c", "z"])
 
 
 def _set_of(pack: bytes, powers: Powers) -> np.ndarray:
@@ -318,7 +346,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values = _set_of(z, powers)
             band = int(np.searchsorted(LOW, len(values), side="right")) - 1
             for b in (band, band + 1):
-                width = int(min(8192, max(256, 1 << int(4 * HIGH[b]).bit_length())))
+                width = int(min(8192, max(256, 1 << int(10 * HIGH[b]).bit_length())))
                 cell = mix(values ^ np.uint64(0x5BD1E995)) & np.uint64(width - 1)
                 parity = np.bincount(cell.astype(np.int64), minlength=width) & 1
                 keys.append(c)
@@ -400,7 +428,8 @@ def join(documents: DataFrame) -> DataFrame:
     )
     wanted = store.put(representative.join(members.select("k").distinct(), "k", "left_semi"), "wanted")
     chosen = store.put(
-        texts.join(wanted.select("doc_id", "c"), "doc_id").select("text", "c").mapInArrow(_pick, "c binary, z binary"), "texts"
+        texts.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_packed, "doc_id long, z binary")
+        .join(wanted.select("doc_id", "c"), "doc_id").select("z", "c").mapInArrow(_pick, "c binary, z binary"), "texts",
     ).dropDuplicates(["c"])
     members = members.join(wanted.select("k", "c"), "k").select("sig", "c")
 
