@@ -24,16 +24,14 @@ WINDOW = 7
 # The block size is the largest one for which so many chunks are expected, so that an edit which
 # keeps the length keeps the block size; the finest has chunks of two bytes.
 CHUNKS, FINEST = 32, 1
-# How often a signature may repeat the same two chunks in a row.
-REPEATS = 32
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 
 
 def fingerprint(data: bytes, powers: Powers) -> str:
     """``k:signature:signature at k + 1``; every chunk is two letters.
 
-    Equal bytes have equal fingerprints. Runs and cycles of chunks are kept 32 times, so very
-    repetitive texts have short signatures; nothing else is cut. Empty bytes give ``1::``.
+    Equal bytes have equal fingerprints. Every chunk is kept: a text of one repeated word or line can
+    have many more than ``CHUNKS``, at most one a byte. Empty bytes give ``1::``.
     """
     raw = np.frombuffer(data, np.uint8)
     n = len(raw)
@@ -56,28 +54,31 @@ def _signature(boundary: np.ndarray, prefix: np.ndarray, powers: Powers) -> str:
         ends = np.append(ends, len(boundary))
     starts = np.concatenate([[0], ends[:-1]])
     keep = ends > starts
-    symbols = (powers.between(prefix, starts[keep], ends[keep]) >> np.uint64(52)).tolist()
-    seen: dict[tuple[int, int], int] = {}
-    out, last = [], -1
-    for symbol in symbols:
-        count = seen[last, symbol] = seen.get((last, symbol), 0) + 1
-        last = symbol
-        if count <= REPEATS:
-            out.append(ALPHABET[symbol >> 6] + ALPHABET[symbol & 63])
-    return "".join(out)
+    symbols = powers.between(prefix, starts[keep], ends[keep]) >> np.uint64(52)
+    return ALPHABET[np.stack([symbols >> np.uint64(6), symbols & np.uint64(63)], axis=1)].tobytes().decode()
 
 
 def _common(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence, a machine word of rows at a time."""
+    """Length of the longest common subsequence, a machine word of rows at a time.
+
+    Symbols of one side only are in no common subsequence, and an equal beginning or end is in a
+    longest one: without them, long repetitive signatures are mostly short.
+    """
+    both = set(a) & set(b)
+    a, b = sorted(([x for x in side if x in both] for side in (a, b)), key=len)
+    least = len(a)
+    head = next((i for i in range(least) if a[i] != b[i]), least)
+    tail = next((i for i in range(least - head) if a[-1 - i] != b[-1 - i]), least - head)
+    a, b = a[head : least - tail], b[head : len(b) - tail]
     places: dict[str, int] = {}
-    for i, x in enumerate(a):
+    for i, x in enumerate(b):
         places[x] = places.get(x, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    full = (1 << len(b)) - 1
     free = full
-    for x in b:
+    for x in a:
         hit = free & places.get(x, 0)
         free = (free + hit | free - hit) & full
-    return len(a) - free.bit_count()
+    return head + tail + len(b) - free.bit_count()
 
 
 def likeness(first: str, second: str) -> float:

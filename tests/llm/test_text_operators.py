@@ -95,6 +95,44 @@ def test_likeness_is_the_edit_distance():
         assert fingerprint._common(a, b) == table[-1][-1]
 
 
+def chunks(raw, k):
+    """How many chunks there are at block size 2^k, a window at a time."""
+    ends = len(raw) * [False]
+    for i in range(len(raw)):
+        window = bytes(fingerprint.WINDOW - 1) + raw[: i + 1]
+        known = [x + 1 for x in window[-min(i + 1, fingerprint.WINDOW) :]]
+        rolling = sum(x * pow(0x100000001B3, fingerprint.WINDOW - j, 1 << 64) for j, x in enumerate(reversed(known))) % (1 << 64)
+        ends[i] = int(fingerprint.mix(np.array([rolling], np.uint64))[0]) % (1 << k) == 0 or i == len(raw) - 1
+    return sum(ends)
+
+
+def test_every_chunk_of_a_repetitive_text_counts():
+    """Signatures are whole, and so is the edit distance, where a text repeats a word or a line."""
+    source = random.Random(6)
+    some = lambda n: "".join(source.choices("abcdefgh ", k=n))
+    powers = Powers()
+    whole = lambda text: fingerprint.fingerprint(text.encode(), powers)
+    # Of many words, the one with the most chunks.
+    word = max((some(6) for _ in range(300)), key=lambda w: len(whole(w * 400)))
+    texts = [word * 400, word * 300 + some(600), some(600) + word * 300, word * 200 + some(400) + word * 100, some(2400)]
+    prints = [whole(t) for t in texts]
+    for text, one in zip(texts, prints):
+        k, fine, coarse = one.split(":")
+        assert len(fine) == 2 * chunks(text.encode(), int(k)) and len(coarse) == 2 * chunks(text.encode(), int(k) + 1)
+    assert all(len(p) > 4 * 200 for p in prints[:4])
+    for x in prints:
+        for y in prints:
+            best = float(x == y)
+            sides = [dict(enumerate(p.split(":")[1:], int(p.split(":")[0]))) for p in (x, y)]
+            for k in sides[0].keys() & sides[1].keys():
+                a, b = (np.array([s[k][i : i + 2] for i in range(0, len(s[k]), 2)]) for s in sides)
+                row = np.zeros(len(b) + 1, int)
+                for c in a:
+                    row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == c)))
+                best = max(best, 2 * row[-1] / (len(a) + len(b)))
+            assert fingerprint.likeness(x, y) == best
+
+
 PAGE = """<html><head><title>T</title></head><body><div id="cookie-notice">We use cookies on this site to give you the best of it.</div>
 <header><h1>Site</h1></header><div class="sidebar"><p>The latest of the news and of the weather in the town is here.</p></div>
 <div class="post"><h2>My headline</h2><p>This is the first paragraph of the article and it is long enough to be taken as the good text of the page, with many of the stop words in it.</p>
