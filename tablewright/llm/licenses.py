@@ -1,17 +1,16 @@
 """License scans by MinHash bands over overlapping windows of text.
 
 The words of a text are cut into windows of ``WINDOW`` words every ``STRIDE``. A window's band i is
-the shingle that is nearest to a fixed random number i; a template's windows have bands, too, and a
-common band retrieves the template. A window that shares half of its shingles with a template's
-misses all ``BANDS`` bands with a chance of 2^-24, and one that shares two of seven with 0.0003. The
-match is then verified by the share of the template's shingles in the whole text. Only DataFrame
-functions are used on texts; the templates are a short fixed list.
+the smallest of its shingles' hashes with seed i; a template's windows have bands, too, and a common
+band retrieves the template. Bands are independent: where half of the shingles of two windows are
+common, all ``BANDS`` bands miss with a chance of 2^-24. A template so short that a match needs all of
+its shingles is retrieved by its first one, without a chance to miss. The match is then verified by
+the share of the template's shingles in the whole text. Only DataFrame functions are used on texts;
+the templates are a short fixed list.
 """
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,29 +45,23 @@ _WORDS = f"split(trim(regexp_replace(translate(coalesce(t, ''), '{UPPER}', '{LOW
 _SHINGLES = "if(size(w) < 2, array(), transform(sequence(0, size(w) - 2), i -> xxhash64(w[i], w[i + 1])))"
 
 
-def _numbers() -> list[int]:
-    """One random number a band, the same ones always."""
-    source = random.Random(20)
-    return [source.getrandbits(63) for _ in range(BANDS)]
-
-
-def _band(i: int, number: int, shingles: str) -> str:
-    return f"xxhash64({i}, array_min(transform({shingles}, x -> x ^ {number}L)))"
-
-
 def _bands(shingles: str) -> str:
-    return "array(" + ", ".join(_band(i, n, shingles) for i, n in enumerate(_numbers())) + ")"
+    return "array(" + ", ".join(f"array_min(transform({shingles}, x -> xxhash64(x, {i})))" for i in range(BANDS)) + ")"
 
 
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """Rows ``(template, shingles, keys)``: distinct shingles, and the bands of all windows."""
+    """Rows ``(template, shingles, keys)``: distinct shingles, and what retrieves the template.
+
+    These are the bands of all windows, and the first shingle if a match needs every shingle.
+    """
     if len(templates) > MOST_TEMPLATES:
         raise ValueError(f"{len(templates)} templates; at most {MOST_TEMPLATES} are broadcast")
     rows = spark.createDataFrame(sorted(templates.items()), "template string, t string")
     hashed = rows.withColumn("w", F.expr(_WORDS)).withColumn("h", F.expr(_SHINGLES)).where("size(h) > 0")
     size = WINDOW - SHINGLE + 1
     windows = f"transform(sequence(1, greatest(1, size(h) - {size - 1})), s -> {_bands(f'slice(h, s, {size})')})"
-    return hashed.select("template", F.array_distinct("h").alias("shingles"), F.expr(f"array_distinct(flatten({windows}))").alias("keys"))
+    first = f"if(size(shingles) - 1 < {CONTAINED} * size(shingles), slice(h, 1, 1), array())"
+    return hashed.withColumn("shingles", F.array_distinct("h")).select("template", "shingles", F.expr(f"array_distinct(concat(flatten({windows}), {first}))").alias("keys"))
 
 
 def scan(documents: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
@@ -91,11 +84,11 @@ def scan(documents: DataFrame, templates: dict[str, str] | None = None) -> DataF
         return f"{x} IN ({', '.join(map(str, values))})" if values else "false"
 
     size = WINDOW - SHINGLE + 1
-    # A band is one of the window's shingles, so a window without any template's shingle has none to
-    # look up. No filter stands on a computed array: it would be pushed down and compute it again.
+    # A band comes from one of the window's shingles, so a window without any template's shingle has
+    # none to look up. No filter stands on a computed array: it would be pushed down and compute it again.
     windows = f"filter(transform(sequence(1, greatest(1, size(h)), {STRIDE}), s -> slice(h, s, {size})), v -> exists(v, x -> {among('x', shingles)}))"
     present = f"array_distinct(filter(h, x -> {among('x', shingles)}))"
-    bands = f"filter({_bands('v')}, k -> {among('k', sorted({k for k, _ in keys}))})"
+    bands = f"filter(concat(v, {_bands('v')}), k -> {among('k', sorted({k for k, _ in keys}))})"
     texts = documents.select("doc_id", F.col("text").alias("t")).select("doc_id", F.expr(_WORDS).alias("w")).select("doc_id", F.expr(_SHINGLES).alias("h"))
     near = texts.select("doc_id", F.expr(present).alias("h"), F.expr(windows).alias("v")).select("doc_id", "h", F.explode_outer("v").alias("v")).where("v IS NOT NULL")
     found = near.select("doc_id", "h", F.explode_outer(F.expr(bands)).alias("key")).where("key IS NOT NULL")

@@ -184,6 +184,17 @@ def test_license_scan(spark):
     assert not {i for i, _ in found} & {100, 101, 102, 103}
 
 
+def test_license_scan_finds_short_templates(spark):
+    """Random templates of two words and more between random words, verbatim: none is missed."""
+    source = random.Random(8)
+    say = lambda n: " ".join("".join(source.choices("abcdefghijklmnop", k=7)) for _ in range(n))
+    templates = {f"{n} {i}": say(n) for n in range(2, 12) for i in range(12)}
+    docs = [(d, f"{say(source.randrange(3, 12))} {text} {say(8)}") for d, text in enumerate(t for t in templates.values() for _ in range(15))]
+    found = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string"), templates).collect()
+    names = list(templates)
+    assert sorted((r.doc_id, r.template) for r in found) == [(d, names[d // 15]) for d, _ in docs]
+
+
 @pytest.mark.parametrize("name", ["op1_url_filter", "op6_license_scan"])
 def test_query_against_sql(name, spark, folder):
     df = contract.queries()[name](spark, folder)
