@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import decontaminate, jaccard, pieces, suffixes, toxicity
-from tablewright.llm.common import Store
+from tablewright.llm.common import Store, numbered
 from tablewright.llm.queries import TOKENIZER, TOXIC_FROM, TOXIC_FOLDS, TOXIC_HELD, held_out
 
 
@@ -22,20 +22,17 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest id.
+    """Of each group of near copies, the row with the smallest id; one without an id only if none has one.
 
-    Documents that share an id are one document here: one row stays, that of the smallest text.
-    Rows without an id are no document's copy and stay.
+    Rows are compared by their text alone, so different texts of one id, or without an id, all stay.
+    Of rows with the same smallest id, one is taken by a hash of all columns. Rows without words have
+    no copies and stay.
     """
-    groups = jaccard.join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_semi")
-    repeated = kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    others = [c for c in docs.columns if c != "doc_id"]
-    # Ids occur once as a rule; only those that do not are gathered.
-    twice = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in others if c != "text"])).alias("row"))
-    first = twice.select("doc_id", *[F.col(f"row.{c}").alias(c) for c in others]).select(*docs.columns)
-    once = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    return once.unionByName(first).unionByName(docs.where("doc_id IS NULL"))
+    rows = numbered(docs, Store(spark))
+    groups = jaccard.join(rows.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns), "__row")
+    first = groups.join(rows.select("__row", order.alias("o")), "__row").groupBy("component_id").agg(F.min("o").alias("o"))
+    return rows.join(first.select(F.col("o.__row").alias("__row")), "__row", "left_semi").select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

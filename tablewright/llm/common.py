@@ -188,6 +188,11 @@ class Store:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def numbered(documents: DataFrame, store: Store) -> DataFrame:
+    """The rows, written, with a number ``__row`` of their own: ids can repeat and be null."""
+    return store.put(documents.withColumn("__row", F.monotonically_increasing_id()), "rows")
+
+
 def components(links: DataFrame, store: Store) -> DataFrame:
     """Connected components of links ``(a, b)``: rows ``(node, component)``.
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import Powers, chunks, folded, shingles, text_bytes, word_hashes
+from tablewright.llm.common import Powers, Store, chunks, folded, numbered, shingles, text_bytes, word_hashes
 from tablewright.session import ship_with_tasks
 
 # BM25: saturation of repeated terms and length normalisation.
@@ -234,9 +234,10 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that contain no test item; rows without an id or a text stay."""
-    hit = matches(documents, benchmark).select("doc_id").distinct()
-    return documents.join(hit, "doc_id", "left_anti").select(*documents.columns)
+    """Rows that contain no test item, those that share an id with a hit or have no id included."""
+    rows = numbered(documents, Store(documents.sparkSession))
+    hit = matches(rows.select(F.col("__row").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("__row")).distinct()
+    return rows.join(hit, "__row", "left_anti").select(*documents.columns)
 
 
 ship_with_tasks(__name__)

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 import oracle
-from tablewright.llm import jaccard, licenses, suffixes, urls
+from tablewright.llm import decontaminate, jaccard, licenses, suffixes, urls
 from tablewright.llm.common import Store, components
 
 
@@ -225,3 +225,19 @@ def test_pipeline(spark, folder):
             assert after == {i: v[4].decode(errors="ignore") for i, v in removed(list(before.items())).items()}
     tokens = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
     assert len(tokens) == docs.count() and all(r.exact for r in tokens)
+
+
+def test_stages_take_rows_and_not_ids(spark, folder):
+    """Ids that repeat or are null: near copies and rows with a benchmark item go, and no others."""
+    source = random.Random(12)
+    a, b, c, d, e = ([*words(source, 90)] for _ in range(5))
+    near = [*a[:-1], "changed"]
+    texts = {k: " ".join(v) for k, v in dict(a=a, b=b, c=c, d=d, e=e, near=near).items()}
+    rows = [(1, "a"), (1, "b"), (2, "near"), (None, "b"), (None, "c"), (3, "c"), (None, "d"), (None, "d"), (5, "near"), (5, "e"), (5, "e")]
+    docs = frame(spark, [(i, texts[t]) for i, t in rows] + [(6, ""), (6, None)])
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.one_of_each_group(spark, docs, folder).collect()]
+    assert sorted(kept, key=str) == sorted([(1, texts["a"]), (1, texts["b"]), (3, texts["c"]), (None, texts["d"]), (5, texts["e"]), (6, ""), (6, None)], key=str)
+
+    benchmark = spark.createDataFrame([(1, " ".join(b[20:50]) + ". " + " ".join(b[50:65]) + ".")], "item_id long, text string")
+    left = decontaminate.clean(docs, benchmark).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted([(i, texts[t]) for i, t in rows if t != "b"] + [(6, ""), (6, None)], key=str)
