@@ -8,7 +8,9 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from html.entities import html5
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +24,9 @@ URL = r"(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?"
 CANONICAL = r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)"
 REFRESH = r"(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)"
 HREF = r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)"
+# A character reference that ends with a semicolon: decimal, hexadecimal or a name.
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+NAMES = json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";")})
 TARGET = r"(?is)\burl\s*=\s*[\"']?\s*([^\"'\s>]+)"
 
 
@@ -68,20 +73,59 @@ def allows(rule: Column, rules: list[Rule]) -> Column:
     return F.when(rule.isin([r.text for r in rules if r.allow]), True).when(rule.isNotNull(), False)
 
 
+def decoded(text: Column) -> Column:
+    """``text`` with its character references replaced, once; unknown ones stay as they are."""
+    names = F.from_json(F.lit(NAMES), "map<string,string>")
+
+    def character(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+        code = F.when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)).when(ref.startswith("&#"), digits).cast("long")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        number = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+        return F.when(ref.startswith("&#"), number).otherwise(F.coalesce(names[F.regexp_extract(ref, "^&([^;]*);$", 1)], ref))
+
+    refs = F.regexp_extract_all(text, F.lit(REFERENCE), 0)
+    parts = F.zip_with(F.split(text, REFERENCE, -1), refs, lambda x, ref: F.concat(x, F.coalesce(character(ref), F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(parts, "")).otherwise(text)
+
+
+def without_dots(of_path: Column) -> Column:
+    """A path that begins with ``/``, with its segments ``.`` and ``..`` applied."""
+    kept = F.aggregate(
+        F.split(of_path, "/", -1), F.array().cast("array<string>"),
+        lambda out, x: F.when(x == ".", out).when(x == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(1)))).otherwise(F.concat(out, F.array(x))),
+    )
+    at_end = F.when(of_path.rlike(r"/\.\.?$"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.when(of_path.rlike(r"/\.\.?(/|$)"), F.array_join(F.concat(kept, at_end), "/")).otherwise(of_path)
+
+
+def resolved(url: Column, target: Column) -> Column:
+    """``target`` as a link on the page ``url``, absolute; a ``<base>`` of the page is not read."""
+    server = F.concat(F.regexp_extract(url, URL, 1), F.lit("://"), F.regexp_extract(url, URL, 2))
+    # From the first ? or # on, a target is not part of a path.
+    own, rest = F.regexp_extract(target, r"(?s)^([^?#]*)(.*)$", 1), F.regexp_extract(target, r"(?s)^([^?#]*)(.*)$", 2)
+    here = path(url)
+    folder = F.when(here == "", "/").otherwise(F.regexp_extract(here, r"(?s)^(.*/)", 1))
+    return (
+        F.when(target.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), target)
+        .when(target.startswith("//"), F.concat(F.regexp_extract(url, URL, 1), F.lit(":"), target))
+        .when(target.startswith("/"), F.concat(server, without_dots(own), rest))
+        .when(target.startswith("?"), F.concat(server, here, target))
+        .when(~target.startswith("#"), F.concat(server, without_dots(F.concat(folder, own)), rest))
+    )
+
+
 def aliases(pages: DataFrame) -> DataFrame:
-    """Links ``(url, target)`` from a page to its canonical url and to where it redirects.
+    """Links ``(url, target)`` from a page to its canonical urls and to where it redirects.
 
-    Targets are absolute, begin with ``//`` or with ``/``; others are ignored.
+    All links of a page count; relative ones are resolved against its url.
     """
-    raw = F.array(F.regexp_extract(F.regexp_extract("html", CANONICAL, 1), HREF, 1), F.regexp_extract(F.regexp_extract("html", REFRESH, 1), TARGET, 1))
-    scheme, server = F.regexp_extract("url", URL, 1), F.regexp_extract("url", URL, 2)
-    target = F.col("target")
-    absolute = (
-        F.when(target.contains("://"), target)
-        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-        .when(target.startswith("/"), F.concat(scheme, F.lit("://"), server, target))
-    )
-    return pages.select("url", F.explode(F.filter(raw, lambda x: x != "")).alias("target")).select("url", absolute.alias("target")).where("url IS NOT NULL AND target IS NOT NULL")
+    def written(tag: str, at: str) -> Column:
+        return F.transform(F.coalesce(F.regexp_extract_all("html", F.lit(tag), 1), F.array().cast("array<string>")), lambda x: F.regexp_extract(x, at, 1))
+
+    raw = pages.select("url", F.explode(F.concat(written(CANONICAL, HREF), written(REFRESH, TARGET))).alias("raw")).where("url IS NOT NULL AND raw <> ''")
+    target = raw.select("url", decoded(F.col("raw")).alias("target"))
+    return target.select("url", resolved(F.col("url"), F.col("target")).alias("target")).where("target IS NOT NULL")
 
 
 def judge(pages: DataFrame, rules: list[Rule], links: DataFrame | None = None) -> DataFrame:

@@ -174,6 +174,22 @@ def test_url_aliases(spark):
     assert urls.judge(pages.limit(0), RULES).count() == 0
 
 
+def test_url_aliases_of_every_form(spark):
+    """Each target, on the page http://a.com/d/e/p?x=1, against urljoin of the standard library."""
+    from html import unescape
+    from urllib.parse import urljoin
+
+    page, link = "http://a.com/d/e/p?x=1", '<link rel="canonical" href="%s">'
+    targets = ["next.html", "?p=1", "../x", "./", "../../../y/./z?q=../r", "/r/../s", "//b.org/t", "https://c.org/u", "v?to=http://w.org/", "..",
+               "/i?a=1&amp;b=2", "j&#38;k&#x26;l", "m&amp;lt;x", "&eacute;&#x1F642;", "n&unknown;&#xD800;x"]
+    html = "".join(link % t for t in targets) + "".join(f'<meta http-equiv="refresh" content="0; url={t}">' for t in ("first", "second")) + link % "#top"
+    pages = spark.createDataFrame([(1, page, html), (2, "http://e.com", link % "f"), (3, "http://g.com/", None), (4, None, link % "h")], "page_id long, url string, html string")
+    got = sorted((r.url, r.target) for r in urls.aliases(pages).collect())
+    assert got == sorted([(page, urljoin(page, unescape(t))) for t in [*targets, "first", "second"]] + [("http://e.com", "http://e.com/f")])
+    blocked = spark.createDataFrame([(1, "http://q.com/a?b=1&c=2", ""), (2, "http://bad.org/d/p", link % "http://q.com/z" + link % "http://q.com/a?b=1&amp;c=2")], "page_id long, url string, html string")
+    assert {r.verdict for r in urls.judge(blocked, RULES).collect()} == {"block"}
+
+
 def test_license_scan(spark):
     source = random.Random(3)
     noise = lambda n: " ".join(words(source, n))
