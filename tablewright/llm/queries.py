@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, extract, jaccard, licenses, pieces, quality, suffixes, toxicity, urls
+from tablewright.llm import conversations, decontaminate, extract, interaction, jaccard, licenses, packing, pieces, quality, suffixes, toxicity, urls
 from tablewright.llm.fingerprint import fingerprints
 from tablewright.workload.tables import Query, table
 
@@ -150,6 +150,66 @@ def _quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# A parameter of the deployment; the driver reads the file and sends its content along.
+WORD_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+
+
+def _packing(spark: SparkSession, folder: str) -> DataFrame:
+    with open(WORD_TOKENIZER, encoding="utf-8") as file:
+        tokenizer = file.read()
+    return packing.pack(packing.pieces(table(spark, folder, "documents"), tokenizer, ids=False))
+
+
+def _conversations(spark: SparkSession, folder: str) -> DataFrame:
+    repairs = conversations.repair(conversations.damage(table(spark, folder, "conversations")))
+    digests = repairs.digests().withColumnRenamed("conv_id", "c")
+    return repairs.conversations.join(digests, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+
+
+FILTERS = "ABCDE"
+
+
+def _interaction(spark: SparkSession, folder: str) -> DataFrame:
+    return interaction.audit(interaction.document_masks(table(spark, folder, "documents"), table(spark, folder, "labels")), FILTERS)
+
+
+# Every step of every order by itself: what a filter removes fails it and none of those before it.
+_INTERACTION_SQL = r"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+            list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+        FROM documents
+    ), marks AS (
+        SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+    ), tested AS (
+        SELECT part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+            100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 2 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+            coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+        FROM texts LEFT JOIN marks USING (doc_id)
+    ), masks AS (
+        SELECT part, CAST(a AS INT) + 2 * CAST(b AS INT) + 4 * CAST(c AS INT) + 8 * CAST(d AS INT) + 16 * CAST(e AS INT) AS mask,
+            count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+        FROM tested GROUP BY ALL
+    ), letters(c, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+    orders AS (
+        SELECT v.c || w.c || x.c || y.c || z.c AS filter_order, [v.bit, w.bit, x.bit, y.bit, z.bit] AS bits
+        FROM letters v, letters w, letters x, letters y, letters z WHERE v.bit + w.bit + x.bit + y.bit + z.bit = 31 AND (v.bit | w.bit | x.bit | y.bit | z.bit) = 31
+    ), steps AS (
+        SELECT filter_order, CAST(i AS INT) AS step, bits[i] AS bit, CAST(coalesce(list_sum(bits[1:i - 1]), 0) AS INT) AS before
+        FROM orders, unnest(range(1, 6)) r(i)
+    ), counted AS (
+        SELECT part, filter_order, step, bit,
+            sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+            sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+            sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+        FROM masks, steps GROUP BY ALL
+    )
+    SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+        CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+        CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+    FROM counted"""
+
+
 QUERIES = {
     "op1_url_filter": Query(_urls, _URLS_SQL),
     "op2_toxicity": Query(_toxicity, None),
@@ -161,4 +221,7 @@ QUERIES = {
     "op8_jaccard_join": Query(_jaccard, None),
     "op9_decontamination": Query(_decontaminate, None),
     "op10_fingerprints": Query(_fingerprints, None),
+    "op11_packing": Query(_packing, None),
+    "op12_conversation_repair": Query(_conversations, None),
+    "op13_filter_interaction": Query(_interaction, _INTERACTION_SQL),
 }
