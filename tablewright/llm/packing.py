@@ -7,6 +7,7 @@ rank within their length.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -24,9 +25,13 @@ from tablewright.session import ship_with_tasks
 # Tokens of a sequence, and the id that ends a document.
 SIZE, END = 2048, 0
 # Bytes of text that are tokenized at once, and bytes of different words whose ids a task remembers.
-CHUNK, REMEMBERED = 4 << 20, 32 << 20
+CHUNK, REMEMBERED = 2 << 20, 32 << 20
+# Words that the tokenizer gets at once; it keeps about a kilobyte for each until they are read.
+AT_ONCE = 2000
 # A letter before one of these marks ends a token of the tokenizer's pattern, in every context.
 _CUT = r"(\pL)([,.;:!?])"
+# How tokens begin that are found in a text before letters are lower-cased.
+_SPECIAL = "<|"
 
 
 class Words:
@@ -37,6 +42,7 @@ class Words:
     """
 
     def __init__(self, tokenizer: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks share the cores already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
@@ -50,6 +56,8 @@ class Words:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the first of each; null is empty."""
         texts = pc.replace_substring_regex(pc.fill_null(texts.cast(pa.large_string()), ""), _CUT, r"\1 \2")
+        if not pc.any(pc.match_substring(texts, _SPECIAL)).as_py():
+            texts = pc.ascii_lower(texts)  # as the tokenizer does, and fewer words differ
         lists = pc.ascii_split_whitespace(texts)
         first = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         words = lists.flatten().dictionary_encode()
@@ -58,7 +66,7 @@ class Words:
         known = words.dictionary.to_pylist()
         new = [w for w in known if w not in self.slot]
         if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            ids = [e.ids for i in range(0, len(new), AT_ONCE) for e in self.tokenizer.encode_batch_fast(new[i : i + AT_ONCE], add_special_tokens=False)]
             self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new))))
             self.pool = np.concatenate([self.pool, *(np.array(i, np.uint32) for i in ids)])
             self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(i) for i in ids])])
