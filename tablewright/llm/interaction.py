@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.common import Store
 from tablewright.session import ship_with_tasks
 
 # Bits of a field: every count of rows is below 2^63, so no field overflows into the next.
@@ -113,7 +114,7 @@ def text_filters(text: Column) -> dict[str, Column]:
     }
 
 
-def document_masks(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def document_masks(documents: DataFrame, labels: DataFrame, store: Store | None = None) -> DataFrame:
     """``part``, ``mask``, ``n``, ``good``, ``toxic`` for :func:`audit`, over ``doc_id, text, source``.
 
     Filters A to D are :func:`text_filters`; E fails a document whose text is also that of a smaller
@@ -135,9 +136,9 @@ def document_masks(documents: DataFrame, labels: DataFrame) -> DataFrame:
     marked = rows.withColumn("s", spread).join(marks, ["id", "s"], "left").select(
         "h", "mask", "part", "id", "n", *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("good", "toxic")))
     # Of each text and part: how many, and how many of them have the smallest id.
-    some = marked.groupBy("h", "mask", "part", "good", "toxic").agg(
+    some = (store or Store(documents.sparkSession)).put(marked.groupBy("h", "mask", "part", "good", "toxic").agg(
         F.sum("n").alias("n"), F.sum(F.when(F.col("id").isNull(), F.col("n")).otherwise(0)).alias("nameless"),
-        F.min("id").alias("least"), F.min_by("n", "id").alias("at_least"))
+        F.min("id").alias("least"), F.min_by("n", "id").alias("at_least")), "masks")
     first = some.groupBy("h").agg(F.min("least").alias("first"))
     same = some.join(first, "h")
     free = F.col("nameless") + F.when(F.col("least") == F.col("first"), F.col("at_least")).otherwise(0)
