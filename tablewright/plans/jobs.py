@@ -19,7 +19,7 @@ from tablewright.plans import games
 from tablewright.session import materialise, scratch_tables, sized_shuffles
 from tablewright.sinks.contracts import apply_contract
 from tablewright.sinks.files import export_csv, write_all, write_jdbc, write_json, write_parquet
-from tablewright.sources.csv import EMPTY_ONLY, PANDAS_TOKENS, read_csv, read_csv_text, text_profile, typed
+from tablewright.sources.csv import EMPTY_ONLY, PANDAS_TOKENS, Quarantine, UnreadableError, read_csv_text, text_profile, typed
 from tablewright.sources.manifest import file_manifest, folder_bytes
 from tablewright.sources.tables import JdbcServer
 from tablewright.streaming import (
@@ -53,7 +53,7 @@ def ingest(spark: SparkSession, source: str, layout: Layout,
             return None
         names = schema.fieldNames()
         landing = layout.path("raw", "landed", f"run={run}")
-        write_parquet(read_csv_text(spark, source, names), landing, "overwrite", "source_file")
+        write_parquet(read_csv_text(spark, source, names, multi_line=None), landing, "overwrite", "source_file")
 
         landed = spark.read.parquet(landing)
         measured = profile(
@@ -81,28 +81,44 @@ def ingest(spark: SparkSession, source: str, layout: Layout,
 
 
 def load_raw(spark: SparkSession, source: str, layout: Layout,
-             dense_ids: bool = False) -> DataFrame:
+             dense_ids: bool = False, on_unreadable: str = "fail") -> DataFrame:
     """Recreate the raw table, with an id column, from CSV.
 
     Ids are unique; ``dense_ids`` makes them 1..n at the price of one more copy of the rows.
+    Values that do not fit their column are written to ``raw/rejected``: with ``fail`` there is
+    then no table but an error, with ``quarantine`` the table lacks their rows, with ``null`` it
+    has nulls for them.
     """
     path = layout.path("raw", "table")
-    rows = read_csv(spark, source, games.RAW_SCHEMA, PANDAS_TOKENS)
+    names = games.RAW_SCHEMA.fieldNames()
     with scratch_tables(spark):
-        write_parquet(dense_id(rows) if dense_ids else surrogate_id(rows), path)
+        text = read_csv_text(spark, source, names, multi_line=None)
+        checked = Quarantine(text, games.RAW_SCHEMA, PANDAS_TOKENS, on_unreadable)
+        write_parquet(dense_id(checked.rows) if dense_ids else surrogate_id(checked.rows), path)
+        try:
+            checked.settle(layout.path("raw", "rejected"))
+        except UnreadableError:
+            _delete(spark, path)
+            raise
     return spark.read.parquet(path)
 
 
-def batch(spark: SparkSession, source: str, layout: Layout) -> dict[str, DataFrame]:
+def batch(spark: SparkSession, source: str, layout: Layout,
+          on_unreadable: str = "fail") -> dict[str, DataFrame]:
     """Clean, derive, roll up and enrich; writes the processed and the curated tables.
 
     The raw file is read once. The feature table is written before it is used, since the
-    rollups, the statistics and the join all read it.
+    rollups, the statistics and the join all read it. Values that do not fit their column are
+    written to ``curated/rejected``; ``on_unreadable`` as in :func:`load_raw`, and with ``fail``
+    nothing else is written.
     """
-    raw = read_csv(spark, source, games.RAW_SCHEMA, EMPTY_ONLY)
+    names = games.RAW_SCHEMA.fieldNames()
     with scratch_tables(spark):
         with sized_shuffles(spark, folder_bytes(spark, source, "*.csv")):
-            features = materialise(games.add_features(games.clean_games(raw)), "features")
+            text = read_csv_text(spark, source, names, multi_line=None)
+            checked = Quarantine(text, games.RAW_SCHEMA, EMPTY_ONLY, on_unreadable)
+            features = materialise(games.add_features(games.clean_games(checked.rows)), "features")
+            checked.settle(layout.path("curated", "rejected"))
         write_all(rollups_in_one_pass(features, games.ROLLUPS), layout.path("curated"))
         processed = layout.path("processed")
         write_parquet(games.enrich_games(features), processed)
@@ -232,6 +248,11 @@ def cluster(spark: SparkSession, layout: Layout, k: int = 4, starts: int = 10,
     return {name: spark.read.parquet(layout.path("clusters", name)) for name in results}
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """True if a finished write left its marker in ``path``."""
     marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")

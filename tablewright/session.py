@@ -116,6 +116,22 @@ def split_bytes(input_bytes: int, configured: int) -> int:
     return max(configured, math.ceil(input_bytes / MOST_SCAN_TASKS))
 
 
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Within the block, these settings hold. What is planned after it does not know them."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Within the block, scans and shuffles are cut for an input of that size.
@@ -124,21 +140,15 @@ def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     dedup that turn out too large; so the start must be high enough. Scan tasks grow instead
     of becoming more, since every task writes a block for every partition.
     """
-    before = {name: spark.conf.get(name, None) for name in (_INITIAL, _SPLIT)}
-    partitions = int(before[_INITIAL] or spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get(_SPLIT)
     )
-    spark.conf.set(_INITIAL, str(shuffle_partitions(input_bytes, partitions)))
-    spark.conf.set(_SPLIT, f"{split_bytes(input_bytes, split)}b")
-    try:
+    with session_settings(spark, {
+        _INITIAL: str(shuffle_partitions(input_bytes, partitions)),
+        _SPLIT: f"{split_bytes(input_bytes, split)}b",
+    }):
         yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
 
 
 def ship_with_tasks(module: str) -> None:

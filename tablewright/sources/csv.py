@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import null_tokens_to_null, parse_boolean
+from tablewright.sources.records import has_line_breaks, read_records
 
 EMPTY_ONLY: tuple[str, ...] = ("",)
 
@@ -30,12 +31,18 @@ def _decoded(c: str) -> Column:
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], names: Sequence[str],
-                  glob: str = "*.csv", multi_line: bool = False) -> DataFrame:
+                  glob: str = "*.csv", multi_line: bool | None = False) -> DataFrame:
     """All columns as text plus ``source_file`` and ``source_path``.
 
     A header that does not match ``names`` is an error. ``multi_line`` allows line breaks in
-    quoted values, but then a file is no longer split over tasks.
+    quoted values; files are split over tasks all the same. None looks for such values first.
     """
+    if multi_line is None:
+        multi_line = has_line_breaks(spark, path, glob)
+    if multi_line:
+        return read_records(spark, path, names, glob).select(
+            *names, F.element_at(F.split(_decoded("file"), "/"), -1).alias("source_file"), _decoded("file").alias("source_path")
+        )
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     df = (
         spark.read.schema(schema)
@@ -43,7 +50,6 @@ def read_csv_text(spark: SparkSession, path: str | list[str], names: Sequence[st
         .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("pathGlobFilter", glob)
         .csv(path)
     )
@@ -54,22 +60,37 @@ def read_csv_text(spark: SparkSession, path: str | list[str], names: Sequence[st
     )
 
 
+def _typed_column(field: T.StructField, null_tokens: Sequence[str]) -> Column:
+    value = null_tokens_to_null(field.name, null_tokens)
+    if isinstance(field.dataType, T.BooleanType):
+        return parse_boolean(value)
+    if isinstance(field.dataType, T.IntegralType):
+        # A whole number may be written with decimals, as of a column that had gaps.
+        text = F.regexp_replace(F.trim(value), r"^([+-]?[0-9]+)\.0*$", "$1")
+        return text.try_cast(field.dataType)
+    if not isinstance(field.dataType, T.StringType):
+        return F.trim(value).try_cast(field.dataType)
+    return value
+
+
 def typed(df: DataFrame, schema: T.StructType,
           null_tokens: Sequence[str] = EMPTY_ONLY) -> DataFrame:
     """Text columns as the types of ``schema``; text that does not fit becomes null."""
-    columns = {}
-    for field in schema.fields:
-        value = null_tokens_to_null(field.name, null_tokens)
-        if isinstance(field.dataType, T.BooleanType):
-            value = parse_boolean(value)
-        elif isinstance(field.dataType, T.IntegralType):
-            # A whole number may be written with decimals, as of a column that had gaps.
-            text = F.regexp_replace(F.trim(value), r"^([+-]?[0-9]+)\.0*$", "$1")
-            value = text.try_cast(field.dataType)
-        elif not isinstance(field.dataType, T.StringType):
-            value = F.trim(value).try_cast(field.dataType)
-        columns[field.name] = value
-    return df.withColumns(columns)
+    return df.withColumns({field.name: _typed_column(field, null_tokens) for field in schema.fields})
+
+
+def unreadable(schema: T.StructType, null_tokens: Sequence[str] = EMPTY_ONLY) -> Column:
+    """Of a row of text columns, an array of the ``(column, text)`` that do not fit their types."""
+    cells = [
+        F.when(
+            null_tokens_to_null(field.name, null_tokens).isNotNull() & _typed_column(field, null_tokens).isNull(),
+            F.struct(F.lit(field.name).alias("column"), F.col(field.name).alias("text")),
+        )
+        for field in schema.fields if not isinstance(field.dataType, T.StringType)
+    ]
+    if not cells:
+        return F.array().cast("array<struct<column: string, text: string>>")
+    return F.array_compact(F.array(*cells))
 
 
 def text_profile(landed: DataFrame, schema: T.StructType,
@@ -96,8 +117,58 @@ def text_profile(landed: DataFrame, schema: T.StructType,
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
-             null_tokens: Sequence[str] = EMPTY_ONLY, multi_line: bool = False,
+             null_tokens: Sequence[str] = EMPTY_ONLY, multi_line: bool | None = False,
              glob: str = "*.csv") -> DataFrame:
     """Typed CSV scan, exactly the columns of ``schema``."""
     text = read_csv_text(spark, path, schema.fieldNames(), glob, multi_line)
     return typed(text, schema, null_tokens).select(*schema.fieldNames())
+
+
+class UnreadableError(ValueError):
+    """Values of a source do not fit their types."""
+
+
+class Quarantine:
+    """Typed rows of a CSV source, and an account of those with values that do not fit.
+
+    ``rows`` has the columns of ``schema``. The action that writes them also counts the rows with
+    unreadable values, so a clean source is read once; :meth:`settle` is called after it.
+    ``on_unreadable``: ``fail`` and ``quarantine`` leave such rows out of ``rows``, ``null`` keeps
+    them with nulls.
+    """
+
+    def __init__(self, text: DataFrame, schema: T.StructType,
+                 null_tokens: Sequence[str] = EMPTY_ONLY, on_unreadable: str = "fail") -> None:
+        if on_unreadable not in ("fail", "quarantine", "null"):
+            raise ValueError(f"on_unreadable: {on_unreadable}")
+        names = schema.fieldNames()
+        self.on_unreadable, self.seen = on_unreadable, Observation()
+        self.cells = text.withColumn("__cells", unreadable(schema, null_tokens))
+        self.names = names
+        watched = self.cells.observe(self.seen, F.count_if(F.size("__cells") > 0).alias("rejected"))
+        if on_unreadable != "null":
+            watched = watched.where(F.size("__cells") == 0)
+        self.rows = typed(watched, schema, null_tokens).select(*names)
+
+    def rejected(self) -> DataFrame:
+        """One row per unreadable value: ``source_file, source_path, column, text`` and the ``row`` as JSON."""
+        row = F.to_json(F.struct(*self.names), {"ignoreNullFields": "false"})
+        return self.cells.where(F.size("__cells") > 0).select(
+            "source_file", "source_path", F.explode("__cells").alias("cell"), row.alias("row")
+        ).select("source_file", "source_path", "cell.column", "cell.text", "row")
+
+    def settle(self, path: str) -> DataFrame:
+        """Write the rejected values to ``path``, replacing earlier ones, and return them.
+
+        An error with ``fail``, after they are written. The source is read again only if the first
+        action met such values.
+        """
+        rejected = self.rejected()
+        if not self.seen.get["rejected"]:
+            rejected = rejected.sparkSession.createDataFrame([], rejected.schema)
+        rejected.write.mode("overwrite").parquet(path)
+        written = rejected.sparkSession.read.schema(rejected.schema).parquet(path)
+        if self.seen.get["rejected"] and self.on_unreadable == "fail":
+            counts = {r["column"]: r["count"] for r in written.groupBy("column").count().collect()}
+            raise UnreadableError(f"unreadable values by column: {counts}; see {path}")
+        return written

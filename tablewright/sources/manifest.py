@@ -2,35 +2,107 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions import megabytes
+from tablewright.session import materialise, session_settings, ship_with_tasks
+
+_MARK = b"\xef\xbb\xbf"
+
+
+def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Path and length of the files; opens none of them."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
 
-# The largest file that Spark's reader holds in one value.
-MOST_BYTES = 2**31 - 1
+
+def file_digests(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """``(path, bytes, md5)`` of every file in ``path`` that fits ``glob``; read once, here.
+
+    Files are read by Spark, with its storage settings, whatever their scheme and size: its line
+    reader streams a file through one task, which holds one batch of lines. MD5 of a file has one
+    order, so a file is one task's work. The reader gives lines without the last line end, and
+    without a byte order mark; the file's length tells what was there. One line of 2 GB is an error.
+    Spark lists no empty files, so they are left out.
+    """
+    files = _files(spark, path, glob)
+    largest = files.agg(F.max("length")).first()[0]
+    schema = "path string, bytes bigint, md5 string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, size = None, 0
+
+        def close() -> pa.RecordBatch:
+            # Of both ways to begin and to end, the one that gives the length.
+            for begin, digest in zip((b"", _MARK), digests):
+                for end in (b"", b"\n"):
+                    if len(begin) + done + len(end) == size:
+                        digest.update(end)
+                        return pa.RecordBatch.from_pylist([{"path": now, "bytes": size, "md5": digest.hexdigest()}], schema=kinds)
+            raise ValueError(f"{now}: {done} bytes read of {size}")
+
+        kinds = pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("md5", pa.string())])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = batch.column(0).dictionary_encode()
+            for file in range(len(names.dictionary)):
+                mine = batch.filter(pa.compute.equal(names.indices, file))
+                name = names.dictionary[file].as_py()
+                if name != now:
+                    if now is not None:
+                        yield close()
+                    now, size, done = name, mine.column(1)[0].as_py(), 0
+                    digests = hashlib.md5(), hashlib.md5(_MARK)
+                    lead = b""
+                else:
+                    lead = b"\n"
+                body = lead + b"\n".join(mine.column(2).cast(pa.binary()).to_pylist())
+                done += len(body)
+                for digest in digests:
+                    digest.update(body)
+        if now is not None:
+            yield close()
+
+    if largest is None:
+        return spark.createDataFrame([], schema)
+    # A scan task takes no part of a file, and no second file.
+    whole = {"spark.sql.files.maxPartitionBytes": str(max(1, largest)), "spark.sql.files.openCostInBytes": str(max(1, largest)),
+             "spark.sql.execution.arrow.maxRecordsPerBatch": "10000"}
+    with session_settings(spark, whole):
+        lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(path)
+        found = lines.select("_metadata.file_path", "_metadata.file_size", "value").mapInArrow(run, schema)
+        known = materialise(found, "digests")
+    # The listing has plain paths, the reader's metadata URL-encoded ones; schemes are written in several ways.
+    bare = lambda c: F.regexp_replace(c, "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    plain = F.url_decode(F.replace(bare("file"), F.lit("+"), F.lit("%2B")))
+    only_mark = F.when(F.col("length") == len(_MARK), F.md5(F.lit(_MARK)))
+    missing = F.raise_error(F.concat(F.lit("not read: "), F.col("path"))).cast("string")
+    return files.join(known.select(F.col("path").alias("file"), "md5"), bare("path") == plain, "left").select(
+        "path", F.col("length").alias("bytes"), F.coalesce("md5", only_mark, missing).alias("md5"))
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """``(file, path, bytes, size_mb, md5)`` of every file in ``path`` that fits ``glob``.
 
-    All files are read by Spark, with its storage settings, whatever their scheme. MD5 of one
-    file is sequential, so a file is one task's work; one of more than 2 GB is an error.
+    Any size and scheme; see :func:`file_digests`.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    sizes = files.agg(F.max("length")).first()[0] or 0
-    if sizes > MOST_BYTES:
-        raise ValueError(f"{path}: a file of {sizes} bytes is too large for a digest; split it")
-    return files.select(
+    return file_digests(spark, path, glob).select(
         F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.col("path"),
-        F.col("length").alias("bytes"),
-        megabytes("length").alias("size_mb"),
-        F.md5("content").alias("md5"),
+        "path",
+        "bytes",
+        megabytes("bytes").alias("size_mb"),
+        "md5",
     )
 
 
 def folder_bytes(spark: SparkSession, path: str, glob: str = "*") -> int:
     """Size of the files in ``path``; opens none of them."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return _files(spark, path, glob).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
+ship_with_tasks(__name__)

@@ -48,7 +48,7 @@ def done(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("games"))
     write_games(f"{root}/input/games.csv", ROWS)
     layout = jobs.Layout(f"{root}/tables")
-    return layout, jobs.batch(spark, f"{root}/input", layout), f"{root}/input"
+    return layout, jobs.batch(spark, f"{root}/input", layout, on_unreadable="null"), f"{root}/input"
 
 
 def test_processed_table(done):
