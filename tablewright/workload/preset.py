@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.operators import cluster as clusters
 from tablewright.operators.clean import require_values
@@ -17,6 +18,7 @@ from tablewright.plans import games, jobs
 from tablewright.session import materialise, workspace
 from tablewright.sinks.contracts import apply_contract
 from tablewright.sinks.files import export_csv
+from tablewright.sources.csv import read_csv
 from tablewright.workload.tables import (
     CLEAN_GAMES,
     FEATURE_GAMES,
@@ -89,16 +91,107 @@ def _basic(name: str):
     return run
 
 
+ROLLUP_METRICS = ("total_games", "avg_rtp", "avg_max_win", "avg_profitability", "jackpot_games", "avg_max_multiplier")
+
+
+def _stacked(tables: dict[str, DataFrame]) -> DataFrame:
+    """The five curated tables below each other, with all metrics; a table lacks some."""
+    return reduce(DataFrame.unionByName, [
+        tables[spec.name].select(
+            F.lit(spec.name).alias("rollup"), F.col(spec.key).alias("key"),
+            *[F.col(m) if m in tables[spec.name].columns else F.lit(None).cast("bigint" if m == "jackpot_games" else "double").alias(m)
+              for m in ROLLUP_METRICS],
+        ) for spec in games.ROLLUPS
+    ])
+
+
 def games_rollups_shared_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """The five curated tables from one pass, stacked by their common columns."""
-    tables = rollups_in_one_pass(games_features(spark, folder), games.ROLLUPS)
-    stacked = None
-    for spec in games.ROLLUPS:
-        part = tables[spec.name].select(
-            F.lit(spec.name).alias("rollup"), F.col(spec.key).alias("key"), "total_games"
-        )
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return stacked
+    """The five curated tables from one pass."""
+    return _stacked(rollups_in_one_pass(games_features(spark, folder), games.ROLLUPS))
+
+
+def _job_input(spark: SparkSession, folder: str) -> tuple[jobs.Layout, str]:
+    """Game records as CSV files, and the folders of the jobs."""
+    layout = jobs.Layout(workspace(spark))
+    source = layout.path("input")
+    export_csv(game_rows(spark, folder), source)
+    return layout, source
+
+
+def games_job_processed(spark: SparkSession, folder: str) -> DataFrame:
+    """The processed table as the batch job wrote it."""
+    layout, source = _job_input(spark, folder)
+    jobs.batch(spark, source, layout)
+    return spark.read.parquet(layout.path("processed"))
+
+
+def games_job_curated(spark: SparkSession, folder: str) -> DataFrame:
+    """The five curated tables as the batch job wrote them."""
+    layout, source = _job_input(spark, folder)
+    jobs.batch(spark, source, layout)
+    return _stacked({r.name: spark.read.parquet(layout.path("curated", r.name)) for r in games.ROLLUPS})
+
+
+def games_job_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw table as the load job wrote it, without its ids, and whether those differ."""
+    layout, source = _job_input(spark, folder)
+    raw = jobs.load_raw(spark, source, layout, dense_ids=True)
+    ids = raw.agg((F.count_distinct("id") == F.count("*")).alias("distinct"), F.max("id").alias("last")).first()
+    written = spark.read.parquet(layout.path("raw", "table")).drop("id")
+    return written.withColumn("distinct_ids", F.lit(ids["distinct"])).withColumn("last_id", F.lit(ids["last"]).cast("bigint"))
+
+
+def games_job_landed(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, files and texts of the landed table against the records that the ingest wrote."""
+    layout, source = _job_input(spark, folder)
+    jobs.ingest(spark, source, layout)
+    landed = spark.read.parquet(layout.path("raw", "landed"))
+    return landed.groupBy("provider", "country_availability").agg(
+        F.count("*").alias("games"), F.count("jackpot").alias("jackpots"), F.min("game").alias("first_game"), F.max("last_updated").alias("last_day"))
+
+
+def games_job_ingest_record(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals over the records of all ingested files; duplicates count within a file, so they are left out."""
+    layout, source = _job_input(spark, folder)
+    record = jobs.ingest(spark, source, layout)
+    return record.agg(
+        F.sum("rows").alias("rows"), F.count_if(F.length("md5") == 32).cast("bigint").alias("digests"), F.count("*").alias("files"),
+        *[F.sum(F.col("nulls")[c]).alias(f"null_{c}") for c in ("provider", "volatility", "jackpot", "free_spins_feature", "max_multiplier")],
+        F.sum(F.size("unreadable")).cast("bigint").alias("unreadable"),
+    ).withColumn("digests", F.col("digests") == F.col("files")).drop("files")
+
+
+def games_job_export(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw table's export, read back."""
+    layout, source = _job_input(spark, folder)
+    jobs.load_raw(spark, source, layout)
+    export_csv(spark.read.parquet(layout.path("raw", "table")), layout.path("exports", "games_raw"), rows_per_file=10_000)
+    schema = T.StructType([T.StructField("id", T.LongType()), *games.RAW_SCHEMA.fields])
+    return read_csv(spark, layout.path("exports", "games_raw"), schema).drop("id")
+
+
+def games_job_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """The clustered export as the cluster job wrote it, without the clusters' numbers."""
+    layout, source = _job_input(spark, folder)
+    jobs.load_raw(spark, source, layout)
+    jobs.cluster(spark, layout, starts=1)
+    kinds = {f.name: f for f in games.RAW_SCHEMA.fields}
+    schema = T.StructType([*(kinds[c] for c in games.CLUSTER_COLUMNS), T.StructField("cluster", T.IntegerType())])
+    rows = read_csv(spark, layout.path("exports", "games_with_clusters"), schema)
+    return rows.withColumn("cluster", F.col("cluster").between(0, 3))
+
+
+def games_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Unreadable values of game records, as the load job sets them apart, and what it keeps."""
+    layout = jobs.Layout(workspace(spark))
+    source = layout.path("input")
+    rows = game_rows(spark, folder).withColumn("rtp", F.when(F.col("country_availability") == "P", "high").otherwise(F.col("rtp").cast("string")))
+    rows = rows.withColumn("release_year", F.when(F.col("currency") == "O", F.concat(F.col("release_year").cast("string"), F.lit(" AD"))).otherwise(F.col("release_year").cast("string")))
+    export_csv(rows, source)
+    raw = jobs.load_raw(spark, source, layout, on_unreadable="quarantine")
+    rejected = spark.read.parquet(layout.path("raw", "rejected"))
+    return rejected.groupBy("column", "text").agg(F.count("*").alias("cells"), F.min(F.get_json_object("row", "$.game")).alias("first_game")).unionByName(
+        raw.agg(F.lit("kept").alias("column"), F.lit(None).cast("string").alias("text"), F.count("*").alias("cells"), F.min("game").alias("first_game")))
 
 
 def games_top_providers(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,12 +215,11 @@ def games_batch_job(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def games_increments(spark: SparkSession, folder: str) -> DataFrame:
-    """Totals of the incremental job over the processed table."""
+    """The rows that the incremental job wrote; increments are numbered by a hash, so without their number."""
     layout = jobs.Layout(workspace(spark))
     games_processed(spark, folder).write.parquet(layout.path("processed"))
     jobs.increments(spark, layout, 5)
-    output = jobs.increment_output(spark, layout)
-    return output.groupBy("rtp_flag", "is_premium").agg(F.count("*").alias("games"))
+    return jobs.increment_output(spark, layout).withColumn("stream_batch", F.col("stream_batch").between(0, 4))
 
 
 # One point per profile, in raw units.
@@ -223,6 +315,17 @@ _CURATED_SQL = {
     "by_bet_tier": _group_sql("bet_tier", _RTP),
 }
 
+def _stacked_sql(name: str, key: str) -> str:
+    metrics = {
+        "avg_rtp": half_up("avg(rtp)"), "avg_max_win": half_up("avg(max_win)"), "avg_profitability": half_up("avg(profitability_score)"),
+        "jackpot_games": "CAST(sum(CASE WHEN has_jackpot THEN 1 ELSE 0 END) AS BIGINT)", "avg_max_multiplier": half_up("avg(max_multiplier)", 0),
+    }
+    own = {m.name for r in games.ROLLUPS if r.name == name for m in r.metrics}
+    none = {"jackpot_games": "CAST(NULL AS BIGINT)"}
+    columns = ", ".join(f"{sql if m in own else none.get(m, 'CAST(NULL AS DOUBLE)')} AS {m}" for m, sql in metrics.items())
+    return f"SELECT '{name}' AS rollup, {key} AS key, count(*) AS total_games, {columns} FROM features GROUP BY {key}"
+
+
 QUERIES = {
     "games_clean": Query(games_clean, f"WITH {CLEAN_GAMES} SELECT * FROM clean"),
     "games_features": Query(games_features, f"WITH {FEATURE_GAMES} SELECT * FROM features"),
@@ -245,10 +348,36 @@ QUERIES = {
     "games_rollups_shared_scan": Query(
         games_rollups_shared_scan,
         f"WITH {FEATURE_GAMES} " + " UNION ALL ".join(
-            f"SELECT '{r.name}' AS rollup, {r.key} AS key, count(*) AS total_games "
-            f"FROM features GROUP BY {r.key}" for r in games.ROLLUPS
+            _stacked_sql(r.name, r.key) for r in games.ROLLUPS
         ),
     ),
+    "games_job_curated": Query(games_job_curated, f"WITH {FEATURE_GAMES} " + " UNION ALL ".join(
+        _stacked_sql(r.name, r.key) for r in games.ROLLUPS)),
+    "games_job_processed": Query(games_job_processed, _PROCESSED_SQL),
+    "games_job_raw": Query(games_job_raw, f"""
+        WITH {GAMES} SELECT *, true AS distinct_ids, (SELECT count(*) FROM games) AS last_id FROM games"""),
+    "games_job_landed": Query(games_job_landed, f"""
+        WITH {GAMES} SELECT provider, country_availability, count(*) AS games, count(jackpot) AS jackpots,
+            min(game) AS first_game, max(last_updated) AS last_day
+        FROM games GROUP BY provider, country_availability"""),
+    "games_job_ingest_record": Query(games_job_ingest_record, f"""
+        WITH {GAMES} SELECT count(*) AS "rows", true AS digests,
+            {', '.join(f"count(*) - count({c}) AS null_{c}" for c in ('provider', 'volatility', 'jackpot', 'free_spins_feature', 'max_multiplier'))},
+            CAST(0 AS BIGINT) AS unreadable
+        FROM games"""),
+    "games_job_export": Query(games_job_export, f"WITH {GAMES} SELECT * FROM games"),
+    "games_job_clusters": Query(games_job_clusters, f"""
+        WITH {GAMES} SELECT {', '.join(games.CLUSTER_COLUMNS)}, true AS cluster FROM games
+        WHERE rtp IS NOT NULL AND max_win IS NOT NULL AND max_multiplier IS NOT NULL AND min_bet IS NOT NULL"""),
+    "games_rejected": Query(games_rejected, f"""
+        WITH {GAMES}, cells AS (
+            SELECT 'rtp' AS "column", 'high' AS text, game FROM games WHERE country_availability = 'P'
+            UNION ALL
+            SELECT 'release_year', release_year || ' AD', game FROM games WHERE currency = 'O'
+        )
+        SELECT "column", text, count(*) AS cells, min(game) AS first_game FROM cells GROUP BY ALL
+        UNION ALL
+        SELECT 'kept', NULL, count(*), min(game) FROM games WHERE country_availability <> 'P' AND currency <> 'O'"""),
     "games_top_providers": Query(games_top_providers, f"""
         WITH {FEATURE_GAMES} {_PROVIDER_SQL}
         ORDER BY total_games DESC, provider NULLS FIRST LIMIT 10"""),
@@ -259,9 +388,9 @@ QUERIES = {
     "games_batch_job": Query(games_batch_job, f"WITH {FEATURE_GAMES} {_PROVIDER_SQL}"),
     "games_increments": Query(games_increments, f"""
         WITH {FEATURE_GAMES}
-        SELECT rtp_category AS rtp_flag, has_jackpot AND player_friendly AS is_premium,
-            count(*) AS games
-        FROM features GROUP BY ALL"""),
+        SELECT provider, game_type, rtp, rtp_category AS rtp_flag, has_jackpot, player_friendly,
+            has_jackpot AND player_friendly AS is_premium, profitability_score, true AS stream_batch
+        FROM features"""),
     "games_with_clusters": Query(games_with_clusters, f"""
         WITH {_CLUSTERED_SQL} SELECT * FROM clustered"""),
     "games_cluster_labels": Query(games_cluster_labels, f"""

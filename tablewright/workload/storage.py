@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators.rollup import Rollup, mean, rollup, row_count
-from tablewright.session import workspace
+from tablewright.session import materialise, session_settings, workspace
 from tablewright.sinks.files import export_csv, export_progress, write_parquet, write_table
-from tablewright.sources.csv import read_csv, read_csv_inferred
+from tablewright.sources.csv import read_csv, read_csv_inferred, read_csv_text
+from tablewright.sources.manifest import file_manifest
 from tablewright.sources.tables import read_parquet, read_table
 from tablewright.workload.tables import LABELLED, Query, half_up, labelled_documents, table
 
@@ -32,6 +33,30 @@ def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv_inferred(spark, path)
 
 
+def csv_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents through CSV whose values hold line breaks, quotes and commas, read in small ranges."""
+    documents = table(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"),
+        F.concat_ws("\n", F.lit('says "so", then'), "lang", F.lit(""), "source").alias("note"),
+        F.concat(F.lit("text: "), F.col("text"), F.lit("\n.")).alias("text"),
+    )
+    path = workspace(spark)
+    export_csv(documents, path)
+    with session_settings(spark, {"spark.sql.files.maxPartitionBytes": "256k", "spark.sql.files.openCostInBytes": "64k"}):
+        read = read_csv_text(spark, path, documents.columns, multi_line=None)
+        return materialise(read.select(*documents.columns), "read")
+
+
+def file_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    """Size and MD5 of text files, one per priority, of the sorted orders."""
+    path = workspace(spark)
+    line = F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus", "o_orderpriority")
+    rows = table(spark, folder, "orders").select("o_orderpriority", "o_orderkey", line.alias("line"))
+    rows.repartition("o_orderpriority").sortWithinPartitions("o_orderpriority", "o_orderkey").select("o_orderpriority", "line").write.partitionBy("o_orderpriority").text(path)
+    priority = F.url_decode(F.regexp_extract("path", "o_orderpriority=([^/]*)/", 1))
+    return file_manifest(spark, path, "*.txt").select(priority.alias("priority"), "bytes", "md5")
+
+
 def csv_report(spark: SparkSession, folder: str) -> DataFrame:
     """A rollup as one CSV file."""
     report = rollup(table(spark, folder, "part"), Rollup("by_brand", "p_brand", (
@@ -77,6 +102,15 @@ def catalog_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "csv_line_breaks": Query(csv_line_breaks, """
+        SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+            concat_ws(chr(10), 'says "so", then', lang, '', source) AS note,
+            'text: ' || text || chr(10) || '.' AS text
+        FROM documents"""),
+    "file_hashes": Query(file_hashes, """
+        WITH lines AS (SELECT o_orderpriority AS priority, o_orderkey, concat_ws('|', o_orderkey, o_orderstatus, o_orderpriority) || chr(10) AS line FROM orders),
+        files AS (SELECT priority, string_agg(line, '' ORDER BY o_orderkey) AS content FROM lines GROUP BY priority)
+        SELECT priority, CAST(strlen(content) AS BIGINT) AS bytes, md5(content) AS md5 FROM files"""),
     "csv_round_trip": Query(csv_round_trip, """
         SELECT l_orderkey, l_linenumber, l_extendedprice, nullif(l_returnflag, 'A') AS l_returnflag,
             nullif(l_quantity, 7) AS l_quantity

@@ -196,6 +196,29 @@ def test_sample_per_group_equals_sorting_each_group(spark):
     assert sorted(r["i"] for r in stable_sample(df, 20, ["i"], by="k").collect()) == expected
 
 
+@pytest.mark.parametrize("by", [None, "k"])
+def test_selection_in_several_rounds(spark, monkeypatch, by):
+    """With buckets that count as small only at one row, digits are told apart round by round."""
+    from tablewright.operators import ordering
+
+    monkeypatch.setattr(ordering, "ROUND_DIGITS", 1)
+    monkeypatch.setattr(ordering, "SMALL_BUCKET", 1)
+    df = spark.range(3000).select(F.col("id").alias("i"), F.when(F.col("id") % 10 < 8, "hot").when(F.col("id") % 10 == 8, "cold").alias("k"))
+    df = df.unionByName(df.where("i < 5")).repartition(4)
+    rows = [(r["i"], r["k"]) for r in df.collect()]
+    digest = lambda i: hashlib.md5(f"{i}|42".encode()).hexdigest()
+    for n in (1, 7, 301):
+        groups = {k for _, k in rows} if by else {None}
+        want = [x for g in groups for x in sorted((i for i, k in rows if not by or k == g), key=digest)[:n]]
+        assert sorted(r["i"] for r in stable_sample(df, n, ["i"], by=by).collect()) == sorted(want)
+
+
+def test_sample_of_nothing(spark):
+    empty = spark.createDataFrame([], "i long, k string")
+    assert stable_sample(empty, 5, ["i"]).collect() == [] and stable_sample(empty, 5, ["i"], by="k").collect() == []
+    assert stable_sample(spark.range(5), 0).collect() == []
+
+
 def test_sample_of_equal_rows(spark):
     df = spark.createDataFrame([("same", 1)] * 500 + [("other", i) for i in range(20)], "t string, i int")
     assert stable_sample(df, 100).count() == 100
