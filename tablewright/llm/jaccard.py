@@ -15,8 +15,10 @@ sign only so: similar sets still have one way of signing in common, and leaving
 makes sets differ more. Which shingles count as frequent changes the cost, not the links.
 
 Links are found without pairing a whole bucket: members are first checked against the bucket's
-smallest member; only buckets that still span several groups are looked at pair by pair, in blocks
-of bounded size, by parity sketches that never rule out a similar pair; what is left is checked.
+smallest member, by parity sketches that never rule out a similar pair and then by the sets; only
+buckets that still span several groups are looked at pair by pair, in blocks of bounded size, by the
+sketches. A block with more candidates than members gives a forest of the nearest ones; blocks of
+which a pair of the forest does not link give all pairs of the groups that are then left.
 """
 
 from __future__ import annotations
@@ -356,10 +358,72 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(bands, pa.int32()), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary())], names=["c", "band", "n", "bits"])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of rows (a, b, sizes, sketches) that may be similar."""
+    for batch in batches:
+        n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
+        one, at = text_bytes(batch.column(4))
+        total = np.concatenate([[0], np.cumsum(np.bitwise_count(one ^ text_bytes(batch.column(5))[0]), dtype=np.int64)])
+        apart = total[at[1:]] - total[at[:-1]]
+        keep = pa.array((NEED * np.minimum(n, m) >= SHARE * np.maximum(n, m)) & ((NEED + SHARE) * apart <= (NEED - SHARE) * (n + m)))
+        yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], names=["a", "b"])
+
+
+_PAIR = "sig long, i int, j int, a binary, b binary, forest boolean"
+
+
+class _Block:
+    """Members of a block of a signature: sizes, groups, sketches, and sides where it has two."""
+
+    def __init__(self, n: np.ndarray, group: np.ndarray, words: np.ndarray, side: np.ndarray | None) -> None:
+        self.n, self.group, self.words, self.side = n, group, words, side
+
+    def near(self, x: int, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``other`` that may be similar to ``x``, and in how many bits their sketches differ."""
+        if self.side is not None:
+            other = other[self.side[other] != self.side[x]]
+        n = self.n
+        other = other[(self.group[other] != self.group[x]) & (NEED * np.minimum(n[other], n[x]) >= SHARE * np.maximum(n[other], n[x]))]
+        if not len(other):
+            return other, other
+        apart = np.bitwise_count(self.words[other] ^ self.words[x]).sum(1, dtype=np.int64)
+        ok = (NEED + SHARE) * apart <= (NEED - SHARE) * (n[other] + n[x])
+        return other[ok], apart[ok]
+
+    def pairs(self, most: int | None) -> list[tuple[int, int]] | None:
+        """All pairs that may be similar; None if there are more than ``most``."""
+        found: list[tuple[int, int]] = []
+        for x in range(len(self.n)):
+            found += [(x, y) for y in self.near(x, np.arange(x + 1, len(self.n)))[0].tolist()]
+            if most is not None and len(found) > most:
+                return None
+        return found
+
+    def forest(self) -> list[tuple[int, int]]:
+        """Of those pairs the nearest ones that join the same members, at most one less than members."""
+        far = np.iinfo(np.int64).max
+        best, parent = np.full(len(self.n), far), np.zeros(len(self.n), np.int64)
+        todo = np.ones(len(self.n), bool)
+        out, x = [], 0
+        for _ in range(len(self.n) - 1):
+            todo[x] = False
+            rest = np.flatnonzero(todo)
+            other, apart = self.near(x, rest)
+            closer = apart < best[other]
+            best[other[closer]], parent[other[closer]] = apart[closer], x
+            best[rest[self.group[rest] == self.group[x]]] = -1  # joined already
+            y = int(rest[np.argmin(best[rest])])
+            if 0 <= best[y] < far:
+                out.append((int(parent[y]), y))
+            x = y
+        return out
+
+
+def _across(batches: Iterator[pa.RecordBatch], everything: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of different groups in a block of a signature that may be similar.
 
     Rows come sorted by (sig, i, j); a block has ``BLOCK`` members of each side at most, on average.
+    A block with more pairs than members gives a forest of them, unless ``everything`` is asked for.
     """
     pending: pa.Table | None = None
     for batch in itertools.chain(batches, [None]):
@@ -373,23 +437,22 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = table.combine_chunks()
         for g in range(done):
             part = table.slice(bounds[g], bounds[g + 1] - bounds[g])
-            _, i, j, side, c, group, n, bits = part.to_pydict().values()
-            same = i[0] == j[0]
-            n, group = np.array(n), np.unique(np.array(group), return_inverse=True)[1]
-            words = np.frombuffer(b"".join(bits), np.uint64).reshape(len(c), -1)
-            left = np.arange(len(c)) if same else np.flatnonzero(np.array(side) == i[0])
-            right = left if same else np.flatnonzero(np.array(side) != i[0])
-            found: list[tuple[int, int]] = []
-            for x in left.tolist():
-                other = right[right > x] if same else right
-                other = other[(group[other] != group[x]) & (NEED * np.minimum(n[other], n[x]) >= SHARE * np.maximum(n[other], n[x]))]
-                if len(other):
-                    apart = np.bitwise_count(words[other] ^ words[x]).sum(1)
-                    near = other[(NEED + SHARE) * apart <= (NEED - SHARE) * (n[other] + n[x])]
-                    found += [(x, y) for y in near.tolist()]
+            sig, i, j, side, c, group, n, bits = part.to_pydict().values()
+            block = _Block(
+                np.array(n, np.int64), np.unique(np.array(group), return_inverse=True)[1],
+                np.frombuffer(b"".join(bits), np.uint64).reshape(len(c), -1), None if i[0] == j[0] else np.array(side),
+            )
+            found = block.pairs(None if everything else len(c) - 1)
+            forest = found is None
+            if forest:
+                found = block.forest()
             if found:
-                pairs = [sorted((c[x], c[y])) for x, y in found]
-                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+                pairs, k = [sorted((c[x], c[y])) for x, y in found], len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([sig[0]] * k, pa.int64()), pa.array([i[0]] * k, pa.int32()), pa.array([j[0]] * k, pa.int32()),
+                     *(pa.array([p[e] for p in pairs], pa.binary()) for e in (0, 1)), pa.array([forest] * k, pa.bool_())],
+                    names=["sig", "i", "j", "a", "b", "forest"],
+                )
 
 
 def _check(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -429,33 +492,62 @@ def join(documents: DataFrame) -> DataFrame:
     wanted = store.put(representative.join(members.select("k").distinct(), "k", "left_semi"), "wanted")
     chosen = store.put(
         texts.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_packed, "doc_id long, z binary")
-        .join(wanted.select("doc_id", "c"), "doc_id").select("z", "c").mapInArrow(_pick, "c binary, z binary"), "texts",
-    ).dropDuplicates(["c"])
-    members = members.join(wanted.select("k", "c"), "k").select("sig", "c")
+        .join(wanted.select("doc_id", "c"), "doc_id").select("z", "c").mapInArrow(_pick, "c binary, z binary").dropDuplicates(["c"]), "texts",
+    )
+    sketches = store.put(chosen.mapInArrow(_sketch, "c binary, band int, n int, bits binary"), "sketches")
+    band = F.col("sig").bitwiseAND(F.lit(63)).cast("int").alias("band")
+    met, members = members, members.join(wanted.select("k", "c"), "k").select("sig", "c")
 
-    # Every member against the smallest of its signature.
+    # Every member against the smallest of its signature, by sketches and then by the sets.
     center = members.groupBy("sig").agg(F.min("c").alias("a"))
-    star = members.join(center, "sig").where("c <> a").select("a", F.col("c").alias("b")).distinct()
-    links = store.put(_check(star, chosen), "links")
+    star = members.join(center, "sig").where("c <> a").groupBy("a", F.col("c").alias("b")).agg(F.min(band).alias("band"))
+    near = (
+        star.join(sketches.select(F.col("c").alias("a"), "band", F.col("n").alias("na"), F.col("bits").alias("ba")), ["a", "band"])
+        .join(sketches.select(F.col("c").alias("b"), "band", F.col("n").alias("nb"), F.col("bits").alias("bb")), ["b", "band"])
+        .select("a", "b", "na", "nb", "ba", "bb").mapInArrow(_near, "a binary, b binary")
+    )
+    links = store.put(_check(near, chosen), "links")
     groups = components(links, store)
 
     # Signatures that still span several groups, in blocks.
     now = store.put(members.join(groups.withColumnRenamed("node", "c"), "c", "left").select("sig", "c", F.coalesce("component", "c").alias("g")), "groups")
+    store.drop(met)
     open_ = now.groupBy("sig").agg(F.count("*").alias("m"), F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high")
-    sketches = chosen.mapInArrow(_sketch, "c binary, band int, n int, bits binary")
     rest = now.join(open_.select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "sig")
-    blocks = (
-        rest.withColumn("band", F.col("sig").bitwiseAND(F.lit(63)).cast("int"))
-        .join(sketches, ["c", "band"])
-        .withColumn("side", F.pmod(F.xxhash64("c"), "blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "c", "g", "n", "bits")
-    )
-    pairs = blocks.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_across, "a binary, b binary").distinct()
-    more = store.put(_check(pairs, chosen), "links")
+
+    def blocks(rows: DataFrame) -> DataFrame:
+        return (
+            rows.withColumn("band", band)
+            .join(sketches, ["c", "band"])
+            .withColumn("side", F.pmod(F.xxhash64("c"), "blocks").cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "c", "g", "n", "bits")
+        )
+
+    def across(rows: DataFrame, everything: bool) -> DataFrame:
+        return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(lambda batches: _across(batches, everything), _PAIR)
+
+    pairs = store.put(across(blocks(rest), False), "pairs")
+    more = store.put(_check(pairs.select("a", "b").distinct(), chosen), "links")
     edges = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     groups = components(edges, store)
 
+    # A pair of a forest that did not link may have cut off members that others of its block link.
+    group_of = lambda name: groups.select(F.col("node").alias(name), F.col("component").alias(f"g{name}"))
+    cut = (
+        pairs.where("forest").join(more, ["a", "b"], "left_anti").join(group_of("a"), "a", "left").join(group_of("b"), "b", "left")
+        .where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("sig", "i", "j").distinct()
+    )
+    cut = store.put(cut, "cut")
+    if not cut.isEmpty():
+        again = rest.drop("g").join(cut.select("sig").distinct(), "sig", "left_semi").join(groups.withColumnRenamed("node", "c"), "c", "left")
+        again = again.select("sig", "c", "blocks", F.coalesce("component", "c").alias("g"))
+        last = across(blocks(again).join(cut, ["sig", "i", "j"], "left_semi"), True).select("a", "b").distinct()
+        edges = edges.unionByName(store.put(_check(last, chosen), "links"))
+        groups = components(edges, store)
+    for table in (sketches, now, pairs):
+        store.drop(table)
+
     named = representative.join(groups.withColumnRenamed("node", "c"), "c", "left").select("c", "doc_id", F.coalesce("component", "c").alias("g"))
     least = named.groupBy("g").agg(F.min("doc_id").alias("component_id"))
     of_class = named.join(least, "g").select("c", "component_id")

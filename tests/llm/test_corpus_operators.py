@@ -257,3 +257,66 @@ def test_stages_take_rows_and_not_ids(spark, folder):
     benchmark = spark.createDataFrame([(1, " ".join(b[20:50]) + ". " + " ".join(b[50:65]) + ".")], "item_id long, text string")
     left = decontaminate.clean(docs, benchmark).collect()
     assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted([(i, texts[t]) for i, t in rows if t != "b"] + [(6, ""), (6, None)], key=str)
+
+
+def _blocks(source, n, two_sides):
+    import numpy as np
+
+    base = source.getrandbits(256)
+    words = []
+    for _ in range(n):
+        bits = base
+        for _ in range(source.randrange(0, 24)):
+            bits ^= 1 << source.randrange(256)
+        words.append(np.frombuffer(bits.to_bytes(32, "little"), np.uint64))
+    side = np.array([source.randrange(2) for _ in range(n)]) if two_sides else None
+    return jaccard._Block(np.array([source.randrange(90, 110) for _ in range(n)], np.int64), np.array([source.randrange(n) for _ in range(n)]), np.array(words), side)
+
+
+def _united(block, pairs):
+    root = list(range(len(block.n)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x in range(len(root)):
+        for y in range(x):
+            if block.group[x] == block.group[y]:
+                root[find(x)] = find(y)
+    for x, y in pairs:
+        root[find(x)] = find(y)
+    return [[find(x) == find(y) for y in range(len(root))] for x in range(len(root))]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_forests_join_what_all_pairs_join(seed):
+    block = _blocks(random.Random(seed), 30, seed % 2 == 1)
+    pairs, forest = block.pairs(None), block.forest()
+    assert set(map(tuple, map(sorted, forest))) <= set(map(tuple, map(sorted, pairs))) and len(forest) < len(block.n)
+    assert _united(block, forest) == _united(block, pairs)
+    assert block.pairs(len(pairs)) == pairs and (not pairs or block.pairs(len(pairs) - 1) is None)
+
+
+def test_blocks_with_more_pairs_than_members(spark, monkeypatch):
+    """A long chain of near copies around the threshold: forests, and what they cut off, give all links."""
+    source = random.Random(11)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    text, docs = words(source, 90), []
+    for i in range(150):
+        docs.append((i, " ".join(text)))
+        for _ in range(source.randrange(1, 4)):
+            text[source.randrange(len(text))] = "n%d" % source.randrange(10**6)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.join(df).collect()}
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(86)} for i, t in docs}
+    group = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if group[a] < group[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    group[b], changed = group[a], True
+    assert got == group
