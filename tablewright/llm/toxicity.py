@@ -4,7 +4,8 @@ Labels of documents become labels of tokens: features (a word or a beginning of
 documents of the training sample have far more often than others mark the tokens of toxic
 documents. A two-tag chain (toxic or not) with hashed word, beginning and neighbour features is fit
 to these tokens. Forward-backward gives every token of a text its marginal; runs of toxic tokens are
-the offending spans, and a logistic model of summaries of the marginals gives the document's score.
+the offending spans, and a logistic model of summaries of the marginals (how many tokens are toxic, and
+how surely the most toxic ones are) gives the document's score.
 """
 
 from __future__ import annotations
@@ -156,8 +157,14 @@ def fit_chain(buckets: np.ndarray, tags: np.ndarray, heads: np.ndarray, rounds:
     return weights, moves, start
 
 
+# The document model looks at the marginals of these places, counted from the most toxic token.
+PLACES = (1, 2, 4)
+FEATURES = 3 + len(PLACES)
+
+
 def summaries(toxic: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Per row: log-odds that some token is toxic, log of the expected number, and log of its share."""
+    """Per row: log-odds that some token is toxic, log of the expected number, log of its share, and
+    the log-odds of the most toxic tokens (the least possible where a text has fewer)."""
     counts = np.diff(first)
     toxic = np.clip(toxic, 1e-9, 1 - 1e-9)
     total = np.concatenate([[0], np.cumsum(toxic)])
@@ -165,17 +172,32 @@ def summaries(toxic: np.ndarray, first: np.ndarray) -> np.ndarray:
     expected = total[first[1:]] - total[first[:-1]]
     clean = np.minimum(none[first[1:]] - none[first[:-1]], -1e-9)
     odds = np.clip(np.log(-np.expm1(clean)) - clean, -12, 12)
-    return np.stack([odds / 4, np.log(expected + 1e-2), np.log(expected / np.maximum(counts, 1) + 1e-4)], 1)
-
-
-def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.05) -> np.ndarray:
-    """Weights and intercept by Newton steps."""
-    x = np.concatenate([x, np.ones((len(x), 1))], 1)
+    most = np.full((len(counts), max(PLACES)), 1e-6)
+    for i, (a, b) in enumerate(zip(first, first[1:])):
+        n = min(b - a, max(PLACES))
+        if n:
+            most[i, :n] = np.sort(np.partition(toxic[a:b], b - a - n)[b - a - n :])[::-1]
+    most = np.clip(most[:, np.array(PLACES) - 1], 1e-6, 1 - 1e-6)
+    return np.concatenate([
+        np.stack([odds / 4, np.log(expected + 1e-2), np.log(expected / np.maximum(counts, 1) + 1e-4)], 1), np.log(most / (1 - most)),
+    ], 1)
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.01) -> np.ndarray:
+    """Weights and intercept by Newton steps over scaled columns; the intercept has no penalty."""
+    if not len(x):
+        return np.zeros(x.shape[1] + 1)
+    mean, scale = x.mean(0), x.std(0) + 1e-9
+    x = np.concatenate([(x - mean) / scale, np.ones((len(x), 1))], 1)
+    penalty = np.full(x.shape[1], l2)
+    penalty[-1] = 1e-6
     w = np.zeros(x.shape[1])
     for _ in range(30):
-        p = 1 / (1 + np.exp(-x @ w))
-        curve = (x * (p * (1 - p))[:, None]).T @ x + l2 * np.eye(len(w))
-        w = w + np.linalg.solve(curve, x.T @ (y - p) - l2 * w)
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        w = w + np.linalg.solve(curve, x.T @ (y - p) - penalty * w)
+    w[:-1] /= scale
+    w[-1] -= mean @ w[:-1]
     return w
 
 
@@ -232,9 +254,9 @@ def _measure(batches: Iterator[pa.RecordBatch], model: Model, score: bool) -> It
         toxic, _ = marginals(total, first[:-1][np.diff(first) > 0], model.moves, model.start)
         x = summaries(toxic, first)
         if not score:
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x[:, i]) for i in range(3))], names=["y", "a", "b", "c"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"])
             continue
-        value = 1 / (1 + np.exp(-(x @ model.document[:-1] + model.document[-1])))
+        value = 1 / (1 + np.exp(-np.clip(x @ model.document[:-1] + model.document[-1], -30, 30)))
         data, offsets = text_bytes(lowered(batch.column(1)))
         chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         hit = np.flatnonzero(toxic >= 0.5)
@@ -286,9 +308,9 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     buckets = np.concatenate([np.empty((0, 3 + len(BEGINNINGS)), np.int32), *(np.frombuffer(r.buckets, "<i4").reshape(-1, 3 + len(BEGINNINGS)) for r in rows)])
     tags = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(r.tags, np.uint8) for r in rows)]).astype(np.int64)
     heads = np.cumsum([0, *(len(r.tags) for r in rows)])[:-1].astype(np.int64)
-    model = Model(*fit_chain(buckets, tags, heads), np.zeros(4))
-    parts = texts.select("y", "text").mapInArrow(lambda batches: _measure(batches, model, False), "y long, a double, b double, c double").orderBy("y", "a", "b", "c").collect()
-    x = np.array([(r.a, r.b, r.c) for r in parts]).reshape(-1, 3)
+    model = Model(*fit_chain(buckets, tags, heads), np.zeros(FEATURES + 1))
+    parts = texts.select("y", "text").mapInArrow(lambda batches: _measure(batches, model, False), "y long, x array<double>").orderBy("y", "x").collect()
+    x = np.array([r.x for r in parts], float).reshape(-1, FEATURES)
     return model._replace(document=fit_logistic(x, np.array([r.y for r in parts], float)))
 
 

@@ -249,3 +249,26 @@ def test_classifiers_without_labels(labelled, module):
     docs, labels, _ = labelled
     assert module.score(docs, module.fit(docs, labels.limit(0))).count() == 903
     assert module.score(docs.limit(0), module.fit(docs, labels.limit(0))).count() == 0
+
+
+def test_document_summaries_equal_plain_sums():
+    source = random.Random(4)
+    texts = [[source.random() for _ in range(n)] for n in (0, 1, 2, 3, 4, 50, 700)]
+    first = np.cumsum([0, *map(len, texts)])
+    got = toxicity.summaries(np.array([x for t in texts for x in t]), first)
+    for row, text in zip(got, texts):
+        none = np.prod([1 - x for x in text])
+        if 1e-5 < none < 1 - 1e-5:
+            assert row[0] * 4 == pytest.approx(np.log((1 - none) / none), rel=1e-6)
+        assert row[1] == pytest.approx(np.log(sum(text) + 1e-2)) and row[2] == pytest.approx(np.log(sum(text) / max(1, len(text)) + 1e-4))
+        most = sorted(text, reverse=True) + [1e-6] * 4
+        assert row[3:].tolist() == pytest.approx([np.log(most[k - 1] / (1 - most[k - 1])) for k in toxicity.PLACES], rel=1e-5)
+
+
+def test_logistic_model_of_unscaled_columns():
+    source = np.random.default_rng(2)
+    x = source.normal(size=(4000, 3)) * [1e-3, 1, 1e3] + [5, 0, -7]
+    y = (source.random(4000) < 1 / (1 + np.exp(-(x - [5, 0, -7]) @ [2e3, -1, 1e-3]))).astype(float)
+    w = toxicity.fit_logistic(x, y)
+    assert w[0] / 2e3 == pytest.approx(1, abs=0.15) and w[1] == pytest.approx(-1, abs=0.15) and w[2] / 1e-3 == pytest.approx(1, abs=0.15)
+    assert toxicity.fit_logistic(np.empty((0, 3)), np.empty(0)).tolist() == [0, 0, 0, 0]
