@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -58,6 +58,8 @@ def _selected(tagged: DataFrame, n: int, grouped: bool) -> DataFrame:
             F.count("*").alias("__n"), F.min("__digest").alias("__low"), F.max("__digest").alias("__high"))
         if state is None:
             counts = counts.withColumn("__need", F.lit(n))
+        elif not grouped:
+            counts = counts.withColumn("__need", F.lit(state["__need"]))
         else:
             counts = counts.join(state.select("__group", "__need"), "__group")
         # At most 65,536 rows a group.
@@ -68,6 +70,13 @@ def _selected(tagged: DataFrame, n: int, grouped: bool) -> DataFrame:
         )
         small = (F.col("x.__n") <= max(n, SMALL_BUCKET)) | (F.col("x.__low") == F.col("x.__high"))
         found = reached.select("__group", F.col("x.__bucket").alias("__last"), F.col("x.__need").alias("__need"), small.alias("__done"), "__size")
+        if not grouped:  # one row, or none of an empty table
+            state = found.first()
+            if state is None:
+                return tagged.limit(0)
+            if depth >= 32 or state["__done"]:
+                break
+            continue
         if state is not None:
             known = state.select("__group", F.col("__size").alias("__all"), F.col("__last").alias("__old"), F.col("__need").alias("__left"), F.col("__done").alias("__was"))
             found = known.join(found.drop("__size"), "__group", "left").select(
@@ -81,12 +90,10 @@ def _selected(tagged: DataFrame, n: int, grouped: bool) -> DataFrame:
     return near.where(F.substr("__digest", F.lit(1), F.length("__last")) <= F.col("__last")).select(*tagged.columns)
 
 
-def _with_limits(tagged: DataFrame, state: DataFrame, grouped: bool) -> DataFrame:
-    limits = state.select("__group", "__last", "__done", "__size")
+def _with_limits(tagged: DataFrame, state: DataFrame | Row, grouped: bool) -> DataFrame:
     if grouped:
-        return attach_stats(tagged, limits, "__group", "__size")
-    row = limits.select("__last", "__done").first()
-    return tagged.withColumn("__last", F.lit(row and row["__last"])).withColumn("__done", F.lit(bool(row and row["__done"])))
+        return attach_stats(tagged, state.select("__group", "__last", "__done", "__size"), "__group", "__size")
+    return tagged.withColumn("__last", F.lit(state["__last"])).withColumn("__done", F.lit(state["__done"]))
 
 
 def stable_sample(df: DataFrame, n: int, identity: Sequence[str] | None = None,
