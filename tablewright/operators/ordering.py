@@ -48,6 +48,7 @@ def _selected(tagged: DataFrame, n: int, grouped: bool) -> DataFrame:
     """
     state = None
     depth = 0
+    mark = F.xxhash64("__digest")  # numbers are aggregated by hash, text only by sorting
     while True:
         depth += ROUND_DIGITS
         rows = tagged
@@ -55,7 +56,7 @@ def _selected(tagged: DataFrame, n: int, grouped: bool) -> DataFrame:
             rows = _with_limits(tagged, state, grouped).where(~F.col("__done") & F.col("__digest").startswith(F.col("__last")))
             rows = rows.select("__group", "__digest")
         counts = rows.groupBy("__group", F.substring("__digest", 1, depth).alias("__bucket")).agg(
-            F.count("*").alias("__n"), F.min("__digest").alias("__low"), F.max("__digest").alias("__high"))
+            F.count("*").alias("__n"), F.min(mark).alias("__low"), F.max(mark).alias("__high"))
         if state is None:
             counts = counts.withColumn("__need", F.lit(n))
         elif not grouped:
