@@ -166,6 +166,47 @@ def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster",
     return scored.agg(F.count("*").alias("points"), F.avg("s").alias("silhouette"))
 
 
+def squared_silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster") -> DataFrame:
+    """Mean squared-Euclidean silhouette of all rows, ``(cluster, points, silhouette)``.
+
+    The mean squared distance of a point to the members of a cluster is its squared distance to
+    their mean plus their variance, so one aggregate per cluster and one pass over the rows score
+    every row without pairs. The row with a null ``cluster`` is the whole table. A point alone in
+    its cluster scores 0, as does one without any distance; fewer than two clusters give null.
+    Rows without a cluster or with a null or NaN feature are no points. One row per cluster
+    reaches the driver and becomes part of the second pass, as centres do in an assignment.
+    """
+    known = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in features]
+    points = df.where(reduce(lambda a, b: a & b, known, F.col(cluster).isNotNull()))
+    values = [F.col(c).cast("double") for c in features]
+    profile = points.groupBy(F.col(cluster).alias("c")).agg(
+        F.count("*").alias("n"),
+        F.array(*[F.avg(v) for v in values]).alias("center"),
+        reduce(lambda a, b: a + b, [F.var_pop(v) for v in values]).alias("spread"),
+    ).collect()
+    kind = df.schema[cluster].dataType
+    if len(profile) < 2:
+        score = F.lit(None).cast("double")
+    else:
+        own = F.col(cluster)
+        gaps = []
+        for row in sorted(profile, key=lambda r: r["c"]):
+            parts = [(v - F.lit(m)) * (v - F.lit(m)) for v, m in zip(values, row["center"])]
+            gaps.append((row, reduce(lambda a, b: a + b, parts) + F.lit(row["spread"])))
+        inner = F.coalesce(*[
+            F.when(own == F.lit(row["c"]).cast(kind), gap * F.lit(row["n"] / max(row["n"] - 1, 1))) for row, gap in gaps
+        ])
+        others = [F.when(own != F.lit(row["c"]).cast(kind), gap) for row, gap in gaps]
+        outer = F.array_min(F.array(*others))
+        alone = own.isin([F.lit(row["c"]).cast(kind) for row, _ in gaps if row["n"] == 1])
+        widest = F.greatest("__inner", "__outer")
+        points = points.select(cluster, inner.alias("__inner"), outer.alias("__outer"), alone.alias("__alone"))
+        score = F.when(~F.col("__alone") & (widest > 0), (F.col("__outer") - F.col("__inner")) / widest).otherwise(0.0)
+    return points.select(cluster, score.alias("__score")).rollup(cluster).agg(
+        F.count("*").alias("points"), F.avg("__score").alias("silhouette")
+    )
+
+
 def cluster_points(df: DataFrame, columns: Sequence[str], per_cluster: int = 3_000,
                    seed: int = 42, cluster: str = "cluster",
                    identity: Sequence[str] | None = None) -> DataFrame:

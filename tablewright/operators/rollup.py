@@ -104,16 +104,49 @@ def _combined(df: DataFrame, keys: Sequence[str], metrics: Sequence[Metric]) ->
     )
 
 
-def rollups_in_one_pass(df: DataFrame, specs: Sequence[Rollup]) -> dict[str, DataFrame]:
-    """All rollups from a single scan of ``df``.
+# Above this share of distinct key combinations among the rows, their table would save little.
+COMBINED_SHARE = 0.25
 
-    The rows are first reduced to one row per combination of all keys; that table is
-    written once and each rollup adds its rows up.
-    """
-    base = materialise(
-        _combined(df, [s.key for s in specs], [m for s in specs for m in s.metrics]),
-        "combinations",
+
+def combination_share(df: DataFrame, keys: Sequence[str]) -> float:
+    """Estimated number of distinct combinations of ``keys``, divided by the rows; one row is returned."""
+    parts = [part for key in keys for part in (F.col(key), F.col(key).isNull())]
+    row = df.agg(F.approx_count_distinct(F.xxhash64(*parts)).alias("n"), F.count("*").alias("rows")).first()
+    return row["n"] / row["rows"] if row["rows"] else 0.0
+
+
+def _grouping_sets(df: DataFrame, specs: Sequence[Rollup]) -> dict[str, DataFrame]:
+    """All rollups from one aggregate over grouping sets: a row per task and value of each key is shuffled."""
+    keys = list(dict.fromkeys(s.key for s in specs))
+    partials: dict[str, Column] = {}
+    for metric in (m for s in specs for m in s.metrics):
+        partials.update(metric.partials())
+    levels = df.groupingSets([[F.col(k)] for k in keys], *[F.col(k) for k in keys]).agg(
+        F.grouping_id().alias("__level"), *[c.alias(name) for name, c in partials.items()]
     )
+    base = materialise(levels, "levels")
+    everything = (1 << len(keys)) - 1
+    level = {key: everything ^ (1 << (len(keys) - 1 - i)) for i, key in enumerate(keys)}
+    return {
+        s.name: base.where(F.col("__level") == level[s.key]).groupBy(s.key).agg(*[m.over_partials() for m in s.metrics])
+        for s in specs
+    }
+
+
+def rollups_in_one_pass(df: DataFrame, specs: Sequence[Rollup],
+                        combined_share: float = COMBINED_SHARE) -> dict[str, DataFrame]:
+    """All rollups from a single aggregate over ``df``.
+
+    A first pass over the keys estimates how many combinations of them there are, so ``df`` should
+    be a written table. Up to ``combined_share`` of the rows, the rows are reduced to one row per
+    combination; that table is written once and each rollup adds its rows up. Above, that
+    table would be about as large as ``df``: the rollups are then one aggregate over grouping sets,
+    which is written once and has one row per value of each key. Both give the same rows.
+    """
+    keys = [s.key for s in specs]
+    if combination_share(df, list(dict.fromkeys(keys))) > combined_share:
+        return _grouping_sets(df, specs)
+    base = materialise(_combined(df, keys, [m for s in specs for m in s.metrics]), "combinations")
     return {
         s.name: base.groupBy(s.key).agg(*[m.over_partials() for m in s.metrics]) for s in specs
     }

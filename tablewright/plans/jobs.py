@@ -236,6 +236,7 @@ def cluster(spark: SparkSession, layout: Layout, k: int = 4, starts: int = 10,
         results = {
             "summary": summary,
             "silhouette": quality,
+            "silhouette_all": clusters.squared_silhouette(scaler.transform(assigned), scaled),
             "points": clusters.cluster_points(
                 assigned, ["rtp", "max_win"], seed=seed, identity=["id"]
             ),

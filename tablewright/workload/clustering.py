@@ -80,6 +80,12 @@ def silhouette_sample(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("points", round_mean("silhouette", 4).alias("silhouette"))
 
 
+def silhouette_all(spark: SparkSession, folder: str) -> DataFrame:
+    """All events, per cluster and, without a cluster, together."""
+    scored = clusters.squared_silhouette(_event_clusters(spark, folder), ["v", "u"])
+    return scored.select("cluster", "points", round_mean("silhouette", 4).alias("silhouette"))
+
+
 def cluster_points(spark: SparkSession, folder: str) -> DataFrame:
     rows = _event_clusters(spark, folder)
     return clusters.cluster_points(rows, ["v", "u"], 3_000, identity=["event_id"])
@@ -196,6 +202,24 @@ QUERIES = {
             THEN (outer_mean - inner_mean) / greatest(inner_mean, outer_mean) ELSE 0 END)''', 4)}
             AS silhouette
         FROM scores"""),
+    "silhouette_all": Query(silhouette_all, f"""
+        WITH {_EVENTS_SQL}, sizes AS (
+            SELECT cluster, count(*) AS n FROM clustered GROUP BY cluster
+        ), sums AS (
+            SELECT a.event_id, a.cluster AS own, b.cluster AS other,
+                sum((a.v - b.v) * (a.v - b.v) + (a.u - b.u) * (a.u - b.u)) AS total
+            FROM clustered a, clustered b GROUP BY ALL
+        ), scores AS (
+            SELECT event_id, own, max(n) FILTER (own = other) AS own_size,
+                sum(total / (n - 1)) FILTER (own = other AND n > 1) AS inner_mean,
+                min(total / n) FILTER (own <> other) AS outer_mean
+            FROM sums JOIN sizes ON other = cluster GROUP BY event_id, own
+        )
+        SELECT own AS cluster, count(*) AS points, {half_up('''avg(CASE WHEN own_size > 1
+            AND greatest(inner_mean, outer_mean) > 0
+            THEN (outer_mean - inner_mean) / greatest(inner_mean, outer_mean) ELSE 0 END)''', 4)}
+            AS silhouette
+        FROM scores GROUP BY ROLLUP (own)"""),
     "cluster_points": Query(cluster_points, f"""
         WITH {_EVENTS_SQL}
         SELECT v, u, cluster FROM clustered

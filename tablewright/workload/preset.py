@@ -107,7 +107,8 @@ def _stacked(tables: dict[str, DataFrame]) -> DataFrame:
 
 def games_rollups_shared_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The five curated tables from one pass."""
-    return _stacked(rollups_in_one_pass(games_features(spark, folder), games.ROLLUPS))
+    features = materialise(games_features(spark, folder), "features")
+    return _stacked(rollups_in_one_pass(features, games.ROLLUPS))
 
 
 def _job_input(spark: SparkSession, folder: str) -> tuple[jobs.Layout, str]:

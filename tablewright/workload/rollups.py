@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,8 @@ from tablewright.workload.tables import Query, half_up, table
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines with the columns that the rollups need."""
     return table(spark, folder, "lineitem").select(
-        "l_suppkey", "l_linestatus", "l_returnflag", "l_quantity", "l_extendedprice", "l_tax",
-        "l_discount",
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linestatus", "l_returnflag", "l_quantity",
+        "l_extendedprice", "l_tax", "l_discount",
         (F.col("l_returnflag") == "R").alias("returned"),
         band("l_discount", [(0.07, "high"), (0.04, "medium")], "low").alias("discount_band"),
         band("l_tax", [(0.02, "small"), (0.05, "middle")], "large", at_least=False).alias("tax_tier"),
@@ -33,8 +35,8 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 
 _LINES = """
     lines AS (
-        SELECT l_suppkey, l_linestatus, l_returnflag, l_quantity, l_extendedprice, l_tax,
-            l_discount, l_returnflag = 'R' AS returned,
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linestatus, l_returnflag, l_quantity,
+            l_extendedprice, l_tax, l_discount, l_returnflag = 'R' AS returned,
             CASE WHEN l_discount >= 0.07::DOUBLE THEN 'high'
                 WHEN l_discount >= 0.04::DOUBLE THEN 'medium' ELSE 'low' END AS discount_band,
             CASE WHEN l_tax <= 0.02::DOUBLE THEN 'small'
@@ -65,32 +67,36 @@ def _single(key: str, *metrics):
     return run
 
 
-def rollups_shared_scan(spark: SparkSession, folder: str) -> DataFrame:
-    keys = ("l_suppkey", "l_linestatus", "discount_band", "tax_tier")
-    tables = rollups_in_one_pass(
-        _lines(spark, folder), [Rollup(k, k, _METRICS) for k in keys]
-    )
-    stacked = None
-    for key, grouped in tables.items():
-        part = grouped.select(
-            F.lit(key).alias("rollup"), F.col(key).cast("string").alias("key"),
-            *[m.name for m in _METRICS],
-        )
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return stacked
+def _shared_scan(keys: tuple[str, ...]):
+    """Rollups by several keys from one aggregate, below each other."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        tables = rollups_in_one_pass(_lines(spark, folder), [Rollup(k, k, _METRICS) for k in keys])
+        return reduce(DataFrame.unionByName, [
+            grouped.select(
+                F.lit(key).alias("rollup"), F.col(key).cast("string").alias("key"),
+                *[m.name for m in _METRICS],
+            ) for key, grouped in tables.items()
+        ])
+
+    return run
+
+
+_FEW = ("l_suppkey", "l_linestatus", "discount_band", "tax_tier")
+# Nearly every line has a combination of its own.
+_MANY = ("l_orderkey", "l_partkey", "l_suppkey", "discount_band")
 
 
 def rollup_stacked(spark: SparkSession, folder: str) -> DataFrame:
-    keys = ("l_suppkey", "l_linestatus", "discount_band", "tax_tier")
-    return stacked_rollup(_lines(spark, folder), keys, _METRICS)
+    return stacked_rollup(_lines(spark, folder), _FEW, _METRICS)
 
 
-_STACKED_SQL = "WITH " + _LINES + " UNION ALL ".join(
-    f"""
+def _stacked_sql(keys: tuple[str, ...]) -> str:
+    return "WITH " + _LINES + " UNION ALL ".join(
+        f"""
         SELECT '{key}' AS rollup, CAST({key} AS VARCHAR) AS key, {_METRICS_SQL}
         FROM lines GROUP BY {key}"""
-    for key in ("l_suppkey", "l_linestatus", "discount_band", "tax_tier")
-)
+        for key in keys
+    )
 
 
 def _keyed_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,8 +188,9 @@ QUERIES = {
         WITH {_LINES}
         SELECT tax_tier, count(*) AS total, {half_up('avg(l_quantity)')} AS avg_quantity
         FROM lines GROUP BY tax_tier"""),
-    "rollups_shared_scan": Query(rollups_shared_scan, _STACKED_SQL),
-    "rollup_stacked": Query(rollup_stacked, _STACKED_SQL),
+    "rollups_shared_scan": Query(_shared_scan(_FEW), _stacked_sql(_FEW)),
+    "rollups_grouping_sets": Query(_shared_scan(_MANY), _stacked_sql(_MANY)),
+    "rollup_stacked": Query(rollup_stacked, _stacked_sql(_FEW)),
     "enrich_group_stats": Query(enrich_group_stats, _ENRICHED_SQL),
     "enrich_split_join": Query(enrich_split_join, _SPLIT_SQL),
 }

@@ -93,6 +93,29 @@ def test_silhouette_of_one_cluster_is_null(spark):
     assert c.silhouette(df, ["x", "y"]).first()["silhouette"] is None
 
 
+def test_squared_silhouette_equals_brute_force(spark, monkeypatch):
+    df = c.assign_clusters(blobs(spark, 200), ["x", "y"], [(0.0, 0.0), (8.0, 2.0), (3.0, 9.0), (100.0, 100.0)])
+    df = df.withColumn("cluster", F.when(F.col("id") == 7, 3).otherwise(F.col("cluster")))
+    rows = df.collect()
+    monkeypatch.setattr(math, "dist", lambda p, q: sum((a - b) ** 2 for a, b in zip(p, q)))
+    expected = brute_silhouette([(r["x"], r["y"]) for r in rows], [r["cluster"] for r in rows])
+    got = {r["cluster"]: r for r in c.squared_silhouette(df, ["x", "y"]).collect()}
+    assert got[None]["points"] == 200 and got[None]["silhouette"] == pytest.approx(expected)
+    assert got[3]["points"] == 1 and got[3]["silhouette"] == 0
+    assert sum(r["points"] * r["silhouette"] for k, r in got.items() if k is not None) / 200 == pytest.approx(expected)
+
+
+def test_squared_silhouette_of_edge_rows(spark):
+    rows = [("a", 1.0), ("a", 1.0), ("b", 1.0), ("b", 1.0), (None, 5.0), ("a", None), ("b", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    assert {tuple(r) for r in c.squared_silhouette(df, ["x"], "g").collect()} == {("a", 2, 0.0), ("b", 2, 0.0), (None, 4, 0.0)}
+    one = c.squared_silhouette(df.where("g = 'a'"), ["x"], "g").collect()
+    assert {tuple(r) for r in one} == {("a", 2, None), (None, 2, None)}
+    assert [tuple(r) for r in c.squared_silhouette(df.limit(0), ["x"], "g").collect()] in ([], [(None, 0, None)])
+    far = spark.range(2000).selectExpr("id % 2 AS g", "1e9 + id % 2 * 10 + id % 7 * 0.001 AS x")
+    assert c.squared_silhouette(far, ["x"], "g").where("g IS NULL").first()["silhouette"] > 0.999
+
+
 SUMMARY = "cluster int, avg_rtp double, avg_max_win double, avg_multiplier double, avg_min_bet double"
 
 

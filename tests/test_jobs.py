@@ -167,6 +167,7 @@ def test_marts_export_and_clusters(spark, tmp_path, monkeypatch):
     summary = results["summary"].collect()
     assert sum(r["games"] for r in summary) == 190 and len(summary) == 4
     assert -1 <= results["silhouette"].first()["silhouette"] <= 1
+    assert results["silhouette_all"].where("cluster IS NULL").first()["points"] == 190
     assert results["points"].count() == 190
     clustered = spark.read.csv(layout.path("exports", "games_with_clusters"), header=True)
     assert clustered.columns == [*games.CLUSTER_COLUMNS, "cluster"] and clustered.count() == 190

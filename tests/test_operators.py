@@ -25,6 +25,7 @@ from tablewright.operators.quality import (
 )
 from tablewright.operators.rollup import (
     Rollup,
+    combination_share,
     count_true,
     mean,
     rollup,
@@ -101,6 +102,26 @@ def test_rollups_from_one_pass_equal_single_rollups(spark):
     assert stacked.where("rollup = 'j'").agg(F.sum("n")).first()[0] == 3000
 
 
+@pytest.mark.parametrize("share", [0.0, 1.0])
+def test_both_plans_of_shared_rollups_are_equal(spark, share):
+    df = skewed(spark).withColumn("j", F.when(F.col("i") % 4 > 0, F.col("i") % 4))
+    specs = [Rollup("by_k", "k", METRICS), Rollup("by_i", "i", METRICS), Rollup("by_j", "j", METRICS), Rollup("again", "k", (row_count("rows"),))]
+    shared = rollups_in_one_pass(df, specs, share)
+    for spec in specs:
+        single = rollup(df, spec)
+        assert tuples(shared[spec.name]) == tuples(single)
+        assert shared[spec.name].schema.simpleString() == single.schema.simpleString()
+    assert ("__level" in shared["by_i"]._jdf.queryExecution().toString()) == (share == 0.0)
+    assert all(t.isEmpty() for t in rollups_in_one_pass(df.limit(0), specs, share).values())
+
+
+def test_share_of_key_combinations(spark):
+    df = skewed(spark)
+    assert combination_share(df, ["i"]) > 0.9 and combination_share(df, ["k"]) < 0.25
+    pairs = spark.createDataFrame([(None, "x"), ("x", None)] * 50, "a string, b string")
+    assert combination_share(pairs, ["a", "b"]) == 0.02 and combination_share(pairs.limit(0), ["a"]) == 0
+
+
 def test_mean_of_missing_values(spark):
     df = spark.createDataFrame([("a", None), ("a", 2.0), ("b", None)], "k string, x double")
     spec = Rollup("r", "k", (row_count("n"), mean("m", "x")))
