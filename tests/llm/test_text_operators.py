@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+import time
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright.llm import decontaminate, extract, fingerprint, pieces, quality, toxicity
 from tablewright.llm.common import Powers
@@ -152,6 +155,71 @@ def test_main_text(spark):
     assert text[2] == text[3] == "" and len(text[5]) == 5 * 30000 - 1
 
 
+def plain_labels(found, first):
+    """The second pass, by its definition: every open block looks for its neighbours itself."""
+    marked = any(b.article and f == "good" for b, f in zip(found, first))
+    counts = [i for i, (b, f) in enumerate(zip(found, first)) if f != "open" and not b.outside and b.tag not in ("title", "head")]
+    labels = []
+    for i, (b, f) in enumerate(zip(found, first)):
+        if f != "open":
+            labels.append(f)
+            continue
+        near = [max((j for j in counts if j < i), default=None), min((j for j in counts if j > i), default=None)]
+        near = [j for j in near if j is not None]
+        kinds = {first[j] for j in near}
+        if b.doubt and b.tag not in extract.HEADINGS or marked and not b.article:
+            good = False
+        elif not near:
+            good = b.article or b.tag in extract.PROSE
+        elif marked:
+            good = "good" in kinds
+        else:
+            closest = min(abs(j - i) for j in near)
+            good = len(kinds) == 1 and kinds == {"good"} or len(kinds) == 2 and any(first[j] == "good" for j in near if abs(j - i) == closest)
+        labels.append("good" if good else "bad")
+    return labels
+
+
+def test_second_pass_equals_a_plain_version():
+    source = random.Random(3)
+    for _ in range(3000):
+        found, first = [], []
+        for _ in range(source.randrange(12)):
+            outside = source.random() < 0.2
+            found.append(extract.Block("x", source.choice(["p", "h1", "div", "title"]), 0, outside, source.random() < 0.2, source.random() < 0.4))
+            first.append("bad" if outside or found[-1].tag == "title" else source.choice(["good", "bad", "open", "open"]))
+        assert extract.second_pass(found, first) == plain_labels(found, first)
+
+
+def test_density_decides_and_a_tag_is_evidence(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    renamed = pages.withColumn("html", F.regexp_replace("html", "(</?)article", "$1div"))
+    texts = {r.page_id: r.text.split("\n") for r in extract.extract(pages).collect()}
+    same = total = 0
+    for r in extract.extract(renamed).collect():
+        total += len(texts[r.page_id])
+        same += (Counter(texts[r.page_id]) & Counter(r.text.split("\n"))).total()
+    assert same >= 0.95 * total
+    teaser = "<p>It was the best of the news in the town and it is for all of you.</p>"
+    story = "<p>" + "This is the story of the man and of the dog that was with him in the house on the hill, as it is told by them. " * 3 + "</p>"
+    page = f"<nav><a href=x>Home</a></nav><article class=teaser>{teaser}</article><div class='post-header'><h1>Headline</h1></div><div>{story}<p>End.</p></div>"
+    lines = extract.main_text(page).split("\n")
+    assert lines[0] == "Headline" and lines[1].startswith("This is the story") and lines[2:] == ["End."]
+    prose = extract.main_text(f"<article>{story}<p><a href=x>Read more</a></p><p>Ok.</p></article><div>Some words</div>")
+    assert prose.endswith("by them.\nOk.")
+    assert extract.main_text("<p title=it's>One &amp; <!-- <p>no --> two<script>'</p>'</script> three</p><p hidden>x</p>") == "One & two three"
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 33_000 + '"', "<div><b>" * 6_000 + "</i></p></b>" * 4_000, "<a =" + " " * 50_000 + "<a = " * 10_000, "<!--" * 25_000, "<script>" * 12_000,
+    "<" * 100_000, "<b><div>" * 6_000 + "</b>" * 12_000, '<a class="' + "A-" * 50_000 + '">', "<a class" * 12_000 + '="', "<i>" * 16_000 + "<div></i>" * 5_000,
+])
+def test_hostile_pages_take_linear_time(page):
+    start = time.perf_counter()
+    extract.main_text(page)
+    assert time.perf_counter() - start < 1
+
+
 def test_decontamination_finds_every_item(spark):
     source = random.Random(5)
     words = ["".join(source.choices("abcdefghijklm", k=source.randrange(2, 9))) for _ in range(800)]
