@@ -312,8 +312,10 @@ def second_pass(found: list[Block], first: list[str]) -> list[str]:
                 label = "bad"
             elif not around:
                 label = "good" if block.article or block.tag in PROSE else "bad"
-            elif marked or len(around) == 1:
-                label = "good" if "good" in around else "bad"
+            elif marked:
+                label = "bad" if last[0] == after[i][0] == "bad" else "good"
+            elif len(around) == 1:
+                label = around.pop()
             else:
                 before, behind = i - last[1], after[i][1] - i
                 label = "good" if before == behind else last[0] if before < behind else after[i][0]

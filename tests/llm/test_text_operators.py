@@ -172,7 +172,7 @@ def plain_labels(found, first):
         elif not near:
             good = b.article or b.tag in extract.PROSE
         elif marked:
-            good = "good" in kinds
+            good = len(near) < 2 or kinds != {"bad"}
         else:
             closest = min(abs(j - i) for j in near)
             good = len(kinds) == 1 and kinds == {"good"} or len(kinds) == 2 and any(first[j] == "good" for j in near if abs(j - i) == closest)
