@@ -47,7 +47,8 @@ def _urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), RULES)
 
 
-# Host, path and rule as the library reads them; components by repeated joins from both ends.
+# Host, path, rule and links as the library reads them, but for segments . and .. of relative targets and
+# for character references other than &amp;; components by repeated joins from both ends.
 _URLS_SQL = r"""
     WITH RECURSIVE parts AS (
         SELECT page_id, url, html,
@@ -56,15 +57,33 @@ _URLS_SQL = r"""
             coalesce(regexp_extract(url, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?', 4), '') AS query,
             regexp_extract(url, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?', 1) AS scheme
         FROM pages
-    ), raw AS (
-        SELECT host || path || query AS a, scheme, host, unnest([
-            regexp_extract(regexp_extract(html, '(?is)(<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>)', 1), '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1),
-            regexp_extract(regexp_extract(html, '(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>)', 1), '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)
-        ]) AS target
+    ), markup AS (
+        SELECT host || path || query AS a, scheme, host, path, regexp_replace(html, '__NO_MARKUP__', '', 'g') AS html
         FROM parts WHERE host <> ''
+    ), tags AS (
+        SELECT * EXCLUDE html, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)[\s/][^<>=]*(?:=\s*(?:"[^"<]*"|''[^''<]*''|[^\s<>"''][^\s<>]*|)[^<>=]*){0,64}>')) AS tag
+        FROM markup
+    ), attributes AS (
+        SELECT * EXCLUDE tag, lower(regexp_extract(tag, '^<([a-zA-Z]+)', 1)) AS kind, list_transform(
+            regexp_extract_all(regexp_replace(tag, '^<[a-zA-Z]+|>$', '', 'g'), '__ATTRIBUTE__'),
+            lambda x: {'name': lower(regexp_extract(x, '__ATTRIBUTE__', 1)), 'value': regexp_extract(x, '__ATTRIBUTE__', 2) || regexp_extract(x, '__ATTRIBUTE__', 3) || regexp_extract(x, '__ATTRIBUTE__', 4)}
+        ) AS own
+        FROM tags
+    ), found AS (
+        SELECT a, scheme, host, path, kind, list_filter(own, lambda x: x.name = 'rel')[1].value AS rel, list_filter(own, lambda x: x.name = 'href')[1].value AS href,
+            list_filter(own, lambda x: x.name = 'http-equiv')[1].value AS equiv, list_filter(own, lambda x: x.name = 'content')[1].value AS content
+        FROM attributes
+    ), raw AS (
+        SELECT a, scheme, host, path, replace(trim(translate(CASE WHEN kind = 'link' THEN href
+            ELSE regexp_extract(content, '__REFRESH__', 1) || regexp_extract(content, '__REFRESH__', 2) || regexp_extract(content, '__REFRESH__', 3) END, chr(9) || chr(10) || chr(12) || chr(13), '')), '&amp;', '&') AS target
+        FROM found
+        WHERE CASE WHEN kind = 'link' THEN list_contains(regexp_split_to_array(lower(rel), '\s+'), 'canonical') ELSE lower(trim(equiv)) = 'refresh' END
     ), resolved AS (
-        SELECT a, CASE WHEN contains(target, '://') THEN target WHEN starts_with(target, '//') THEN scheme || ':' || target
-            WHEN starts_with(target, '/') THEN scheme || '://' || host || target END AS target
+        SELECT a, CASE WHEN regexp_matches(target, '^[a-zA-Z][a-zA-Z0-9+.\-]*:') THEN target
+            WHEN starts_with(target, '//') THEN scheme || ':' || target
+            WHEN starts_with(target, '/') THEN scheme || '://' || host || target
+            WHEN starts_with(target, '?') THEN scheme || '://' || host || path || target
+            WHEN NOT starts_with(target, '#') THEN scheme || '://' || host || CASE WHEN path = '' THEN '/' ELSE regexp_extract(path, '(?s)^(.*/)', 1) END || target END AS target
         FROM raw WHERE target <> ''
     ), links AS (
         SELECT a, translate(regexp_extract(target, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?', 2), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
@@ -97,6 +116,8 @@ _URLS_SQL = r"""
         CASE WHEN coalesce(CASE rule WHEN 'example.net/en/' THEN true WHEN 'org/fr/' THEN true WHEN 'net/' THEN false WHEN 'example.com/de/' THEN false END, allowed, true)
             THEN 'allow' ELSE 'block' END AS verdict
     FROM ruled LEFT JOIN inherited USING (node)"""
+for _name in ("NO_MARKUP", "ATTRIBUTE", "REFRESH"):
+    _URLS_SQL = _URLS_SQL.replace(f"__{_name}__", getattr(urls, _name).replace("'", "''"))
 
 
 def _licenses(spark: SparkSession, folder: str) -> DataFrame:

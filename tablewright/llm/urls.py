@@ -21,13 +21,18 @@ from tablewright.llm.common import Store, components
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Scheme, host, path, query.
 URL = r"(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?"
-CANONICAL = r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)"
-REFRESH = r"(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)"
-HREF = r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)"
+# Comments and elements whose content is no markup; an unclosed one goes to the end.
+_RAW = ("script", "style", "textarea", "title")
+NO_MARKUP = r"(?is)<!--(?:-?>|.*?(?:-->|\z))" + "".join(rf"|<{tag}\b[^>]*(?:>.*?(?:</{tag}|\z)|\z)" for tag in _RAW)
+# A tag of at most 64 attributes with values; a quote counts only behind an equals sign.
+TAG = r"(?is)(<%s[\s/][^<>=]*+(?:=\s*+(?:\"[^\"<]*+\"|'[^'<]*+'|[^\s<>\"'][^\s<>]*+|)[^<>=]*+){0,64}+>)"
+# One attribute: name, then its value in double, in single or without quotes.
+ATTRIBUTE = r"(?s)([^\s\"'<>/=][^\s<>/=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'][^\s]*)))?"
+# What a refresh names behind its seconds.
+REFRESH = r"(?is)^\s*[0-9.]+\s*[;,\s]\s*(?:url\s*=\s*)?(?:\"([^\"]*).*|'([^']*).*|(.*))$"
 # A character reference that ends with a semicolon: decimal, hexadecimal or a name.
 REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
 NAMES = json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";")})
-TARGET = r"(?is)\burl\s*=\s*[\"']?\s*([^\"'\s>]+)"
 
 
 class Rule(NamedTuple):
@@ -115,15 +120,42 @@ def resolved(url: Column, target: Column) -> Column:
     )
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """Value of the first attribute ``name`` of a tag, empty if it has none."""
+    inner = F.regexp_replace(tag, r"^<[a-zA-Z]+|>$", "")
+    named = F.filter(
+        F.regexp_extract_all(inner, F.lit(ATTRIBUTE), 0), lambda x: F.lower(F.regexp_extract(x, ATTRIBUTE, 1)) == name
+    )
+    return F.coalesce(_first_group(F.get(named, 0), ATTRIBUTE, (2, 3, 4)), F.lit(""))
+
+
+def _first_group(text: Column, pattern: str, groups: tuple[int, ...]) -> Column:
+    """The groups one after another: at most one of them is not empty."""
+    return F.concat(*[F.regexp_extract(text, pattern, g) for g in groups])
+
+
 def aliases(pages: DataFrame) -> DataFrame:
     """Links ``(url, target)`` from a page to its canonical urls and to where it redirects.
 
-    All links of a page count; relative ones are resolved against its url.
+    All links of a page count; relative ones are resolved against its url. Attributes are read by
+    name, ``rel`` as a list of words; comments, scripts, styles and titles hold no links. A tag with
+    a ``<`` in a value or with more than 64 values is not read.
     """
-    def written(tag: str, at: str) -> Column:
-        return F.transform(F.coalesce(F.regexp_extract_all("html", F.lit(tag), 1), F.array().cast("array<string>")), lambda x: F.regexp_extract(x, at, 1))
+    def written(tag: str) -> Column:
+        return F.coalesce(F.regexp_extract_all("markup", F.lit(TAG % tag), 1), F.array().cast("array<string>"))
+
+    def canonical(tag: Column) -> Column:
+        words = F.split(F.lower(attribute(tag, "rel")), r"\s+")
+        return F.when(F.array_contains(words, "canonical"), attribute(tag, "href")).otherwise("")
+
+    def refresh(tag: Column) -> Column:
+        to = _first_group(attribute(tag, "content"), REFRESH, (1, 2, 3))
+        return F.when(F.lower(F.trim(attribute(tag, "http-equiv"))) == "refresh", to).otherwise("")
 
-    raw = pages.select("url", F.explode(F.concat(written(CANONICAL, HREF), written(REFRESH, TARGET))).alias("raw")).where("url IS NOT NULL AND raw <> ''")
+    markup = pages.where("url IS NOT NULL").select("url", F.regexp_replace("html", NO_MARKUP, "").alias("markup"))
+    raw = markup.select("url", F.explode(F.concat(F.transform(written("link"), canonical), F.transform(written("meta"), refresh))).alias("raw"))
+    # White space around an address does not count, nor do tabs and line breaks inside.
+    raw = raw.select("url", F.trim(F.translate("raw", "\t\n\r\f", "")).alias("raw")).where("raw <> ''")
     target = raw.select("url", decoded(F.col("raw")).alias("target"))
     return target.select("url", resolved(F.col("url"), F.col("target")).alias("target")).where("target IS NOT NULL")
 

@@ -190,6 +190,44 @@ def test_url_aliases_of_every_form(spark):
     assert {r.verdict for r in urls.judge(blocked, RULES).collect()} == {"block"}
 
 
+LINKS = [
+    ("<!-- <link rel=canonical href='http://a.com/1'> --><link rel='alternate  Canonical' title=\"rel=x href=y\" data-href='http://a.com/2' href=\"http://a.com/it's\">", "http://a.com/it's"),
+    ("<script>'<link rel=canonical href=http://a.com/1>'</script><LINK HREF=http://a.com/it's REL=canonical>", "http://a.com/it's"),
+    ("<link rel=canonical-x href=http://a.com/1><link rel=canonical><link href=' http://a.com/\n3 ' href=http://a.com/4 rel=canonical/>", None),
+    ("<link href=' http://a.com/\n3 ' href=http://a.com/4 rel=canonical >", "http://a.com/3"),
+    ("<meta name=x content='0;url=http://a.com/1'><meta content=\"0; URL='http://a.com/5?a=b&amp;c'\" http-equiv=Refresh>", "http://a.com/5?a=b&c"),
+    ("<meta http-equiv=refresh content=5><link rel=canonical href=>", None), ("<!--><link rel=canonical href=?q=1>", "http://p.com/d/e?q=1"),
+    ("<link rel=canonical href=f/g>", "http://p.com/d/f/g"), ("<!-- <link rel=canonical href=http://a.com/1>", None),
+    ("<link rel=canonical href=\"http://a.com/6><p>\"", None), ("<link rel=canonical href=http://a.com/1" * 2000, None), ("<link " + "a='b' " * 30000 + ">", None),
+]
+
+
+def test_url_aliases_by_attributes(spark):
+    pages = spark.createDataFrame([(i, "http://p.com/d/e", page) for i, (page, _) in enumerate(LINKS)], "page_id long, url string, html string")
+    for i, (_, target) in enumerate(LINKS):
+        assert [r.target for r in urls.aliases(pages.where(f"page_id = {i}")).collect()] == [target] * (target is not None), i
+
+
+def test_url_query_against_sql_on_linked_pages(spark, tmp_path):
+    """Pages that block, allow or name one another by links of all these forms."""
+    source = random.Random(6)
+    hosts = ["http://a.com", "http://b.example.com", "https://c.net", "http://d.org", "http://e.example.net"]
+    at = lambda: f"{source.choice(hosts)}/{source.choice(['de', 'en', 'fr', 'x'])}/{source.randrange(40)}"
+    forms = ["<link rel=canonical href=%s>", "<link data-href='http://c.net/' href=\"%s\" rel='alternate canonical'>", "<!-- <link rel=canonical href=%s> -->",
+             "<meta http-equiv=refresh content=\"0;url=%s\">", "<link rel=next href=%s>", "<script><link rel=canonical href=%s></script>"]
+    rows = []
+    for i in range(400):
+        target = source.choice([at(), at(), f"{source.randrange(40)}", f"/fr/{source.randrange(40)}", "?q=1&amp;r=2"])
+        rows.append((i, at(), "".join(source.choice(forms) % target for _ in range(source.randrange(3)))))
+    rows += [(400, None, None), (401, "http://a.com/de/1", None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/w")
+    (part,) = (tmp_path / "w").glob("*.parquet")
+    part.rename(tmp_path / "pages.parquet")
+    got = contract.queries()["op1_url_filter"](spark, str(tmp_path))
+    assert oracle.compare(got, oracle.connect(str(tmp_path)), contract.oracle_sql()["op1_url_filter"]) is None
+    assert got.where("rule IS NULL AND verdict = 'block'").count() > 10
+
+
 def test_license_scan(spark):
     source = random.Random(3)
     noise = lambda n: " ".join(words(source, n))
