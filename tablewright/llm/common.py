@@ -188,9 +188,17 @@ class Store:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def numbered(documents: DataFrame, store: Store) -> DataFrame:
-    """The rows, written, with a number ``__row`` of their own: ids can repeat and be null."""
-    return store.put(documents.withColumn("__row", F.monotonically_increasing_id()), "rows")
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(documents: DataFrame, store: Store, name: str = "__row") -> DataFrame:
+    """The rows, written, with a number ``name`` of their own: ids can repeat and be null."""
+    return store.put(documents.withColumn(name, F.monotonically_increasing_id()), "rows")
 
 
 def components(links: DataFrame, store: Store) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import Powers, Store, chunks, folded, numbered, shingles, text_bytes, word_hashes
+from tablewright.llm.common import Powers, Store, chunks, folded, free_name, numbered, shingles, text_bytes, word_hashes
 from tablewright.session import ship_with_tasks
 
 # BM25: saturation of repeated terms and length normalisation.
@@ -209,8 +209,8 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``documents`` has ``doc_id`` and ``text``; ``benchmark`` has ``item_id`` and ``text``, or
     ``question`` and ``answer`` in place of ``text``. Words are compared in lower case, with
-    white space ignored. Null or empty texts match nothing, an empty benchmark gives no rows, equal
-    items match separately, and further columns are ignored. Rows with equal ``doc_id`` are
+    white space ignored. Null or empty texts match nothing, an empty benchmark gives no rows, items
+    without an id are left out, equal items match separately, and further columns are ignored. Rows with equal ``doc_id`` are
     matched separately.
 
     The benchmark is read in shards of ``SHARD_ITEMS`` items, each of which becomes an index that
@@ -235,9 +235,10 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows that contain no test item, those that share an id with a hit or have no id included."""
-    rows = numbered(documents, Store(documents.sparkSession))
-    hit = matches(rows.select(F.col("__row").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("__row")).distinct()
-    return rows.join(hit, "__row", "left_anti").select(*documents.columns)
+    row = free_name(documents, "__row")
+    rows = numbered(documents, Store(documents.sparkSession), row)
+    hit = matches(rows.select(F.col(row).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(hit, row, "left_anti").select(*documents.columns)
 
 
 ship_with_tasks(__name__)

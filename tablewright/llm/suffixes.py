@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import Powers, Store, chunks, mix, text_bytes
+from tablewright.llm.common import Powers, Store, chunks, free_name, mix, text_bytes
 from tablewright.session import ship_with_tasks
 
 LENGTH, GRAM = 100, 32
@@ -428,14 +428,15 @@ def deduplicate(documents: DataFrame) -> DataFrame:
     store = Store(documents.sparkSession)
     changes = repeats(documents, store).select("id", "tie", "left").mapInArrow(_text, f"{_KEYS}, left string")
     names = documents.columns
+    own, tie, left = (free_name(documents, name) for name in ("__id", "__tie", "__left"))
     keyed = documents.select(
-        "*", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("__id"),
-        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("__tie"),
+        "*", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias(own),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias(tie),
     )
-    changes = changes.select(F.col("id").alias("__id"), F.col("tie").alias("__tie"), F.col("left").alias("__left"))
-    joined = keyed.join(changes, ["__id", "__tie"], "left").withColumn("text", F.coalesce("__left", "text"))
+    changes = changes.select(F.col("id").alias(own), F.col("tie").alias(tie), F.col("left").alias(left))
+    joined = keyed.join(changes, [own, tie], "left").withColumn("text", F.coalesce(left, "text"))
     if "n_chars" in names:
-        joined = joined.withColumn("n_chars", F.when(F.col("__left").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        joined = joined.withColumn("n_chars", F.when(F.col(left).isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return joined.select(*names)
 
 

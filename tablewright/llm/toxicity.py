@@ -274,8 +274,10 @@ def _measure(batches: Iterator[pa.RecordBatch], model: Model, score: bool) -> It
 
 
 def mark(documents: DataFrame, model: Model, name: str) -> DataFrame:
-    """``documents`` with the score of ``text`` as column ``name``; nothing is shuffled."""
+    """``documents`` with the score of ``text`` as column ``name``, a new one; nothing is shuffled."""
     names = documents.columns
+    if name.lower() in (c.lower() for c in names):
+        raise ValueError(f"the documents have a column {name}")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -190,6 +190,22 @@ def test_url_aliases_of_every_form(spark):
     assert {r.verdict for r in urls.judge(blocked, RULES).collect()} == {"block"}
 
 
+def test_columns_named_like_helpers(spark):
+    """Columns that the operators use inside come back as they went in."""
+    text = " ".join(f"word{i}" for i in range(60))
+    alone = " ".join(f"alone{i}" for i in range(12))
+    rows = [(1, text, 10, "a", 20, 30.5), (2, f"{alone} {text}", 11, "b", None, 31.5), (None, "short", 12, None, 22, 32.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row long, __left string, __id long, __TIE double")
+    left = {r["__row"]: tuple(r) for r in suffixes.deduplicate(docs).collect()}
+    assert left[10] == rows[0] and left[12] == rows[2]
+    assert left[11][0] == 2 and left[11][1].rstrip() == alone and left[11][2:] == rows[1][2:]
+    benchmark = spark.createDataFrame([(1, alone), (None, "short")], "item_id long, text string")
+    kept = decontaminate.clean(docs, benchmark)
+    assert kept.columns == docs.columns and sorted((tuple(r) for r in kept.collect()), key=lambda r: r[2]) == [rows[0], rows[2]]
+    one = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert one.columns == docs.columns and sorted((tuple(r) for r in one.collect()), key=lambda r: r[2]) == [rows[0], rows[2]]
+
+
 LINKS = [
     ("<!-- <link rel=canonical href='http://a.com/1'> --><link rel='alternate  Canonical' title=\"rel=x href=y\" data-href='http://a.com/2' href=\"http://a.com/it's\">", "http://a.com/it's"),
     ("<script>'<link rel=canonical href=http://a.com/1>'</script><LINK HREF=http://a.com/it's REL=canonical>", "http://a.com/it's"),
