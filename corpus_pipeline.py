@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import decontaminate, jaccard, pieces, suffixes, toxicity
-from tablewright.llm.common import Store, numbered
+from tablewright.llm.common import Store, free_name, numbered
 from tablewright.llm.queries import TOKENIZER, TOXIC_FROM, TOXIC_FOLDS, TOXIC_HELD, held_out
 
 
@@ -18,7 +18,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels.where(~held_out(TOXIC_FOLDS, TOXIC_HELD)))
-    return toxicity.mark(docs, model, "__score").where(F.col("__score") < TOXIC_FROM).select(*docs.columns)
+    score = free_name(docs, "__score")
+    return toxicity.mark(docs, model, score).where(F.col(score) < TOXIC_FROM).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,11 +29,12 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Of rows with the same smallest id, one is taken by a hash of all columns. Rows without words have
     no copies and stay.
     """
-    rows = numbered(docs, Store(spark))
-    groups = jaccard.join(rows.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns), "__row")
-    first = groups.join(rows.select("__row", order.alias("o")), "__row").groupBy("component_id").agg(F.min("o").alias("o"))
-    return rows.join(first.select(F.col("o.__row").alias("__row")), "__row", "left_semi").select(*docs.columns)
+    row = free_name(docs, "__row")
+    rows = numbered(docs, Store(spark), row)
+    groups = jaccard.join(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns), F.col(row).alias("row"))
+    first = groups.join(rows.select(row, order.alias("o")), row).groupBy("component_id").agg(F.min("o").alias("o"))
+    return rows.join(first.select(F.col("o.row").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
