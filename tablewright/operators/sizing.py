@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,8 +13,8 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 32
 
 
-def measured_bytes(df: DataFrame) -> tuple[int, int]:
-    """Rows of ``df`` and an estimate of their size in memory, from one aggregate."""
+def row_width(df: DataFrame) -> Column:
+    """An estimate of a row's bytes in memory."""
     width = F.lit(_ROW_OVERHEAD)
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
@@ -23,5 +23,10 @@ def measured_bytes(df: DataFrame) -> tuple[int, int]:
             raise TypeError(f"{field.name}: nested columns are not measured")
         else:
             width = width + F.lit(16)
-    row = df.agg(F.count("*").alias("n"), F.sum(width.cast("long")).alias("b")).first()
+    return width.cast("long")
+
+
+def measured_bytes(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df`` and an estimate of their size in memory, from one aggregate."""
+    row = df.agg(F.count("*").alias("n"), F.sum(row_width(df)).alias("b")).first()
     return row["n"], row["b"] or 0

@@ -15,7 +15,7 @@ from tablewright.functions import (
     weighted_gap,
 )
 from tablewright.operators.clean import distinct_rows, normalise
-from tablewright.operators.enrich import enrich_with_group_stats
+from tablewright.operators.enrich import enrich
 from tablewright.operators.rollup import Rollup, count_true, mean, row_count, stddev
 from tablewright.sinks.contracts import Contract, Field
 from tablewright.streaming import BATCH
@@ -121,7 +121,7 @@ PROVIDER_STATS = (
 
 def enrich_games(features: DataFrame) -> DataFrame:
     """Provider statistics on every row; pass a written table."""
-    enriched = enrich_with_group_stats(features, "provider", PROVIDER_STATS)
+    enriched = enrich(features, "provider", PROVIDER_STATS)
     return enriched.withColumn("rtp_vs_provider_avg", deviation("rtp", "provider_avg_rtp"))
 
 

@@ -18,15 +18,15 @@ from tablewright.operators.rollup import rollups_in_one_pass
 from tablewright.plans import games
 from tablewright.session import materialise, scratch_tables, sized_shuffles
 from tablewright.sinks.contracts import apply_contract
-from tablewright.sinks.files import export_csv, write_all, write_jdbc, write_json, write_parquet
+from tablewright.sinks.files import export_counted, export_csv, write_all, write_jdbc, write_json, write_parquet
 from tablewright.sources.csv import EMPTY_ONLY, PANDAS_TOKENS, Quarantine, UnreadableError, read_csv_text, text_profile, typed
 from tablewright.sources.manifest import file_manifest, folder_bytes
 from tablewright.sources.tables import JdbcServer
 from tablewright.streaming import (
     BATCH,
     process_increments,
-    progress,
     read_increments,
+    recorded_progress,
     stage_increments,
 )
 
@@ -150,14 +150,14 @@ def increments(spark: SparkSession, layout: Layout, n: int = 5,
     if not _exists(spark, feed):
         stage_increments(sliced, feed, n, slice_column=F.col(BATCH), mode="overwrite")
     process_increments(
-        spark, feed, schema, target, games.flag_increment, bytes_per_trigger=bytes_per_trigger
+        spark, feed, schema, target, games.flag_increment, bytes_per_trigger=bytes_per_trigger, increments=n
     )
     output = read_increments(spark, target)
     same = [c for c in sliced.columns if c in output.columns]
     if fingerprint(sliced.select(*same)) != fingerprint(output.select(*same)):
         raise RuntimeError("the output does not hold the rows of the processed table")
     write_parquet(spark.createDataFrame([(target,)], "path string"), layout.path("stream", "current"))
-    return progress(output)
+    return recorded_progress(spark, target)
 
 
 def increment_output(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -196,17 +196,22 @@ def most_profitable(spark: SparkSession, layout: Layout, k: int = 5) -> DataFram
     )
 
 
-def export(spark: SparkSession, layout: Layout, rows_per_file: int | None = None) -> None:
-    """CSV of every mart, one file each, and of the raw table, many files."""
+def export(spark: SparkSession, layout: Layout, rows_per_file: int | None = None) -> DataFrame:
+    """CSV of every mart, one file each, and of the raw table, many files.
+
+    Returns the raw table's progress, counted while it was written; also in ``exports/progress``.
+    """
     for name in games.MARTS:
         export_csv(
             spark.read.parquet(layout.path("marts", name)),
             layout.path("exports", name), single_file=True,
         )
-    export_csv(
+    steps = export_counted(
         spark.read.parquet(layout.path("raw", "table")),
         layout.path("exports", "games_raw"), rows_per_file=rows_per_file,
     )
+    write_parquet(steps, layout.path("exports", "progress"))
+    return spark.read.parquet(layout.path("exports", "progress"))
 
 
 def cluster(spark: SparkSession, layout: Layout, k: int = 4, starts: int = 10,

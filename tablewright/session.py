@@ -68,13 +68,33 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     Later readers start from files, not from the whole lineage, so a lost executor costs
     only a re-read, and Catalyst plans with the true size.
     """
-    folder = workspace(df.sparkSession)
+    path = f"{_scratch_folder(df.sparkSession)}/{label}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """:func:`materialise`, shuffled once by ``key`` into ``buckets``.
+
+    A grouping or join by ``key`` over the result needs no further shuffle. Every bucket is
+    written by one task and read by one, so no key may hold much more than a bucket's share.
+    """
+    spark = df.sparkSession
+    name, path = f"tablewright_{uuid.uuid4().hex}", f"{_scratch_folder(spark)}/buckets"
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path)
+    writer.format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    # The plan holds files and buckets by now: the catalogue's entry may go, the files stay.
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    folder = workspace(spark)
     open_block = _scratch.get()
     if open_block is not None:
         open_block.append(folder)
-    path = f"{folder}/{label}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return folder
 
 
 @contextmanager

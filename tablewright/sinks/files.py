@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators.ids import running_total
@@ -14,6 +14,8 @@ from tablewright.sources.tables import JdbcServer
 
 # A report of at most this size becomes one CSV file, a larger one stays in parts.
 SINGLE_FILE_BYTES = 64 * 1024 * 1024
+# The most steps of a counted export: each costs one comparison a row.
+MOST_STEPS = 200
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", *partition_by: str) -> None:
@@ -57,6 +59,30 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False,
     writer.csv(path)
 
 
+def export_counted(df: DataFrame, path: str, steps: int = 12, step: Column | None = None,
+                   **options) -> DataFrame:
+    """:func:`export_csv` that counts its rows while it writes: ``(step, rows, total)``.
+
+    ``step`` is a number from 0 to ``steps - 1``; without it, tasks are dealt to the steps in
+    turn. The tasks that write add up the counts (observed metrics), a retried task only once, so
+    the export is not read again. ``total`` is the running sum; a step without rows has 0. A row
+    whose step is null or out of range is an error, raised when the export is written.
+    """
+    if not 1 <= steps <= MOST_STEPS:
+        raise ValueError(f"a counted export has 1 to {MOST_STEPS} steps")
+    number = F.pmod(F.spark_partition_id(), F.lit(steps)) if step is None else step
+    seen = Observation()
+    counted = df.observe(
+        seen, F.count(F.lit(1)).alias("all"), *[F.count_if(number == i).alias(f"step_{i}") for i in range(steps)]
+    )
+    export_csv(counted, path, **options)
+    rows = [(i, seen.get[f"step_{i}"]) for i in range(steps)]
+    if sum(n for _, n in rows) != seen.get["all"]:
+        raise ValueError("some rows belong to no step")
+    counts = df.sparkSession.createDataFrame(rows, "step int, rows long")
+    return running_total(counts, "step", "rows", "total")
+
+
 def export_progress(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
     """``(part, rows, total)`` of a finished CSV export; ``total`` is the running sum.
 

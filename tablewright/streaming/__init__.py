@@ -6,6 +6,7 @@ from tablewright.streaming.increments import (
     process_increments,
     progress,
     read_increments,
+    recorded_progress,
     stage_increments,
 )
 
@@ -15,5 +16,6 @@ __all__ = [
     "process_increments",
     "progress",
     "read_increments",
+    "recorded_progress",
     "stage_increments",
 ]

@@ -14,8 +14,8 @@ from tablewright.session import workspace
 from tablewright.streaming import (
     BATCH,
     process_increments,
-    progress,
     read_increments,
+    recorded_progress,
     stage_increments,
 )
 from tablewright.workload.tables import Query, half_up, table
@@ -73,8 +73,8 @@ def _flags(events: DataFrame) -> DataFrame:
     )
 
 
-def _stream(spark: SparkSession, folder: str, runs: int = 1) -> DataFrame:
-    """Stage the events as a feed and run the stream ``runs`` times."""
+def _stream(spark: SparkSession, folder: str, runs: int = 1, counted: int | None = None) -> str:
+    """Stage the events as a feed, run the stream ``runs`` times and return its target."""
     place = workspace(spark)
     events = table(spark, folder, "events").select("event_id", "event_type", "value")
     stage_increments(
@@ -84,18 +84,18 @@ def _stream(spark: SparkSession, folder: str, runs: int = 1) -> DataFrame:
     schema = T.StructType([*events.schema.fields, T.StructField(BATCH, T.IntegerType())])
     for _ in range(runs):
         process_increments(
-            spark, f"{place}/feed", schema, f"{place}/output", _flags, files_per_trigger=1
+            spark, f"{place}/feed", schema, f"{place}/output", _flags, files_per_trigger=1, increments=counted
         )
-    return read_increments(spark, f"{place}/output")
+    return f"{place}/output"
 
 
 def stream_flags(spark: SparkSession, folder: str) -> DataFrame:
-    return _stream(spark, folder)
+    return read_increments(spark, _stream(spark, folder))
 
 
 def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
-    """Progress after a repeated run, which must not add rows."""
-    return progress(_stream(spark, folder, runs=2))
+    """Progress as counted by the runs, after a repeated one, which must not add rows."""
+    return recorded_progress(spark, _stream(spark, folder, runs=2, counted=SLICES))
 
 
 _SLICED = """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.rollup import Rollup, mean, rollup, row_count
 from tablewright.session import materialise, session_settings, workspace
-from tablewright.sinks.files import export_csv, export_progress, write_parquet, write_table
+from tablewright.sinks.files import export_counted, export_csv, write_parquet, write_table
 from tablewright.sources.csv import read_csv, read_csv_inferred, read_csv_text
 from tablewright.sources.manifest import file_manifest
 from tablewright.sources.tables import read_parquet, read_table
@@ -77,12 +77,9 @@ def csv_null_marker(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def export_running_total(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of the parts of an export and the end of their running total."""
+    """Every step of an export's running total, counted while it was written."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    path = workspace(spark)
-    export_csv(lines, path, rows_per_file=100_000)
-    steps = export_progress(spark, path, lines.columns)
-    return steps.agg(F.sum("rows").alias("rows"), F.max("total").alias("total"))
+    return export_counted(lines, workspace(spark), 12, F.pmod("l_orderkey", F.lit(12)), rows_per_file=100_000)
 
 
 def parquet_parts(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,7 +120,9 @@ QUERIES = {
     "csv_null_marker": Query(csv_null_marker, f"""
         WITH {LABELLED} SELECT doc_id, lang, quality FROM labelled"""),
     "export_running_total": Query(export_running_total, """
-        SELECT count(*) AS "rows", count(*) AS total FROM lineitem"""),
+        SELECT CAST(step AS INTEGER) AS step, count(l_orderkey) AS "rows",
+            CAST(sum(count(l_orderkey)) OVER (ORDER BY step) AS BIGINT) AS total
+        FROM range(12) AS steps(step) LEFT JOIN lineitem ON l_orderkey % 12 = step GROUP BY step"""),
     "parquet_parts": Query(parquet_parts, "SELECT event_id, event_type, value FROM events"),
     "catalog_table": Query(catalog_table, "SELECT * FROM customer"),
 }

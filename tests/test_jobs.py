@@ -157,7 +157,8 @@ def test_marts_export_and_clusters(spark, tmp_path, monkeypatch):
         "column_types": "bet_tier varchar(50), total_games int, avg_rtp decimal(6,2)",
     }
 
-    jobs.export(spark, layout)
+    steps = jobs.export(spark, layout)
+    assert steps.agg({"total": "max"}).first()[0] == 200 and steps.count() == 12
     exported = spark.read.csv(layout.path("exports", "games_raw"), header=True)
     assert exported.count() == 200 and exported.columns == ["id", *NAMES]
     files = [f for f in os.listdir(layout.path("exports", "provider_stats")) if f.endswith(".csv")]

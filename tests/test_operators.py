@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions import deviation
 from tablewright.operators.clean import distinct_rows, normalise, require_values
-from tablewright.operators.enrich import attach_stats, enrich_with_group_stats
+from tablewright.operators.enrich import attach_stats, enrich, enrich_in_buckets, enrich_with_group_stats
 from tablewright.operators.ids import dense_id, running_total, slice_of, surrogate_id
 from tablewright.operators.ordering import ranked, stable_sample, top_k
 from tablewright.operators.quality import (
@@ -170,6 +170,37 @@ def test_split_join_with_no_hot_key(spark):
     assert split.count() == 2500 and split.agg(F.sum("n")).first()[0] == 2500
 
 
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+def test_buckets_equal_the_broadcast_join(spark, buckets):
+    df = skewed(spark)
+    rows = enrich_in_buckets(df, "k", STATS, buckets)
+    assert rows.columns == ["k", "i", "x", "flag", "n", "avg_x", "sd_x"]
+    assert tuples(rows) == expected_enrichment(df)
+    assert shuffles(rows) == 0
+
+
+def test_buckets_of_light_keys_of_null_keys_and_of_no_rows(spark):
+    df = spark.createDataFrame([(f"k{i % 900}", i) for i in range(2500)], "k string, i int")
+    light = enrich_in_buckets(df, "k", (row_count("n"),))
+    assert light.count() == 2500 and light.agg(F.sum("n")).first()[0] == 700 * 9 + 200 * 4
+    assert shuffles(light) == 0 and "Bucketed: true" in light._jdf.queryExecution().toString()
+    empty = spark.createDataFrame([(None, 1), (None, 1)], "k string, i int")
+    assert tuples(enrich_in_buckets(empty, "k", (row_count("n"),))) == [(None, 1, None), (None, 1, None)]
+    assert enrich_in_buckets(df.limit(0), "k", (row_count("n"),)).count() == 0
+
+
+def test_enrichment_chooses_by_the_number_of_keys(spark):
+    df = skewed(spark)
+    for limit, bucketed in ((10**6, False), (0, True)):
+        rows = enrich(df, "k", STATS, limit)
+        assert tuples(rows) == expected_enrichment(df)
+        assert ("Bucketed: true" in rows._jdf.queryExecution().toString()) == bucketed
+
+
 def test_enrichment_asks_for_a_count(spark):
     with pytest.raises(ValueError):
         enrich_with_group_stats(skewed(spark), "k", (mean("avg_x", "x"),))

@@ -12,11 +12,12 @@ from tablewright.session import (
     materialise,
     scratch_tables,
     shuffle_partitions,
+    session_settings,
     sized_shuffles,
     split_bytes,
     workspace,
 )
-from tablewright.sinks.files import export_csv, export_progress, jdbc_write_options, write_json, write_table
+from tablewright.sinks.files import export_counted, export_csv, export_progress, jdbc_write_options, write_json, write_table
 from tablewright.sources.csv import PANDAS_TOKENS, read_csv, read_csv_text
 from tablewright.sources.manifest import file_manifest, folder_bytes
 from tablewright.sources.tables import (
@@ -31,6 +32,7 @@ from tablewright.streaming import (
     process_increments,
     progress,
     read_increments,
+    recorded_progress,
     stage_increments,
 )
 
@@ -111,6 +113,22 @@ def test_sharded_export_has_a_header_per_file(spark, tmp_path):
     assert all(open(f"{tmp_path}/out/{f}").readline() == "id\n" for f in files)
 
 
+def test_export_counts_while_it_writes(spark, tmp_path):
+    rows = spark.range(0, 100, 1, 7)
+    counted = export_counted(rows, f"{tmp_path}/out", 3)
+    read = export_progress(spark, f"{tmp_path}/out", ["id"])
+    steps = counted.orderBy("step").collect()
+    assert [r["step"] for r in steps] == [0, 1, 2] and steps[-1]["total"] == 100
+    assert sum(r["rows"] for r in steps) == read.agg(F.sum("rows")).first()[0]
+    by_value = export_counted(rows, f"{tmp_path}/out", 4, F.when(F.col("id") < 10, 0).otherwise(2)).orderBy("step")
+    assert [tuple(r) for r in by_value.collect()] == [(0, 10, 10), (1, 0, 10), (2, 90, 100), (3, 0, 100)]
+    assert [tuple(r) for r in export_counted(spark.createDataFrame([], "id long"), f"{tmp_path}/out", 1).collect()] == [(0, 0, 0)]
+    with pytest.raises(ValueError, match="no step"):
+        export_counted(rows, f"{tmp_path}/out", 4, F.col("id"))
+    with pytest.raises(ValueError, match="steps"):
+        export_counted(rows, f"{tmp_path}/out", 0)
+
+
 def test_json_replaces_the_previous_log(spark, tmp_path):
     for n in (3, 2):
         write_json(spark.range(n), f"{tmp_path}/log")
@@ -220,3 +238,48 @@ def test_restart_adds_nothing_and_new_files_are_added_once(spark, tmp_path, limi
     assert [r["batch"] for r in steps] == [0, 1, 2, 3, 4]
     assert steps[-1]["output_rows"] == 1100 and {r["status"] for r in steps} == {"processed"}
     assert sum(r["input_rows"] for r in steps) == 1100
+
+
+def test_progress_comes_from_the_runs_also_after_one_was_cut_short(spark, tmp_path):
+    feed, target = f"{tmp_path}/feed", f"{tmp_path}/out"
+    schema = stage_increments(spark.range(1000).toDF("v"), feed, 5)
+
+    def run(transform=double):
+        return process_increments(spark, feed, schema, target, transform, files_per_trigger=1, increments=5)
+
+    def equal():
+        output = progress(read_increments(spark, target)).orderBy("batch").collect()
+        return recorded_progress(spark, target).orderBy("batch").collect() == output
+
+    assert recorded_progress(spark, target).count() == 0
+    for _ in range(2):
+        run()
+        assert equal()
+    stage_increments(spark.range(1000, 1100).toDF("v"), feed, 5)
+    run()
+    assert equal() and recorded_progress(spark, target).agg(F.max("output_rows")).first()[0] == 1100
+
+    # The rows of this run reach the output for a part only: one value cannot be divided.
+    stage_increments(spark.range(1100, 1200).toDF("v"), feed, 5)
+    with session_settings(spark, {"spark.sql.ansi.enabled": "true"}), pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        run(lambda df: double(df.withColumn("v", (F.col("v") / F.when(F.col("v") == 1150, 0).otherwise(1)).cast("long"))))
+    with pytest.raises(RuntimeError, match="cut short"):
+        recorded_progress(spark, target)
+    run()
+    assert equal() and recorded_progress(spark, target).agg(F.max("output_rows")).first()[0] == 1200
+    stage_increments(spark.range(1200, 1250).toDF("v"), feed, 5)
+    run()
+    assert equal()
+
+
+def test_runs_that_did_not_count_are_counted_later(spark, tmp_path):
+    feed, target = f"{tmp_path}/feed", f"{tmp_path}/out"
+    schema = stage_increments(spark.range(100).toDF("v"), feed, 3)
+    process_increments(spark, feed, schema, target, double)
+    # Increment 2 has no counter of its own.
+    process_increments(spark, feed, schema, target, double, increments=2)
+    stage_increments(spark.range(100, 200).toDF("v"), feed, 3)
+    process_increments(spark, feed, schema, target, double, increments=2)
+    steps = recorded_progress(spark, target).orderBy("batch").collect()
+    assert steps == progress(read_increments(spark, target)).orderBy("batch").collect()
+    assert steps[-1]["output_rows"] == 200
