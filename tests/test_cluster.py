@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import cluster as c
+from tablewright.operators import kmeans
 from tablewright.operators.kmeans import fit_kmeans
 from tablewright.plans import games
 
@@ -151,3 +152,45 @@ def test_kmeans_does_not_depend_on_the_partitioning(spark):
     df = blobs(spark)
     fits = [fit_kmeans(df.repartition(n), ["x", "y"], k=4, starts=3) for n in (4, 7)]
     assert [[round(x, 6) for x in c] for c in fits[0].centers] == [[round(x, 6) for x in c] for c in fits[1].centers]
+
+
+def plain_lloyd(points, weights, centers, tolerance):
+    """Centres of one start by distances of all points in every pass."""
+    while True:
+        nearest = ((points[:, None] - centers) ** 2).sum(axis=2).argmin(axis=1)
+        moved = np.array([
+            np.average(points[nearest == c], axis=0, weights=weights[nearest == c]) if (nearest == c).any() else centers[c]
+            for c in range(len(centers))
+        ])
+        done = ((moved - centers) ** 2).sum() <= tolerance
+        centers = moved
+        if done:
+            return centers
+
+
+@pytest.mark.parametrize("copies", [1, 5])
+def test_passes_over_open_rows_give_the_centres_of_passes_over_all(spark, monkeypatch, copies):
+    """Rows without clear groups: many slow passes, so that the reach is left several times."""
+    rng = np.random.default_rng(3)
+    points = np.round(rng.uniform(0, 1, (3000, 2)) * [3, 1], 4)
+    df = spark.createDataFrame([tuple(map(float, p)) for p in points] * copies, "x double, y double").repartition(5)
+    plain = fit_kmeans(df, ["x", "y"], k=5, starts=2, tolerance=1e-8)
+    splits = []
+    whole = kmeans._split_pass
+    monkeypatch.setattr(kmeans, "SPLIT_FROM", 0)
+    monkeypatch.setattr(kmeans, "_split_pass", lambda points, centers, reach: splits.append(len(reach)) or whole(points, centers, reach))
+    fit = fit_kmeans(df, ["x", "y"], k=5, starts=2, tolerance=1e-8)
+    assert len(splits) > 1 and fit.passes == plain.passes
+    assert np.allclose(fit.centers, plain.centers, atol=1e-9) and np.allclose(fit.costs, plain.costs)
+    # A further plain run from the result stays there.
+    weights = np.ones(len(points))
+    again = plain_lloyd(points, weights, np.array(fit.centers), 1e-8)
+    assert np.allclose(again, fit.centers, atol=1e-4)
+
+
+def test_equal_rows_weigh_as_many(spark):
+    """Few kinds of rows become weighted points; -0.0 and 0.0 are one."""
+    rows = [(0.0,)] * 300 + [(-0.0,)] * 100 + [(1.0,)] * 100 + [(9.0,)] * 50 + [(10.0,)] * 250
+    fit = fit_kmeans(spark.createDataFrame(rows, "x double"), ["x"], k=2, starts=3)
+    assert np.allclose(fit.centers, [[0.2], [(9 * 50 + 10 * 250) / 300]])
+    assert fit.cost == pytest.approx(500 * 0.2 * 0.8 + 300 * (1 / 6) * (5 / 6))
