@@ -22,6 +22,7 @@ NEAR_BORDER = 0.1
 # Points per core from which passes over the open rows alone pay for keeping these; below, a pass
 # over all rows takes hardly longer than the start of a job.
 SPLIT_FROM = 2_000_000
+BLOCK_ROWS = 10_000
 # A record is a block of points, so few make a batch; the aggregates are of a few rows.
 PASS_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "16", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
 
@@ -141,14 +142,15 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _pack(rows: DataFrame) -> DataFrame:
-    """The numbers of a table as blocks of 8-byte floats, row by row; one block per Arrow batch.
+    """The numbers of a table as blocks of 8-byte floats, row by row.
 
     A pass then moves a few large values from the JVM to Python instead of every number.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array([_matrix(batch).tobytes()], pa.binary())], names=["block"])
+            for first in range(0, batch.num_rows, BLOCK_ROWS):
+                block = _matrix(batch.slice(first, BLOCK_ROWS)).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], names=["block"])
 
     return rows.mapInArrow(pack, "block binary")
 
