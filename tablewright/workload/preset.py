@@ -15,7 +15,7 @@ from tablewright.operators.ordering import ranked, top_k
 from tablewright.operators.quality import key_violations, row_counts
 from tablewright.operators.rollup import rollup, rollups_in_one_pass
 from tablewright.plans import games, jobs
-from tablewright.session import materialise, workspace
+from tablewright.session import materialise, scratch_tables, workspace
 from tablewright.sinks.contracts import apply_contract
 from tablewright.sinks.files import export_csv
 from tablewright.sources.csv import read_csv
@@ -115,7 +115,8 @@ def _job_input(spark: SparkSession, folder: str) -> tuple[jobs.Layout, str]:
     """Game records as CSV files, and the folders of the jobs."""
     layout = jobs.Layout(workspace(spark))
     source = layout.path("input")
-    export_csv(game_rows(spark, folder), source)
+    with scratch_tables(spark):
+        export_csv(game_rows(spark, folder), source)
     return layout, source
 
 
@@ -186,9 +187,10 @@ def games_rejected(spark: SparkSession, folder: str) -> DataFrame:
     """Unreadable values of game records, as the load job sets them apart, and what it keeps."""
     layout = jobs.Layout(workspace(spark))
     source = layout.path("input")
-    rows = game_rows(spark, folder).withColumn("rtp", F.when(F.col("country_availability") == "P", "high").otherwise(F.col("rtp").cast("string")))
-    rows = rows.withColumn("release_year", F.when(F.col("currency") == "O", F.concat(F.col("release_year").cast("string"), F.lit(" AD"))).otherwise(F.col("release_year").cast("string")))
-    export_csv(rows, source)
+    with scratch_tables(spark):
+        rows = game_rows(spark, folder).withColumn("rtp", F.when(F.col("country_availability") == "P", "high").otherwise(F.col("rtp").cast("string")))
+        rows = rows.withColumn("release_year", F.when(F.col("currency") == "O", F.concat(F.col("release_year").cast("string"), F.lit(" AD"))).otherwise(F.col("release_year").cast("string")))
+        export_csv(rows, source)
     raw = jobs.load_raw(spark, source, layout, on_unreadable="quarantine")
     rejected = spark.read.parquet(layout.path("raw", "rejected"))
     return rejected.groupBy("column", "text").agg(F.count("*").alias("cells"), F.min(F.get_json_object("row", "$.game")).alias("first_game")).unionByName(
@@ -208,9 +210,7 @@ def games_most_profitable(spark: SparkSession, folder: str) -> DataFrame:
 
 def games_batch_job(spark: SparkSession, folder: str) -> DataFrame:
     """The batch job from CSV files to the curated provider table."""
-    layout = jobs.Layout(workspace(spark))
-    source = layout.path("input")
-    export_csv(game_rows(spark, folder), source)
+    layout, source = _job_input(spark, folder)
     tables = jobs.batch(spark, source, layout)
     return ranked(tables["by_provider"], "total_games", "provider")
 

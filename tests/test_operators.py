@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tablewright.functions import deviation
 from tablewright.operators.clean import distinct_rows, normalise, require_values
 from tablewright.operators.enrich import attach_stats, enrich, enrich_in_buckets, enrich_with_group_stats
+from tablewright.operators import lookups
 from tablewright.operators.ids import dense_id, running_total, slice_of, surrogate_id
 from tablewright.operators.ordering import ranked, stable_sample, top_k
 from tablewright.operators.quality import (
@@ -327,6 +328,31 @@ def test_profile_counts(spark):
     assert duplicate_rows(df.limit(0)).first() == (0, 0)
 
 
+@pytest.mark.parametrize("most_files", [lookups.MOST_FILES, 0])
+def test_lookups_in_buckets(spark, monkeypatch, most_files):
+    """Hot, null and unknown keys, and a lookup with a repeated key; no row is shuffled in buckets."""
+    monkeypatch.setattr(lookups, "MOST_FILES", most_files)
+    df = skewed(spark)
+    wide = spark.createDataFrame([(f"k{i}", f"name {i}") for i in range(0, 200, 2)] + [("hot", "a"), ("hot", "b"), (None, "none")], "n string, name string")
+    number = spark.createDataFrame([(i, i % 5) for i in range(0, 3000, 3)], "j int, five int")
+    want = tuples(df.join(wide, F.col("k") == F.col("n")).join(number, F.col("i") == F.col("j")).select("k", "i", "x", "name", "five"))
+    pairs = [lookups.Lookup("k", wide, "n"), lookups.Lookup("i", number, "j")]
+    got = lookups.join_lookups(df, pairs, max_broadcast_bytes=1, buckets=4).select("k", "i", "x", "name", "five")
+    assert tuples(got) == want and len(want) > 1000
+    assert tuples(lookups.join_lookups(df, pairs).select("k", "i", "x", "name", "five")) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange" in plan) == (most_files == 0)
+    other = lookups.Lookup("i", number.withColumn("j", F.col("j").cast("long")), "j")
+    assert tuples(lookups.join_lookups(df, [pairs[0], other], 1, 4).select("k", "i", "x", "name", "five")) == want
+
+
+def test_heavy_keys_are_spread(spark):
+    df = skewed(spark)
+    rows = lookups._join_in_buckets(df, lookups.Lookup("k", df.select(F.col("k").alias("n")).distinct(), "n"), 4, [df.select(F.xxhash64(F.lit("hot"))).first()[0]])
+    sizes = [len(part) for part in rows.where("k = 'hot'").rdd.glom().collect()]
+    assert sum(sizes) == 1000 and len(sizes) == 4 and min(sizes) > 100
+
+
 def test_profile_of_a_hot_copy(spark):
     df = spark.createDataFrame([("x", None)] * 1000 + [(str(i), "y") for i in range(500)], "a string, b string")
     r = profile(df.repartition(8)).first()
