@@ -353,6 +353,22 @@ def test_heavy_keys_are_spread(spark):
     assert sum(sizes) == 1000 and len(sizes) == 4 and min(sizes) > 100
 
 
+def test_profile_tells_nulls_apart_and_shuffles_no_values(spark):
+    nan = float("nan")
+    rows = [(None, "a", None, 0.0), ("a", None, None, -0.0), (None, "a", None, -0.0), ("a", None, nan, 0.0), ("a", None, nan, -0.0), ("", "a", None, 0.0), (None, "a", 0.0, None)]
+    df = spark.createDataFrame(rows, "s string, t string, x double, y double")
+    r = profile(df).first()
+    assert (r["rows"], r["duplicates"]) == (7, 2) == tuple(duplicate_rows(df).first())
+    assert r["nulls"] == {"s": 3, "t": 3, "x": 6, "y": 1}
+    whole = profile(df.withColumn("m", F.create_map("t", "x")).where("t IS NOT NULL")).first()
+    assert (whole["rows"], whole["duplicates"]) == (4, 1)
+    wide = spark.range(20_000).select(F.lit("f").alias("f"), F.sha2(F.col("id").cast("string"), 512).alias("value"))
+    profiled = profile(wide, ["f"]).select("rows", "duplicates")
+    plan = profiled._jdf.queryExecution().executedPlan().toString()
+    assert not any("value#" in line for line in plan.splitlines() if "hashpartitioning" in line)
+    assert profiled.first() == (20_000, 0)
+
+
 def test_profile_of_a_hot_copy(spark):
     df = spark.createDataFrame([("x", None)] * 1000 + [(str(i), "y") for i in range(500)], "a string, b string")
     r = profile(df.repartition(8)).first()
