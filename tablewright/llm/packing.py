@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -28,6 +29,9 @@ SIZE, END = 2048, 0
 CHUNK, REMEMBERED = 2 << 20, 32 << 20
 # Words that the tokenizer gets at once; it keeps about a kilobyte for each until they are read.
 AT_ONCE = 2000
+# Words of these letters alone are one token of the tokenizer's pattern, and stay so when it
+# normalises them; so many go to it in one text, which costs less than as many texts.
+_PLAIN, JOINED = "^[a-zß-öø-ÿ]+$", 50
 # A letter before one of these marks ends a token of the tokenizer's pattern, in every context.
 _CUT = r"(\pL)([,.;:!?])"
 # How tokens begin that are found in a text before letters are lower-cased.
@@ -46,13 +50,44 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.ends = self._word_ends()
         self._forget()
 
+    def _word_ends(self) -> np.ndarray | None:
+        """By id: whether the token ends a word. None if the vocabulary does not tell."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not suffix:
+            return None
+        vocabulary = self.tokenizer.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        return ends
+
     def _forget(self) -> None:
         self.slot: dict[str, int] = {}
         self.pool = np.empty(0, np.uint32)
         self.begin, self.bytes = np.zeros(1, np.int64), 0
 
+    def _ids(self, texts: list[str], at_once: int) -> Iterator[list[int]]:
+        for i in range(0, len(texts), at_once):
+            yield from (e.ids for e in self.tokenizer.encode_batch_fast(texts[i : i + at_once], add_special_tokens=False))
+
+    def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after another, and how many each has."""
+        ids = [np.array(i, np.uint32) for i in self._ids(words, AT_ONCE)]
+        return np.concatenate([self.pool[:0], *ids]), np.array([len(i) for i in ids], np.int64)
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """:meth:`_apart` of plain words, many in a text; None if they do not have one end each."""
+        if self.ends is None or not words:
+            return None
+        texts = [" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        ids = np.concatenate([np.array(i, np.uint32) for i in self._ids(texts, AT_ONCE // JOINED)])
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(words) or last[-1] != len(ids) - 1:
+            return None
+        return ids, np.diff(last, prepend=-1)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the first of each; null is empty."""
         texts = pc.replace_substring_regex(pc.fill_null(texts.cast(pa.large_string()), ""), _CUT, r"\1 \2")
@@ -63,15 +98,20 @@ class Words:
         words = lists.flatten().dictionary_encode()
         if self.bytes > REMEMBERED:
             self._forget()
-        known = words.dictionary.to_pylist()
-        new = [w for w in known if w not in self.slot]
-        if new:
-            ids = [e.ids for i in range(0, len(new), AT_ONCE) for e in self.tokenizer.encode_batch_fast(new[i : i + AT_ONCE], add_special_tokens=False)]
-            self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new))))
-            self.pool = np.concatenate([self.pool, *(np.array(i, np.uint32) for i in ids)])
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(i) for i in ids])])
-            self.bytes += sum(map(len, new))
-        slots = np.fromiter((self.slot[w] for w in known), np.int64, len(known))[words.indices.to_numpy(zero_copy_only=False)]
+        known = words.dictionary.to_numpy(zero_copy_only=False)
+        slot = np.fromiter(map(self.slot.get, known, repeat(-1)), np.int64, len(known))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            plain = pc.match_substring_regex(words.dictionary.take(pa.array(new)), _PLAIN).to_numpy(zero_copy_only=False)
+            for at, encode in ((new[plain], self._joined), (new[~plain], self._apart)):
+                some = known[at].tolist()
+                ids, count = encode(some) or self._apart(some)
+                slot[at] = np.arange(len(self.slot), len(self.slot) + len(some))
+                self.slot.update(zip(some, slot[at].tolist()))
+                self.pool = np.concatenate([self.pool, ids])
+                self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(count, dtype=np.int64)])
+                self.bytes += sum(map(len, some))
+        slots = slot[words.indices.to_numpy(zero_copy_only=False)]
         count = np.diff(self.begin)[slots]
         total = np.concatenate([[0], np.cumsum(count)])
         out = self.pool[np.repeat(self.begin[slots] - total[:-1], count) + np.arange(total[-1])]

@@ -63,6 +63,32 @@ def test_ids_of_words_are_those_of_whole_texts(tokenizer):
         assert ids[first[i] : first[i + 1]].tolist() == plain_ids(tokenizer, text)[:-1], text
 
 
+def test_plain_words_are_tokenized_together(tokenizer):
+    """Few texts reach the tokenizer, with the ids of each word for itself; others go one by one."""
+    import pyarrow as pa
+
+    random.seed(3)
+    plain = list(dict.fromkeys("".join(random.choices("abcdeéßöÿñ", k=random.randrange(1, 12))) for _ in range(3000)))
+    odd = ["Éan", "\u0130x", "e\u0301a", "\u0958", "12ab", "a'll", "x***", "\u01c6", "中文", "\u200b"]
+    words, given = packing.Words(tokenizer), []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return real.encode_batch_fast(texts, **options)
+
+    real, words.tokenizer = words.tokenizer, Counting()
+    text = [" ".join(plain[:1500] + odd), " ".join(odd + plain[1000:])]
+    for _ in range(2):
+        ids, first = words.encode(pa.array(text))
+        for i in range(2):
+            assert ids[first[i] : first[i + 1]].tolist() == plain_ids(tokenizer, text[i])[:-1]
+        assert len(given) <= len(plain) / packing.JOINED + 1 + len(odd) + 2
+    words._forget()
+    words.ends = None
+    assert words.encode(pa.array(text))[0].tolist() == ids.tolist()
+
+
 @pytest.mark.parametrize("size", [7, 64, 2048])
 def test_pieces_fill_sequences(spark, tokenizer, size):
     rows = [(i if i != 3 else None, t, "s", "kept", "other") for i, t in enumerate(TEXTS * 2)]
