@@ -16,8 +16,8 @@ makes sets differ more. Which shingles count as frequent changes the cost, not t
 
 Links are found without pairing a whole bucket: members are first checked against the bucket's
 smallest member, by parity sketches that never rule out a similar pair and then by the sets; only
-buckets that still span several groups are looked at pair by pair, in blocks of bounded size, by the
-sketches. A block with more candidates than members gives a forest of the nearest ones; blocks of
+buckets that still span several groups are looked at pair by pair, in blocks of bounded size, by
+small sketches first and for the pairs that are left as before. A block with more candidates than members gives a forest of the nearest ones; blocks of
 which a pair of the forest does not link give all pairs of the groups that are then left.
 """
 
@@ -53,6 +53,10 @@ FREQUENT, MOST_FREQUENT = 0.001, 100_000
 WITHOUT, WITH = 1 / 3, 0.1
 # Members of a signature in one block of pairwise comparison.
 BLOCK = 2048
+# Cells of a block's sketch for each element of the largest set of the band, at least.
+FEW = 1
+# Pairs of members, and words of their sketches, that a block looks at in one step.
+AT_ONCE = 1 << 20
 
 
 def _chance_of_none(parts: int, k: int, common: int, least: int) -> float:
@@ -339,11 +343,20 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["a", "b"])
 
 
+def _folded(parity: np.ndarray, width: int) -> np.ndarray:
+    """The sketch with only ``width`` cells, a power of two: cells that become one add up."""
+    return parity.reshape(-1, min(width, len(parity))).sum(0) & 1
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parity of the hashes in every cell: two sketches differ in at most as many bits as the sets."""
+    """Parity of the hashes in every cell: two sketches differ in at most as many bits as the sets.
+
+    ``few`` is the same with about a tenth of the cells, for blocks, where a set is sent with each
+    of its signatures.
+    """
     powers = Powers()
     for batch in batches:
-        keys, bands, sizes, bits = [], [], [], []
+        keys, bands, sizes, bits, few = [], [], [], [], []
         for c, z in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             values = _set_of(z, powers)
             band = int(np.searchsorted(LOW, len(values), side="right")) - 1
@@ -355,7 +368,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bands.append(b)
                 sizes.append(len(values))
                 bits.append(np.packbits(parity.astype(bool)).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(bands, pa.int32()), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary())], names=["c", "band", "n", "bits"])
+                few.append(np.packbits(_folded(parity, max(64, 1 << int(FEW * HIGH[b]).bit_length())).astype(bool)).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.binary()), pa.array(bands, pa.int32()), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()), pa.array(few, pa.binary())],
+            names=["c", "band", "n", "bits", "few"],
+        )
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,10 +410,22 @@ class _Block:
     def pairs(self, most: int | None) -> list[tuple[int, int]] | None:
         """All pairs that may be similar; None if there are more than ``most``."""
         found: list[tuple[int, int]] = []
-        for x in range(len(self.n)):
-            found += [(x, y) for y in self.near(x, np.arange(x + 1, len(self.n)))[0].tolist()]
-            if most is not None and len(found) > most:
-                return None
+        n, every = self.n, np.arange(len(self.n))
+        step, some = max(1, AT_ONCE // max(1, len(n))), max(1, AT_ONCE // max(1, self.words.shape[1]))
+        for first in range(0, len(n), step):
+            of = every[first : first + step, None]
+            may = (every > of) & (self.group != self.group[of]) & (NEED * np.minimum(n, n[of]) >= SHARE * np.maximum(n, n[of]))
+            if self.side is not None:
+                may &= self.side != self.side[of]
+            x, y = np.nonzero(may)
+            x += first
+            for at in range(0, len(x), some):
+                a, b = x[at : at + some], y[at : at + some]
+                apart = np.bitwise_count(self.words[a] ^ self.words[b]).sum(1, dtype=np.int64)
+                ok = (NEED + SHARE) * apart <= (NEED - SHARE) * (n[a] + n[b])
+                found += zip(a[ok].tolist(), b[ok].tolist())
+                if most is not None and len(found) > most:
+                    return None
         return found
 
     def forest(self) -> list[tuple[int, int]]:
@@ -434,25 +463,32 @@ def _across(batches: Iterator[pa.RecordBatch], everything: bool) -> Iterator[pa.
         bounds = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, [table.num_rows]])
         done = len(bounds) - 1 if batch is None else len(bounds) - 2
         pending = None if batch is None else table.slice(bounds[done])
-        table = table.combine_chunks()
+        if not done:
+            continue
+        # Columns become arrays once, since most blocks have few members.
+        side, c, group, n, bits = (column.combine_chunks() for column in table.slice(0, bounds[done]).columns[3:])
+        side, n = side.to_numpy(), n.to_numpy().astype(np.int64)
+        group = group.dictionary_encode().indices.to_numpy()
+        data, at = text_bytes(bits)
+        whose, pairs, forests = [], [], []
         for g in range(done):
-            part = table.slice(bounds[g], bounds[g + 1] - bounds[g])
-            sig, i, j, side, c, group, n, bits = part.to_pydict().values()
-            block = _Block(
-                np.array(n, np.int64), np.unique(np.array(group), return_inverse=True)[1],
-                np.frombuffer(b"".join(bits), np.uint64).reshape(len(c), -1), None if i[0] == j[0] else np.array(side),
-            )
-            found = block.pairs(None if everything else len(c) - 1)
+            a, b = bounds[g], bounds[g + 1]
+            words = data[at[a] : at[b]].view(np.uint64).reshape(b - a, -1)
+            block = _Block(n[a:b], group[a:b], words, None if key[1, a] == key[2, a] else side[a:b])
+            found = block.pairs(None if everything else int(b - a) - 1)
             forest = found is None
             if forest:
                 found = block.forest()
             if found:
-                pairs, k = [sorted((c[x], c[y])) for x, y in found], len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([sig[0]] * k, pa.int64()), pa.array([i[0]] * k, pa.int32()), pa.array([j[0]] * k, pa.int32()),
-                     *(pa.array([p[e] for p in pairs], pa.binary()) for e in (0, 1)), pa.array([forest] * k, pa.bool_())],
-                    names=["sig", "i", "j", "a", "b", "forest"],
-                )
+                names = c.slice(a, b - a).to_pylist()
+                whose += [a] * len(found)
+                pairs += [sorted((names[x], names[y])) for x, y in found]
+                forests += [forest] * len(found)
+        sig, i, j = (pa.array(k[whose], t) for k, t in zip(key, (pa.int64(), pa.int32(), pa.int32())))
+        yield pa.RecordBatch.from_arrays(
+            [sig, i, j, *(pa.array([p[e] for p in pairs], pa.binary()) for e in (0, 1)), pa.array(forests, pa.bool_())],
+            names=["sig", "i", "j", "a", "b", "forest"],
+        )
 
 
 def _check(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -494,19 +530,25 @@ def join(documents: DataFrame) -> DataFrame:
         texts.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_packed, "doc_id long, z binary")
         .join(wanted.select("doc_id", "c"), "doc_id").select("z", "c").mapInArrow(_pick, "c binary, z binary").dropDuplicates(["c"]), "texts",
     )
-    sketches = store.put(chosen.mapInArrow(_sketch, "c binary, band int, n int, bits binary"), "sketches")
+    sketches = store.put(chosen.mapInArrow(_sketch, "c binary, band int, n int, bits binary, few binary"), "sketches")
     band = F.col("sig").bitwiseAND(F.lit(63)).cast("int").alias("band")
     met, members = members, members.join(wanted.select("k", "c"), "k").select("sig", "c")
 
     # Every member against the smallest of its signature, by sketches and then by the sets.
     center = members.groupBy("sig").agg(F.min("c").alias("a"))
-    star = members.join(center, "sig").where("c <> a").groupBy("a", F.col("c").alias("b")).agg(F.min(band).alias("band"))
-    near = (
-        star.join(sketches.select(F.col("c").alias("a"), "band", F.col("n").alias("na"), F.col("bits").alias("ba")), ["a", "band"])
-        .join(sketches.select(F.col("c").alias("b"), "band", F.col("n").alias("nb"), F.col("bits").alias("bb")), ["b", "band"])
-        .select("a", "b", "na", "nb", "ba", "bb").mapInArrow(_near, "a binary, b binary")
-    )
-    links = store.put(_check(near, chosen), "links")
+    star = members.join(center, "sig").where("c <> a").select("a", F.col("c").alias("b"), band)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Of pairs ``(a, b, band)`` those that link, by their whole sketches and then by the sets."""
+        near = (
+            pairs.groupBy("a", "b").agg(F.min("band").alias("band"))
+            .join(sketches.select(F.col("c").alias("a"), "band", F.col("n").alias("na"), F.col("bits").alias("ba")), ["a", "band"])
+            .join(sketches.select(F.col("c").alias("b"), "band", F.col("n").alias("nb"), F.col("bits").alias("bb")), ["b", "band"])
+            .select("a", "b", "na", "nb", "ba", "bb").mapInArrow(_near, "a binary, b binary")
+        )
+        return store.put(_check(near, chosen), "links")
+
+    links = linked(star)
     groups = components(links, store)
 
     # Signatures that still span several groups, in blocks.
@@ -518,17 +560,17 @@ def join(documents: DataFrame) -> DataFrame:
     def blocks(rows: DataFrame) -> DataFrame:
         return (
             rows.withColumn("band", band)
-            .join(sketches, ["c", "band"])
+            .join(sketches.drop("bits"), ["c", "band"])
             .withColumn("side", F.pmod(F.xxhash64("c"), "blocks").cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "c", "g", "n", "bits")
+            .select("sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "c", "g", "n", "few")
         )
 
     def across(rows: DataFrame, everything: bool) -> DataFrame:
         return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(lambda batches: _across(batches, everything), _PAIR)
 
     pairs = store.put(across(blocks(rest), False), "pairs")
-    more = store.put(_check(pairs.select("a", "b").distinct(), chosen), "links")
+    more = linked(pairs.select("a", "b", band))
     edges = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     groups = components(edges, store)
 
@@ -542,8 +584,8 @@ def join(documents: DataFrame) -> DataFrame:
     if not cut.isEmpty():
         again = rest.drop("g").join(cut.select("sig").distinct(), "sig", "left_semi").join(groups.withColumnRenamed("node", "c"), "c", "left")
         again = again.select("sig", "c", "blocks", F.coalesce("component", "c").alias("g"))
-        last = across(blocks(again).join(cut, ["sig", "i", "j"], "left_semi"), True).select("a", "b").distinct()
-        edges = edges.unionByName(store.put(_check(last, chosen), "links"))
+        last = across(blocks(again).join(cut, ["sig", "i", "j"], "left_semi"), True).select("a", "b", band)
+        edges = edges.unionByName(linked(last))
         groups = components(edges, store)
     for table in (sketches, now, pairs):
         store.drop(table)

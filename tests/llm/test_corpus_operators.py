@@ -374,3 +374,40 @@ def test_blocks_with_more_pairs_than_members(spark, monkeypatch):
                 if group[a] < group[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
                     group[b], changed = group[a], True
     assert got == group
+
+
+def test_folded_sketches_rule_out_no_similar_pair():
+    """A block's sketch is that of fewer cells; it differs in at most as many bits as the whole one."""
+    import numpy as np
+
+    source = random.Random(3)
+    one, other = ([source.randrange(1024) for _ in range(n)] for n in (300, 320))
+    for width in (64, 256, 1024, 4096):
+        whole, few = ([np.bincount([x % w for x in cells], minlength=w) & 1 for cells in (one, other)] for w in (1024, min(width, 1024)))
+        folded = [jaccard._folded(parity, width) for parity in whole]
+        assert all((a == b).all() for a, b in zip(folded, few))
+        assert (folded[0] != folded[1]).sum() <= (whole[0] != whole[1]).sum()
+
+
+def test_blocks_are_sent_with_small_sketches():
+    """A set goes to every block of its signatures, so its sketch there is at most a fifth of the whole one."""
+    import pyarrow as pa
+    import zstandard
+
+    source = random.Random(4)
+    packs = [zstandard.ZstdCompressor().compress(" ".join(words(source, n)).encode()) for n in (100, 250, 400)]
+    batch = pa.RecordBatch.from_arrays([pa.array([b"%d" % i for i in range(3)], pa.binary()), pa.array(packs, pa.binary())], names=["c", "z"])
+    (rows,) = jaccard._sketch(iter([batch]))
+    assert all(5 * len(r["few"]) <= len(r["bits"]) for r in rows.to_pylist())
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_blocks_look_at_pairs_in_steps(seed, monkeypatch):
+    """However few pairs a step has, a block gives those of a comparison one by one."""
+    import numpy as np
+
+    block = _blocks(random.Random(seed), 40, seed % 2 == 1)
+    want = [(x, int(y)) for x in range(40) for y in block.near(x, np.arange(x + 1, 40))[0]]
+    for at_once in (1, 100, 1 << 20):
+        monkeypatch.setattr(jaccard, "AT_ONCE", at_once)
+        assert block.pairs(None) == want
