@@ -81,18 +81,18 @@ def ingest(spark: SparkSession, source: str, layout: Layout,
 
 
 def load_raw(spark: SparkSession, source: str, layout: Layout,
-             dense_ids: bool = False, on_unreadable: str = "fail") -> DataFrame:
+             dense_ids: bool = False, on_unreadable: str = "fail", glob: str = "*.csv") -> DataFrame:
     """Recreate the raw table, with an id column, from CSV.
 
     Ids are unique; ``dense_ids`` makes them 1..n at the price of one more copy of the rows.
     Values that do not fit their column are written to ``raw/rejected``: with ``fail`` there is
     then no table but an error, with ``quarantine`` the table lacks their rows, with ``null`` it
-    has nulls for them.
+    has nulls for them. Files that fit ``glob`` are read; compressed ones by the end of their name.
     """
     path = layout.path("raw", "table")
     names = games.RAW_SCHEMA.fieldNames()
     with scratch_tables(spark):
-        text = read_csv_text(spark, source, names, multi_line=None)
+        text = read_csv_text(spark, source, names, glob, multi_line=None)
         checked = Quarantine(text, games.RAW_SCHEMA, PANDAS_TOKENS, on_unreadable)
         write_parquet(dense_id(checked.rows) if dense_ids else surrogate_id(checked.rows), path)
         try:
@@ -104,20 +104,20 @@ def load_raw(spark: SparkSession, source: str, layout: Layout,
 
 
 def batch(spark: SparkSession, source: str, layout: Layout,
-          on_unreadable: str = "fail") -> dict[str, DataFrame]:
+          on_unreadable: str = "fail", glob: str = "*.csv") -> dict[str, DataFrame]:
     """Clean, derive, roll up and enrich; writes the processed and the curated tables.
 
-    The raw file is read once. The feature table is written before it is used, since the
+    The raw files, those that fit ``glob``, are read once. The feature table is written before it is used, since the
     rollups, the statistics and the join all read it. Values that do not fit their column are
     written to ``curated/rejected``; ``on_unreadable`` as in :func:`load_raw`, and with ``fail``
     nothing else is written.
     """
     names = games.RAW_SCHEMA.fieldNames()
     with scratch_tables(spark):
-        with sized_shuffles(spark, folder_bytes(spark, source, "*.csv")):
-            text = read_csv_text(spark, source, names, multi_line=None)
+        with sized_shuffles(spark, folder_bytes(spark, source, glob)):
+            text = read_csv_text(spark, source, names, glob, multi_line=None)
             checked = Quarantine(text, games.RAW_SCHEMA, EMPTY_ONLY, on_unreadable)
-            features = materialise(games.add_features(games.clean_games(checked.rows)), "features")
+            features = materialise(games.add_features(games.clean_games_in_buckets(checked.rows)), "features")
             checked.settle(layout.path("curated", "rejected"))
         write_all(rollups_in_one_pass(features, games.ROLLUPS), layout.path("curated"))
         processed = layout.path("processed")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import deviation
-from tablewright.operators.clean import distinct_rows, normalise, require_values
+from tablewright.operators.clean import distinct_rows, distinct_rows_in_buckets, normalise, require_values
 from tablewright.operators.enrich import attach_stats, enrich, enrich_in_buckets, enrich_with_group_stats
 from tablewright.operators import lookups
 from tablewright.operators.ids import dense_id, running_total, slice_of, surrogate_id
@@ -413,3 +413,29 @@ def test_contract_fails_on_a_value_that_does_not_fit(spark, row, ansi):
         assert sum(r["violations"] for r in contract_violations(df, CONTRACT).collect()) == 1
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize("hot", [0, 4000])
+def test_distinct_rows_in_buckets(spark, hot):
+    """Nulls, both zeros and NaN count as they do in a plain dedup, also beside a row that fills buckets."""
+    values = [None, 0.0, -0.0, float("nan"), 1.5]
+    rows = [(f"k{i % 37}" if i % 5 else None, None if i % 7 == 0 else i % 3, values[i % 5]) for i in range(3000)]
+    rows += [("hot", 1, 2.0)] * hot
+    df = spark.createDataFrame(rows, "__row string, b int, c double").repartition(5)
+    got = distinct_rows_in_buckets(df, shuffled_bytes=0, buckets=3)
+    assert got.columns == df.columns
+    key = lambda r: str(r).replace("-0.0", "0.0")
+    assert sorted(map(key, got.collect())) == sorted(map(key, distinct_rows(df).collect()))
+    assert sorted(map(key, distinct_rows_in_buckets(df).collect())) == sorted(map(key, got.collect()))
+    assert distinct_rows_in_buckets(df.limit(0)).collect() == []
+
+
+def test_distinct_rows_in_buckets_shuffles_only_heavy_rows(spark, tmp_path):
+    """Rows go into buckets once; only the copies of a heavy row meet by a shuffle, one row per task."""
+    df = spark.range(20_000).selectExpr("id % 15000 AS a", "CAST(id % 15000 AS string) AS b").unionByName(
+        spark.range(20_000).selectExpr("CAST(-1 AS bigint) AS a", "'x' AS b"))
+    got = distinct_rows_in_buckets(df, shuffled_bytes=0, buckets=4)
+    assert got.count() == 15_001
+    plan = got._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    light = plan.split("Union")[1]
+    assert light.count("Exchange") == 1 and "Bucketed: true" in plan
