@@ -43,15 +43,17 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False,
-               null_value: str = "", rows_per_file: int | None = None) -> None:
+               null_value: str = "", rows_per_file: int | None = None, compression: str = "none") -> None:
     """CSV with a header in every file.
 
+    A compressed file is read by one task, so give ``rows_per_file`` with ``compression``.
+
     ``single_file`` is for reports: a table that one task can write becomes one file. A larger
     one is exported all the same, in parts, as is every table without it.
     """
     if single_file and measured_bytes(df)[1] <= SINGLE_FILE_BYTES:
         df = df.coalesce(1)
-    writer = df.write.mode("overwrite").option("header", True).option("nullValue", null_value)
+    writer = df.write.mode("overwrite").option("header", True).option("nullValue", null_value).option("compression", compression)
     writer = writer.option("escape", '"')
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if rows_per_file:

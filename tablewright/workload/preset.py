@@ -111,33 +111,41 @@ def games_rollups_shared_scan(spark: SparkSession, folder: str) -> DataFrame:
     return _stacked(rollups_in_one_pass(features, games.ROLLUPS))
 
 
-def _job_input(spark: SparkSession, folder: str) -> tuple[jobs.Layout, str]:
-    """Game records as CSV files, and the folders of the jobs."""
+# Compressed CSV input of the jobs: rows of one file, which one task reads, and the files' names.
+INPUT_ROWS, PACKED = 100_000, "*.csv.gz"
+
+
+def _job_input(spark: SparkSession, folder: str, packed: bool = True) -> tuple[jobs.Layout, str]:
+    """Game records as CSV files, and the folders of the jobs; plain files for digests, else ``packed``."""
     layout = jobs.Layout(workspace(spark))
     source = layout.path("input")
     with scratch_tables(spark):
-        export_csv(game_rows(spark, folder), source)
+        _write_input(game_rows(spark, folder), source, packed)
     return layout, source
 
 
+def _write_input(rows: DataFrame, source: str, packed: bool = True) -> None:
+    export_csv(rows, source, **({"compression": "gzip", "rows_per_file": INPUT_ROWS} if packed else {}))
+
+
 def games_job_processed(spark: SparkSession, folder: str) -> DataFrame:
     """The processed table as the batch job wrote it."""
     layout, source = _job_input(spark, folder)
-    jobs.batch(spark, source, layout)
+    jobs.batch(spark, source, layout, glob=PACKED)
     return spark.read.parquet(layout.path("processed"))
 
 
 def games_job_curated(spark: SparkSession, folder: str) -> DataFrame:
     """The five curated tables as the batch job wrote them."""
     layout, source = _job_input(spark, folder)
-    jobs.batch(spark, source, layout)
+    jobs.batch(spark, source, layout, glob=PACKED)
     return _stacked({r.name: spark.read.parquet(layout.path("curated", r.name)) for r in games.ROLLUPS})
 
 
 def games_job_raw(spark: SparkSession, folder: str) -> DataFrame:
     """The raw table as the load job wrote it, without its ids, and whether those differ."""
     layout, source = _job_input(spark, folder)
-    raw = jobs.load_raw(spark, source, layout, dense_ids=True)
+    raw = jobs.load_raw(spark, source, layout, dense_ids=True, glob=PACKED)
     ids = raw.agg((F.count_distinct("id") == F.count("*")).alias("distinct"), F.max("id").alias("last")).first()
     written = spark.read.parquet(layout.path("raw", "table")).drop("id")
     return written.withColumn("distinct_ids", F.lit(ids["distinct"])).withColumn("last_id", F.lit(ids["last"]).cast("bigint"))
@@ -145,7 +153,7 @@ def games_job_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 def games_job_landed(spark: SparkSession, folder: str) -> DataFrame:
     """Rows, files and texts of the landed table against the records that the ingest wrote."""
-    layout, source = _job_input(spark, folder)
+    layout, source = _job_input(spark, folder, packed=False)
     jobs.ingest(spark, source, layout)
     landed = spark.read.parquet(layout.path("raw", "landed"))
     return landed.groupBy("provider", "country_availability").agg(
@@ -154,7 +162,7 @@ def games_job_landed(spark: SparkSession, folder: str) -> DataFrame:
 
 def games_job_ingest_record(spark: SparkSession, folder: str) -> DataFrame:
     """Totals over the records of all ingested files; duplicates count within a file, so they are left out."""
-    layout, source = _job_input(spark, folder)
+    layout, source = _job_input(spark, folder, packed=False)
     record = jobs.ingest(spark, source, layout)
     return record.agg(
         F.sum("rows").alias("rows"), F.count_if(F.length("md5") == 32).cast("bigint").alias("digests"), F.count("*").alias("files"),
@@ -166,7 +174,7 @@ def games_job_ingest_record(spark: SparkSession, folder: str) -> DataFrame:
 def games_job_export(spark: SparkSession, folder: str) -> DataFrame:
     """The raw table's export, read back."""
     layout, source = _job_input(spark, folder)
-    jobs.load_raw(spark, source, layout)
+    jobs.load_raw(spark, source, layout, glob=PACKED)
     export_csv(spark.read.parquet(layout.path("raw", "table")), layout.path("exports", "games_raw"), rows_per_file=10_000)
     schema = T.StructType([T.StructField("id", T.LongType()), *games.RAW_SCHEMA.fields])
     return read_csv(spark, layout.path("exports", "games_raw"), schema).drop("id")
@@ -175,7 +183,7 @@ def games_job_export(spark: SparkSession, folder: str) -> DataFrame:
 def games_job_clusters(spark: SparkSession, folder: str) -> DataFrame:
     """The clustered export as the cluster job wrote it, without the clusters' numbers."""
     layout, source = _job_input(spark, folder)
-    jobs.load_raw(spark, source, layout)
+    jobs.load_raw(spark, source, layout, glob=PACKED)
     jobs.cluster(spark, layout, starts=1)
     kinds = {f.name: f for f in games.RAW_SCHEMA.fields}
     schema = T.StructType([*(kinds[c] for c in games.CLUSTER_COLUMNS), T.StructField("cluster", T.IntegerType())])
@@ -190,8 +198,8 @@ def games_rejected(spark: SparkSession, folder: str) -> DataFrame:
     with scratch_tables(spark):
         rows = game_rows(spark, folder).withColumn("rtp", F.when(F.col("country_availability") == "P", "high").otherwise(F.col("rtp").cast("string")))
         rows = rows.withColumn("release_year", F.when(F.col("currency") == "O", F.concat(F.col("release_year").cast("string"), F.lit(" AD"))).otherwise(F.col("release_year").cast("string")))
-        export_csv(rows, source)
-    raw = jobs.load_raw(spark, source, layout, on_unreadable="quarantine")
+        _write_input(rows, source)
+    raw = jobs.load_raw(spark, source, layout, on_unreadable="quarantine", glob=PACKED)
     rejected = spark.read.parquet(layout.path("raw", "rejected"))
     return rejected.groupBy("column", "text").agg(F.count("*").alias("cells"), F.min(F.get_json_object("row", "$.game")).alias("first_game")).unionByName(
         raw.agg(F.lit("kept").alias("column"), F.lit(None).cast("string").alias("text"), F.count("*").alias("cells"), F.min("game").alias("first_game")))
@@ -211,7 +219,7 @@ def games_most_profitable(spark: SparkSession, folder: str) -> DataFrame:
 def games_batch_job(spark: SparkSession, folder: str) -> DataFrame:
     """The batch job from CSV files to the curated provider table."""
     layout, source = _job_input(spark, folder)
-    tables = jobs.batch(spark, source, layout)
+    tables = jobs.batch(spark, source, layout, glob=PACKED)
     return ranked(tables["by_provider"], "total_games", "provider")
 
 

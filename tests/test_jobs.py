@@ -7,7 +7,11 @@ import os
 import pytest
 
 from tablewright.plans import games, jobs
+from tablewright.sinks.files import export_csv
+from tablewright.sources.csv import read_csv_text
+from tablewright.sources.manifest import folder_bytes
 from tablewright.sources.tables import JdbcServer
+from tablewright.workload import preset
 
 NAMES = games.RAW_SCHEMA.fieldNames()
 
@@ -172,3 +176,29 @@ def test_marts_export_and_clusters(spark, tmp_path, monkeypatch):
     assert results["points"].count() == 190
     clustered = spark.read.csv(layout.path("exports", "games_with_clusters"), header=True)
     assert clustered.columns == [*games.CLUSTER_COLUMNS, "cluster"] and clustered.count() == 190
+
+
+def test_jobs_read_compressed_files(spark, tmp_path):
+    """Compressed CSV in files of bounded size gives the tables that plain CSV gives."""
+    write_games(f"{tmp_path}/plain/games.csv", [game(game=f"G{i % 40}", last_updated="2024-01-01\n" if i == 3 else "x") for i in range(60)])
+    read = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{tmp_path}/plain")
+    export_csv(read, f"{tmp_path}/packed", rows_per_file=25, compression="gzip")
+    files = [f for f in os.listdir(f"{tmp_path}/packed") if f.endswith(".csv.gz")]
+    assert len(files) == 3
+    one, other = jobs.Layout(f"{tmp_path}/one"), jobs.Layout(f"{tmp_path}/other")
+    for layout, folder, glob in ((one, "plain", "*.csv"), (other, "packed", "*.csv.gz")):
+        jobs.load_raw(spark, f"{tmp_path}/{folder}", layout, glob=glob)
+        jobs.batch(spark, f"{tmp_path}/{folder}", layout, glob=glob)
+    for table in (("raw", "table"), ("processed",), ("curated", "by_provider")):
+        a, b = (sorted(map(str, spark.read.parquet(x.path(*table)).drop("id").collect())) for x in (one, other))
+        assert a == b and a
+
+
+def test_input_of_the_jobs_is_compressed(spark, tmp_path, folder):
+    """The staged input takes less than a third of plain CSV, in files that one task can read."""
+    layout, source = preset._job_input(spark, folder)
+    _, plain = preset._job_input(spark, folder, packed=False)
+    assert 0 < 3 * folder_bytes(spark, source, preset.PACKED) < folder_bytes(spark, plain, "*.csv")
+    names = games.RAW_SCHEMA.fieldNames()
+    one, other = (sorted(map(tuple, read_csv_text(spark, *a).select(*names).collect()), key=str) for a in ((source, names, preset.PACKED), (plain, names)))
+    assert one == other
