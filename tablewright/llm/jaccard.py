@@ -17,8 +17,9 @@ makes sets differ more. Which shingles count as frequent changes the cost, not t
 Links are found without pairing a whole bucket: members are first checked against the bucket's
 smallest member, by parity sketches that never rule out a similar pair and then by the sets; only
 buckets that still span several groups are looked at pair by pair, in blocks of bounded size, by
-small sketches first and for the pairs that are left as before. A block with more candidates than members gives a forest of the nearest ones; blocks of
-which a pair of the forest does not link give all pairs of the groups that are then left.
+small sketches first and for the pairs that are left as before. A block with more candidates than members gives a forest of the nearest ones. Blocks of
+which a pair of the forest does not link are looked at again by whole sketches, in the same way, and those of which one still does not link
+by the sets themselves. No step makes more pairs than a block has members.
 """
 
 from __future__ import annotations
@@ -53,6 +54,8 @@ FREQUENT, MOST_FREQUENT = 0.001, 100_000
 WITHOUT, WITH = 1 / 3, 0.1
 # Members of a signature in one block of pairwise comparison.
 BLOCK = 2048
+# Compressed texts in a block that compares sets, and the bytes of sets that it keeps.
+BLOCK_BYTES = 1 << 24
 # Cells of a block's sketch for each element of the largest set of the band, at least.
 FEW = 1
 # Pairs of members, and words of their sketches, that a block looks at in one step.
@@ -329,6 +332,11 @@ def _set_of(pack: bytes, powers: Powers) -> np.ndarray:
     return shingle_sets(pa.array([zstandard.ZstdDecompressor().decompress(pack)], pa.binary()), powers)[0]
 
 
+def _link(one: np.ndarray, other: np.ndarray) -> bool:
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    return NEED * common >= SHARE * (len(one) + len(other) - common)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     powers = Powers()
     last, own = None, None
@@ -337,9 +345,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, (za, zb) in enumerate(zip(batch.column(2), batch.column(3))):
             if za != last:
                 last, own = za, _set_of(za.as_py(), powers)
-            other = _set_of(zb.as_py(), powers)
-            common = len(own) + len(other) - len(np.union1d(own, other))
-            keep.append(NEED * common >= SHARE * (len(own) + len(other) - common))
+            keep.append(_link(own, _set_of(zb.as_py(), powers)))
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["a", "b"])
 
 
@@ -448,12 +454,8 @@ class _Block:
         return out
 
 
-def _across(batches: Iterator[pa.RecordBatch], everything: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of different groups in a block of a signature that may be similar.
-
-    Rows come sorted by (sig, i, j); a block has ``BLOCK`` members of each side at most, on average.
-    A block with more pairs than members gives a forest of them, unless ``everything`` is asked for.
-    """
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Table]]:
+    """Rows sorted by (sig, i, j) as tables of whole blocks: the three keys, the bounds of the blocks, the table."""
     pending: pa.Table | None = None
     for batch in itertools.chain(batches, [None]):
         table = pending if batch is None else pa.Table.from_batches([batch]) if pending is None else pa.concat_tables([pending, pa.Table.from_batches([batch])])
@@ -463,19 +465,33 @@ def _across(batches: Iterator[pa.RecordBatch], everything: bool) -> Iterator[pa.
         bounds = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, [table.num_rows]])
         done = len(bounds) - 1 if batch is None else len(bounds) - 2
         pending = None if batch is None else table.slice(bounds[done])
-        if not done:
-            continue
-        # Columns become arrays once, since most blocks have few members.
-        side, c, group, n, bits = (column.combine_chunks() for column in table.slice(0, bounds[done]).columns[3:])
-        side, n = side.to_numpy(), n.to_numpy().astype(np.int64)
-        group = group.dictionary_encode().indices.to_numpy()
-        data, at = text_bytes(bits)
+        if done:
+            yield key, bounds[: done + 1], table.slice(0, bounds[done])
+
+
+def _members_of(key: np.ndarray, bounds: np.ndarray, table: pa.Table) -> Iterator[tuple[int, int, _Block]]:
+    """Bounds of every block in its table, and the block."""
+    # Columns become arrays once, since most blocks have few members.
+    side, _, group, n, bits = (column.combine_chunks() for column in table.columns[3:8])
+    side, n = side.to_numpy(), n.to_numpy().astype(np.int64)
+    group = group.dictionary_encode().indices.to_numpy()
+    data, at = text_bytes(bits)
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+        words = data[at[a] : at[b]].view(np.uint64).reshape(b - a, -1)
+        yield a, b, _Block(n[a:b], group[a:b], words, None if key[1, a] == key[2, a] else side[a:b])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of different groups in a block of a signature that may be similar.
+
+    Rows come sorted by (sig, i, j); a block has ``BLOCK`` members of each side at most, on average.
+    A block with more pairs than members gives a forest of them.
+    """
+    for key, bounds, table in _whole(batches):
+        c = table.column(4).combine_chunks()
         whose, pairs, forests = [], [], []
-        for g in range(done):
-            a, b = bounds[g], bounds[g + 1]
-            words = data[at[a] : at[b]].view(np.uint64).reshape(b - a, -1)
-            block = _Block(n[a:b], group[a:b], words, None if key[1, a] == key[2, a] else side[a:b])
-            found = block.pairs(None if everything else int(b - a) - 1)
+        for a, b, block in _members_of(key, bounds, table):
+            found = block.pairs(b - a - 1)
             forest = found is None
             if forest:
                 found = block.forest()
@@ -491,6 +507,35 @@ def _across(batches: Iterator[pa.RecordBatch], everything: bool) -> Iterator[pa.
         )
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links ``(a, b)`` that join the groups of a block as all its links do, at most one less than members.
+
+    Rows are those of :func:`_across` with the compressed text behind them. Pairs of one group, or that
+    links have joined, are not compared again.
+    """
+    powers = Powers()
+    for key, bounds, table in _whole(batches):
+        c, z = (table.column(k).combine_chunks() for k in (4, 8))
+        links: list[tuple[bytes, bytes]] = []
+        for a, b, block in _members_of(key, bounds, table):
+            held: dict[int, np.ndarray] = {}
+            size, group = 0, block.group.copy()
+            block.group = group
+            for x in range(b - a - 1):
+                for y in [x, *block.near(x, np.arange(x + 1, b - a))[0].tolist()]:
+                    if y != x and group[x] == group[y]:
+                        continue
+                    if y not in held:
+                        if size > BLOCK_BYTES:
+                            held, size = {m: s for m, s in held.items() if m == x}, 0
+                        held[y] = _set_of(z[a + y].as_py(), powers)
+                        size += held[y].nbytes
+                    if y != x and _link(held[x], held[y]):
+                        group[group == group[y]] = group[x]
+                        links.append((c[a + x].as_py(), c[a + y].as_py()))
+        yield pa.RecordBatch.from_arrays([pa.array([pair[e] for pair in links], pa.binary()) for e in (0, 1)], names=["a", "b"])
+
+
 def _check(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs that link, by their exact sets."""
     joined = (
@@ -552,42 +597,66 @@ def join(documents: DataFrame) -> DataFrame:
     groups = components(links, store)
 
     # Signatures that still span several groups, in blocks.
-    now = store.put(members.join(groups.withColumnRenamed("node", "c"), "c", "left").select("sig", "c", F.coalesce("component", "c").alias("g")), "groups")
+    now = members.join(groups.withColumnRenamed("node", "c"), "c", "left").select("sig", "c", F.coalesce("component", "c").alias("g"))
+    now = store.put(now, "groups")
     store.drop(met)
     open_ = now.groupBy("sig").agg(F.count("*").alias("m"), F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high")
-    rest = now.join(open_.select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "sig")
-
-    def blocks(rows: DataFrame) -> DataFrame:
-        return (
-            rows.withColumn("band", band)
-            .join(sketches.drop("bits"), ["c", "band"])
-            .withColumn("side", F.pmod(F.xxhash64("c"), "blocks").cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "c", "g", "n", "few")
-        )
-
-    def across(rows: DataFrame, everything: bool) -> DataFrame:
-        return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(lambda batches: _across(batches, everything), _PAIR)
-
-    pairs = store.put(across(blocks(rest), False), "pairs")
-    more = linked(pairs.select("a", "b", band))
-    edges = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-    groups = components(edges, store)
-
-    # A pair of a forest that did not link may have cut off members that others of its block link.
-    group_of = lambda name: groups.select(F.col("node").alias(name), F.col("component").alias(f"g{name}"))
-    cut = (
-        pairs.where("forest").join(more, ["a", "b"], "left_anti").join(group_of("a"), "a", "left").join(group_of("b"), "b", "left")
-        .where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("sig", "i", "j").distinct()
-    )
-    cut = store.put(cut, "cut")
-    if not cut.isEmpty():
-        again = rest.drop("g").join(cut.select("sig").distinct(), "sig", "left_semi").join(groups.withColumnRenamed("node", "c"), "c", "left")
-        again = again.select("sig", "c", "blocks", F.coalesce("component", "c").alias("g"))
-        last = across(blocks(again).join(cut, ["sig", "i", "j"], "left_semi"), True).select("a", "b", band)
-        edges = edges.unionByName(linked(last))
+    rest = store.put(now.join(open_.select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "sig"), "open")
+    store.drop(now)
+    side = F.pmod(F.xxhash64("c"), "blocks").cast("int")
+
+    def in_blocks(rows: DataFrame, sketch: str) -> DataFrame:
+        """Rows ``(sig, side, other, c, g)`` with the sizes and sketches that a block compares, the other columns behind."""
+        first = ["sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "c", "g", "n", sketch]
+        behind = [name for name in rows.columns if name not in ("sig", "side", "other", "c", "g")]
+        return rows.withColumn("band", band).join(sketches.select("c", "band", "n", sketch), ["c", "band"]).select(*first, *behind)
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+
+    def regrouped(more: DataFrame) -> bool:
+        """Put links between groups to them; False if there are none."""
+        nonlocal edges, groups
+        if more.isEmpty():
+            return False
+        edges = edges.unionByName(more.select("a", "b"))
         groups = components(edges, store)
-    for table in (sketches, now, pairs):
+        return True
+
+    def cut_off(pairs: DataFrame) -> DataFrame:
+        """Rows ``(sig, i, j, side)`` of the blocks of which a pair of the forest did not link.
+
+        It may have cut off members that others of its block link.
+        """
+        group_of = lambda name: groups.select(F.col("node").alias(name), F.col("component").alias(f"g{name}"))
+        apart = pairs.where("forest").join(group_of("a"), "a", "left").join(group_of("b"), "b", "left")
+        apart = apart.where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("sig", "i", "j").distinct()
+        return store.put(apart.withColumn("side", F.explode(F.array_distinct(F.array("i", "j")))), "cut")
+
+    def again(cut: DataFrame) -> DataFrame:
+        """Members of these blocks and the groups that they have now."""
+        rows = rest.drop("g").withColumn("side", side).join(cut, ["sig", "side"]).join(groups.withColumnRenamed("node", "c"), "c", "left")
+        rows = rows.withColumn("other", F.col("i") + F.col("j") - F.col("side"))
+        return rows.select("sig", "side", "other", "c", F.coalesce("component", "c").alias("g"), "blocks")
+
+    edges = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    every = rest.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    pairs = store.put(dealt(in_blocks(every, "few")).mapInArrow(_across, _PAIR), "pairs")
+    regrouped(linked(pairs.select("a", "b", band)))
+    cut = cut_off(pairs)
+    if not cut.isEmpty():
+        sharp = store.put(dealt(in_blocks(again(cut).drop("blocks"), "bits")).mapInArrow(_across, _PAIR), "pairs")
+        regrouped(store.put(_check(sharp.select("a", "b").distinct(), chosen), "links"))
+        if not sharp.where("forest").isEmpty() and not (cut := cut_off(sharp)).isEmpty():
+            # Blocks whose texts are too large are cut finer: each side into parts.
+            rows = again(cut).join(chosen, "c")
+            one = ["sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")]
+            parts = rows.groupBy(*one).agg(F.ceil(F.sum(F.octet_length("z")) / BLOCK_BYTES).cast("int").alias("parts"))
+            rows = rows.select("*", *one[1:]).join(parts, ["sig", "i", "j"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            own = F.floor(F.pmod(F.xxhash64("c"), F.col("blocks") * F.col("parts")) / F.col("blocks")).cast("int")
+            rows = rows.select("sig", (F.col("side") + F.col("blocks") * own).alias("side"), (F.col("other") + F.col("blocks") * F.col("part")).alias("other"), "c", "g", "z")
+            regrouped(store.put(dealt(in_blocks(rows, "bits")).mapInArrow(_joined, "a binary, b binary"), "links"))
+    for table in (sketches, rest, pairs):
         store.drop(table)
 
     named = representative.join(groups.withColumnRenamed("node", "c"), "c", "left").select("c", "doc_id", F.coalesce("component", "c").alias("g"))

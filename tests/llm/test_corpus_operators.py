@@ -411,3 +411,77 @@ def test_blocks_look_at_pairs_in_steps(seed, monkeypatch):
     for at_once in (1, 100, 1 << 20):
         monkeypatch.setattr(jaccard, "AT_ONCE", at_once)
         assert block.pairs(None) == want
+
+
+def _near_rows(source, n, changes, two_sides):
+    """Rows of one block, near copies of a text: whole sketches and compressed texts, with the sets."""
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+
+    base, packs = words(source, 100), []
+    for _ in range(n):
+        text = base[:]
+        for at in source.sample(range(100), source.randrange(changes + 1)):
+            text[at] = "n%d" % source.randrange(10**6)
+        packs.append(zstandard.ZstdCompressor().compress(" ".join(text).encode()))
+    names = [b"%03d" % i for i in range(n)]
+    (sketches,) = jaccard._sketch(iter([pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(packs, pa.binary())], names=["c", "z"])]))
+    of = {(r["c"], r["band"]): r for r in sketches.to_pylist()}
+    sets = [jaccard._set_of(z, jaccard.Powers()) for z in packs]
+    band = int(np.searchsorted(jaccard.LOW, 96, side="right")) - 1
+    kept = [i for i in range(n) if (names[i], band) in of]
+    side = [source.randrange(2) for _ in kept]
+    group = [b"%d" % source.randrange(len(kept)) for _ in kept]
+    rows = pa.RecordBatch.from_arrays([
+        pa.array([5] * len(kept), pa.int64()), pa.array([0] * len(kept), pa.int32()), pa.array([int(two_sides)] * len(kept), pa.int32()), pa.array(side, pa.int32()),
+        pa.array([names[i] for i in kept], pa.binary()), pa.array(group, pa.binary()), pa.array([of[names[i], band]["n"] for i in kept], pa.int32()),
+        pa.array([of[names[i], band]["bits"] for i in kept], pa.binary()), pa.array([packs[i] for i in kept], pa.binary()),
+    ], names=["sig", "i", "j", "side", "c", "g", "n", "bits", "z"])
+    links = [(x, y) for x in range(len(kept)) for y in range(x) if (side[x] != side[y] or not two_sides) and jaccard._link(sets[kept[x]], sets[kept[y]])]
+    return rows, links
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_blocks_of_texts_give_fewer_links_than_members(seed, monkeypatch):
+    """They join what all links of the block join, in however few bytes; and so does no step give all pairs."""
+    import numpy as np
+
+    rows, links = _near_rows(random.Random(seed), 60, (2, 4, 7)[seed % 3], seed % 2 == 1)
+    names = rows.column(4).to_pylist()
+    block = jaccard._Block(np.zeros(60), rows.column(5).dictionary_encode().indices.to_numpy(), None, None)
+    for held in (1, 1 << 24):
+        monkeypatch.setattr(jaccard, "BLOCK_BYTES", held)
+        got = [(names.index(r["a"]), names.index(r["b"])) for out in jaccard._joined(iter([rows.slice(0, 17), rows.slice(17)])) for r in out.to_pylist()]
+        assert set(map(tuple, map(sorted, got))) <= set(map(tuple, map(sorted, links))) and len(got) < len(names)
+        assert _united(block, got) == _united(block, links)
+    assert len(links) > len(names)
+    assert sum(out.num_rows for out in jaccard._across(iter([rows]))) < len(names)
+
+
+@pytest.mark.parametrize("bytes_", [400, 1 << 24])
+def test_blocks_that_stay_cut_are_compared_by_their_texts(spark, monkeypatch, bytes_):
+    """Near copies on both sides of the threshold where every block gives a forest: the links are still all found."""
+    source = random.Random(13)
+    base, docs = words(source, 60), []
+    for i in range(120):
+        text = base[:]
+        for at in source.sample(range(60), source.randrange(1, 4)):
+            text[at] = "n%d" % source.randrange(10**6)
+        docs.append((i, " ".join(text)))
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", bytes_)
+    pairs, put, labels = jaccard._Block.pairs, Store.put, []
+    monkeypatch.setattr(jaccard._Block, "pairs", lambda self, most: None if most is not None else pairs(self, None))
+    monkeypatch.setattr(Store, "put", lambda self, df, label: (labels.append(label), put(self, df, label))[1])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == linked(docs) and labels.count("links") == 4
+
+
+def test_links_to_the_smallest_node_need_no_round(spark, monkeypatch):
+    put, labels = Store.put, []
+    monkeypatch.setattr(Store, "put", lambda self, df, label: (labels.append(label), put(self, df, label))[1])
+    links = spark.createDataFrame([(1, 5), (7, 1), (9, 2), (2, 2), (None, 4)], "a long, b long")
+    assert sorted(map(tuple, components(links, Store(spark)).collect())) == [(1, 1), (2, 2), (5, 1), (7, 1), (9, 2)]
+    assert labels == ["edges"]
+    assert components(links.limit(0), Store(spark)).count() == 0
