@@ -354,6 +354,13 @@ def _folded(parity: np.ndarray, width: int) -> np.ndarray:
     return parity.reshape(-1, min(width, len(parity))).sum(0) & 1
 
 
+def _parity(values: np.ndarray, band: int) -> np.ndarray:
+    """Whether the hashes in every cell of the band's sketch are odd in number."""
+    width = int(min(8192, max(256, 1 << int(10 * HIGH[band]).bit_length())))
+    cell = mix(values ^ np.uint64(0x5BD1E995)) & np.uint64(width - 1)
+    return np.bincount(cell.astype(np.int64), minlength=width) & 1
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Parity of the hashes in every cell: two sketches differ in at most as many bits as the sets.
 
@@ -367,9 +374,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values = _set_of(z, powers)
             band = int(np.searchsorted(LOW, len(values), side="right")) - 1
             for b in (band, band + 1):
-                width = int(min(8192, max(256, 1 << int(10 * HIGH[b]).bit_length())))
-                cell = mix(values ^ np.uint64(0x5BD1E995)) & np.uint64(width - 1)
-                parity = np.bincount(cell.astype(np.int64), minlength=width) & 1
+                parity = _parity(values, b)
                 keys.append(c)
                 bands.append(b)
                 sizes.append(len(values))
@@ -469,18 +474,6 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
             yield key, bounds[: done + 1], table.slice(0, bounds[done])
 
 
-def _members_of(key: np.ndarray, bounds: np.ndarray, table: pa.Table) -> Iterator[tuple[int, int, _Block]]:
-    """Bounds of every block in its table, and the block."""
-    # Columns become arrays once, since most blocks have few members.
-    side, _, group, n, bits = (column.combine_chunks() for column in table.columns[3:8])
-    side, n = side.to_numpy(), n.to_numpy().astype(np.int64)
-    group = group.dictionary_encode().indices.to_numpy()
-    data, at = text_bytes(bits)
-    for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
-        words = data[at[a] : at[b]].view(np.uint64).reshape(b - a, -1)
-        yield a, b, _Block(n[a:b], group[a:b], words, None if key[1, a] == key[2, a] else side[a:b])
-
-
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of different groups in a block of a signature that may be similar.
 
@@ -488,9 +481,15 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A block with more pairs than members gives a forest of them.
     """
     for key, bounds, table in _whole(batches):
-        c = table.column(4).combine_chunks()
+        # Columns become arrays once, since most blocks have few members.
+        side, c, group, n, bits = (column.combine_chunks() for column in table.columns[3:])
+        side, n = side.to_numpy(), n.to_numpy().astype(np.int64)
+        group = group.dictionary_encode().indices.to_numpy()
+        data, at = text_bytes(bits)
         whose, pairs, forests = [], [], []
-        for a, b, block in _members_of(key, bounds, table):
+        for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+            words = data[at[a] : at[b]].view(np.uint64).reshape(b - a, -1)
+            block = _Block(n[a:b], group[a:b], words, None if key[1, a] == key[2, a] else side[a:b])
             found = block.pairs(b - a - 1)
             forest = found is None
             if forest:
@@ -510,17 +509,24 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links ``(a, b)`` that join the groups of a block as all its links do, at most one less than members.
 
-    Rows are those of :func:`_across` with the compressed text behind them. Pairs of one group, or that
-    links have joined, are not compared again.
+    Rows are those of :func:`_across` with the compressed text for size and sketch. Pairs of one group,
+    or that links have joined, are not compared again.
     """
     powers = Powers()
     for key, bounds, table in _whole(batches):
-        c, z = (table.column(k).combine_chunks() for k in (4, 8))
+        side, c, group, z = (column.combine_chunks() for column in table.columns[3:])
+        side, every = side.to_numpy(), group.dictionary_encode().indices.to_numpy()
         links: list[tuple[bytes, bytes]] = []
-        for a, b, block in _members_of(key, bounds, table):
+        for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+            n, words = np.zeros(b - a, np.int64), []
+            for x in range(b - a):
+                values = _set_of(z[a + x].as_py(), powers)
+                n[x] = len(values)
+                words.append(np.packbits(_parity(values, int(key[0, a]) & 63).astype(bool)).view(np.uint64))
+            group = every[a:b].copy()
+            block = _Block(n, group, np.array(words), None if key[1, a] == key[2, a] else side[a:b])
             held: dict[int, np.ndarray] = {}
-            size, group = 0, block.group.copy()
-            block.group = group
+            size = 0
             for x in range(b - a - 1):
                 for y in [x, *block.near(x, np.arange(x + 1, b - a))[0].tolist()]:
                     if y != x and group[x] == group[y]:
@@ -605,14 +611,15 @@ def join(documents: DataFrame) -> DataFrame:
     store.drop(now)
     side = F.pmod(F.xxhash64("c"), "blocks").cast("int")
 
-    def in_blocks(rows: DataFrame, sketch: str) -> DataFrame:
-        """Rows ``(sig, side, other, c, g)`` with the sizes and sketches that a block compares, the other columns behind."""
-        first = ["sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "c", "g", "n", sketch]
-        behind = [name for name in rows.columns if name not in ("sig", "side", "other", "c", "g")]
-        return rows.withColumn("band", band).join(sketches.select("c", "band", "n", sketch), ["c", "band"]).select(*first, *behind)
+    block = ["sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")]
+
+    def in_blocks(rows: DataFrame, *held: str) -> DataFrame:
+        """Rows ``(sig, side, other, c, g)`` with what a block compares, block by block."""
+        return rows.select(*block, "side", "c", "g", *held).repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
 
-    def dealt(rows: DataFrame) -> DataFrame:
-        return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    def sketched(rows: DataFrame, sketch: str) -> DataFrame:
+        rows = rows.withColumn("band", band).join(sketches.select("c", "band", "n", sketch), ["c", "band"])
+        return store.put(in_blocks(rows, "n", sketch).mapInArrow(_across, _PAIR), "pairs")
 
     def regrouped(more: DataFrame) -> bool:
         """Put links between groups to them; False if there are none."""
@@ -641,21 +648,22 @@ def join(documents: DataFrame) -> DataFrame:
 
     edges = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     every = rest.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    pairs = store.put(dealt(in_blocks(every, "few")).mapInArrow(_across, _PAIR), "pairs")
+    pairs = sketched(every, "few")
     regrouped(linked(pairs.select("a", "b", band)))
     cut = cut_off(pairs)
     if not cut.isEmpty():
-        sharp = store.put(dealt(in_blocks(again(cut).drop("blocks"), "bits")).mapInArrow(_across, _PAIR), "pairs")
+        sharp = sketched(again(cut), "bits")
         regrouped(store.put(_check(sharp.select("a", "b").distinct(), chosen), "links"))
         if not sharp.where("forest").isEmpty() and not (cut := cut_off(sharp)).isEmpty():
             # Blocks whose texts are too large are cut finer: each side into parts.
-            rows = again(cut).join(chosen, "c")
-            one = ["sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")]
-            parts = rows.groupBy(*one).agg(F.ceil(F.sum(F.octet_length("z")) / BLOCK_BYTES).cast("int").alias("parts"))
-            rows = rows.select("*", *one[1:]).join(parts, ["sig", "i", "j"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            rows = store.put(again(cut), "again")
+            sizes = rows.join(chosen.select("c", F.octet_length("z").alias("size")), "c")
+            parts = sizes.groupBy(*block).agg(F.ceil(F.sum("size") / BLOCK_BYTES).cast("int").alias("parts"))
+            rows = rows.select("*", *block[1:]).join(parts, ["sig", "i", "j"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             own = F.floor(F.pmod(F.xxhash64("c"), F.col("blocks") * F.col("parts")) / F.col("blocks")).cast("int")
-            rows = rows.select("sig", (F.col("side") + F.col("blocks") * own).alias("side"), (F.col("other") + F.col("blocks") * F.col("part")).alias("other"), "c", "g", "z")
-            regrouped(store.put(dealt(in_blocks(rows, "bits")).mapInArrow(_joined, "a binary, b binary"), "links"))
+            mine, other = F.col("side") + F.col("blocks") * own, F.col("other") + F.col("blocks") * F.col("part")
+            rows = store.put(rows.select("sig", mine.alias("side"), other.alias("other"), "c", "g"), "again")
+            regrouped(store.put(in_blocks(rows.join(chosen, "c"), "z").mapInArrow(_joined, "a binary, b binary"), "links"))
     for table in (sketches, rest, pairs):
         store.drop(table)
 

@@ -414,7 +414,7 @@ def test_blocks_look_at_pairs_in_steps(seed, monkeypatch):
 
 
 def _near_rows(source, n, changes, two_sides):
-    """Rows of one block, near copies of a text: whole sketches and compressed texts, with the sets."""
+    """Rows of one block, near copies of a text, with their compressed texts and with their sketches; and the links."""
     import numpy as np
     import pyarrow as pa
     import zstandard
@@ -425,21 +425,17 @@ def _near_rows(source, n, changes, two_sides):
         for at in source.sample(range(100), source.randrange(changes + 1)):
             text[at] = "n%d" % source.randrange(10**6)
         packs.append(zstandard.ZstdCompressor().compress(" ".join(text).encode()))
-    names = [b"%03d" % i for i in range(n)]
-    (sketches,) = jaccard._sketch(iter([pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(packs, pa.binary())], names=["c", "z"])]))
-    of = {(r["c"], r["band"]): r for r in sketches.to_pylist()}
     sets = [jaccard._set_of(z, jaccard.Powers()) for z in packs]
     band = int(np.searchsorted(jaccard.LOW, 96, side="right")) - 1
-    kept = [i for i in range(n) if (names[i], band) in of]
-    side = [source.randrange(2) for _ in kept]
-    group = [b"%d" % source.randrange(len(kept)) for _ in kept]
-    rows = pa.RecordBatch.from_arrays([
-        pa.array([5] * len(kept), pa.int64()), pa.array([0] * len(kept), pa.int32()), pa.array([int(two_sides)] * len(kept), pa.int32()), pa.array(side, pa.int32()),
-        pa.array([names[i] for i in kept], pa.binary()), pa.array(group, pa.binary()), pa.array([of[names[i], band]["n"] for i in kept], pa.int32()),
-        pa.array([of[names[i], band]["bits"] for i in kept], pa.binary()), pa.array([packs[i] for i in kept], pa.binary()),
-    ], names=["sig", "i", "j", "side", "c", "g", "n", "bits", "z"])
-    links = [(x, y) for x in range(len(kept)) for y in range(x) if (side[x] != side[y] or not two_sides) and jaccard._link(sets[kept[x]], sets[kept[y]])]
-    return rows, links
+    side, names = [source.randrange(2) for _ in range(n)], [b"%03d" % i for i in range(n)]
+    keys = [pa.array([k] * n, t) for k, t in ((64 + band, pa.int64()), (0, pa.int32()), (int(two_sides), pa.int32()))]
+    keys += [pa.array(side, pa.int32()), pa.array(names, pa.binary()), pa.array([b"%d" % source.randrange(n) for _ in range(n)], pa.binary())]
+    bits = [np.packbits(jaccard._parity(s, band).astype(bool)).tobytes() for s in sets]
+    columns = ["sig", "i", "j", "side", "c", "g"]
+    texts = pa.RecordBatch.from_arrays([*keys, pa.array(packs, pa.binary())], names=[*columns, "z"])
+    sketches = pa.RecordBatch.from_arrays([*keys, pa.array([len(s) for s in sets], pa.int32()), pa.array(bits, pa.binary())], names=[*columns, "n", "bits"])
+    links = [(x, y) for x in range(n) for y in range(x) if (side[x] != side[y] or not two_sides) and jaccard._link(sets[x], sets[y])]
+    return texts, sketches, links
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -447,7 +443,7 @@ def test_blocks_of_texts_give_fewer_links_than_members(seed, monkeypatch):
     """They join what all links of the block join, in however few bytes; and so does no step give all pairs."""
     import numpy as np
 
-    rows, links = _near_rows(random.Random(seed), 60, (2, 4, 7)[seed % 3], seed % 2 == 1)
+    rows, sketches, links = _near_rows(random.Random(seed), 60, (2, 4, 7)[seed % 3], seed % 2 == 1)
     names = rows.column(4).to_pylist()
     block = jaccard._Block(np.zeros(60), rows.column(5).dictionary_encode().indices.to_numpy(), None, None)
     for held in (1, 1 << 24):
@@ -456,7 +452,7 @@ def test_blocks_of_texts_give_fewer_links_than_members(seed, monkeypatch):
         assert set(map(tuple, map(sorted, got))) <= set(map(tuple, map(sorted, links))) and len(got) < len(names)
         assert _united(block, got) == _united(block, links)
     assert len(links) > len(names)
-    assert sum(out.num_rows for out in jaccard._across(iter([rows]))) < len(names)
+    assert sum(out.num_rows for out in jaccard._across(iter([sketches]))) < len(names)
 
 
 @pytest.mark.parametrize("bytes_", [400, 1 << 24])
