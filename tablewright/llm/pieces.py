@@ -26,8 +26,9 @@ MARK, LITERAL = 0x2581, 0x110000
 BYTE_PENALTY = 10.0
 # Longer words go through the stream one by one; shorter ones side by side, with the same ids.
 SIDE_BY_SIDE = 256
-# Bytes of text at once: words that are new in them are segmented together.
-CHUNK = 2 << 20
+# Bytes of text at once: words that are new in them are segmented together. What a task holds for
+# them is many times as large.
+CHUNK = 1 << 19
 # Words whose ids a task remembers between chunks; beyond that it starts anew.
 REMEMBERED = 1_000_000
 
@@ -212,25 +213,42 @@ class Encoder:
         return out, total[np.searchsorted(starts, rows)]
 
     def _forget(self) -> None:
-        self.seen = np.empty(0, np.uint64)  # sorted hashes of words, and where their ids are in the pool
-        self.begin = self.count = np.empty(0, np.int64)
-        self.pool = np.empty(0, np.int32)
+        # Sorted hashes of words, where their ids are in the pool and how many; a run has at most
+        # half the words of the one before.
+        self.seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.pool, self.used = np.empty(0, np.int32), 0
+
+    def _remember(self, keys: np.ndarray, begin: np.ndarray, count: np.ndarray) -> None:
+        """Another run of words; runs that it outgrows become one with it, so a word is moved few times."""
+        while self.seen and len(self.seen[-1][0]) < 2 * len(keys):
+            old = self.seen.pop()
+            place = np.searchsorted(old[0], keys)
+            keys, begin, count = (np.insert(a, place, b) for a, b in zip(old, (keys, begin, count)))
+        self.seen.append((keys, begin, count))
+
+    def _keep(self, ids: np.ndarray) -> int:
+        """Put ids into the pool, which has room to grow; where they begin there."""
+        at, self.used = self.used, self.used + len(ids)
+        if self.used > len(self.pool):
+            pool = np.empty(self.used + (self.used >> 2), np.int32)
+            pool[:at] = self.pool[:at]
+            self.pool = pool
+        self.pool[at : self.used] = ids
+        return at
 
     def _known(self, keys: np.ndarray, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of distinct words are in the pool; words not seen before are segmented."""
-        if len(self.seen) > REMEMBERED:
+        if sum(len(run[0]) for run in self.seen) > REMEMBERED:
             self._forget()
-        near = np.searchsorted(self.seen, keys)
-        old = np.zeros(len(keys), bool)
-        old[near < len(self.seen)] = self.seen[near[near < len(self.seen)]] == keys[near < len(self.seen)]
-        new = ~old
-        begin, count = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
-        begin[old], count[old] = self.begin[near[old]], self.count[near[old]]
-        ids, at = self._words(chars, starts[new], ends[new])
-        begin[new], count[new] = at[:-1] + len(self.pool), np.diff(at)
-        self.pool = np.concatenate([self.pool, ids])
-        place = near[new]
-        self.seen, self.begin, self.count = (np.insert(a, place, b) for a, b in ((self.seen, keys[new]), (self.begin, begin[new]), (self.count, count[new])))
+        begin, count, new = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64), np.ones(len(keys), bool)
+        for seen, at, number in self.seen:
+            near = np.minimum(np.searchsorted(seen, keys), len(seen) - 1)
+            old = np.flatnonzero(seen[near] == keys)
+            begin[old], count[old], new[old] = at[near[old]], number[near[old]], False
+        if new.any():
+            ids, at = self._words(chars, starts[new], ends[new])
+            begin[new], count[new] = at[:-1] + self._keep(ids), np.diff(at)
+            self._remember(keys[new], begin[new], count[new])
         return begin, count
 
     def _words(self, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

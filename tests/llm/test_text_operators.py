@@ -3,6 +3,7 @@
 import hashlib
 import random
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -64,6 +65,25 @@ def test_stream_commits_early_and_agrees(vocabulary):
     assert out + stream.finish() == ids.tolist()
 
 
+def test_encoder_memory_and_forgotten_words(vocabulary, monkeypatch):
+    words = [f"w{i * 7919 % 100_003}" for i in range(400_000)]
+    texts = pa.array([" ".join(words[i : i + 200]) for i in range(0, len(words), 200)])
+    whole = pa.RecordBatch.from_arrays([texts], names=["text"])
+
+    def run(limit):
+        encoder = pieces.Encoder(vocabulary)
+        return np.concatenate([encoder.encode(part.column(0))[0] for part in pieces.chunks([whole], 0, limit)])
+
+    tracemalloc.start()
+    ids = run(pieces.CHUNK)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 140 << 20
+    # Smaller steps, and a memory that starts anew many times, give the same ids.
+    monkeypatch.setattr(pieces, "REMEMBERED", 5_000)
+    assert np.array_equal(run(1 << 15), ids)
+
+
 def test_fingerprints(spark):
     source = random.Random(3)
     words = lambda n: " ".join("".join(source.choices("abcdefgh", k=5)) for _ in range(n))
