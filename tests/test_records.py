@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tablewright.plans import games, jobs
 from tablewright.session import session_settings
-from tablewright.sources import records
+from tablewright.sources import manifest, records
 from tablewright.sources.csv import Quarantine, UnreadableError, read_csv_text
 from tablewright.sources.manifest import file_digests, file_manifest
 from test_jobs import NAMES, game, write_games
@@ -159,6 +159,19 @@ def test_digests_of_any_bytes(spark, tmp_path):
     assert file_digests(spark, f"{tmp_path}/none").collect() == []
 
 
+def test_large_files_go_from_task_to_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(manifest, "PART_BYTES", 50_000)
+    files = {
+        "a [b]{c}*+%20.csv": bytes(random.Random(1).randrange(256) for _ in range(130_000)), "long.csv": b"y" * 120_000 + b"\nz\n",
+        "mark.csv": b"\xef\xbb\xbf" + b"1,2\r\n" * 20_000, "breaks.csv": b"\n" * 100_001, "edge.csv": b"x" * 49_999 + b"\n" + b"z" * 50_000,
+        "even.csv": b"123456789\n" * 10_000, "as large.csv": b"1\n" * 25_000, "small.csv": b"x",
+    }
+    for name, data in files.items():
+        write(f"{tmp_path}/in/part=1/{name}", data)
+    rows = file_digests(spark, f"{tmp_path}/in").collect()
+    assert {r["path"].split("/")[-1]: (r["bytes"], r["md5"]) for r in rows} == {n: (len(d), hashlib.md5(d).hexdigest()) for n, d in files.items()}
+
+
 def test_a_file_is_one_stream_of_batches(spark, tmp_path, monkeypatch):
     """No task holds a file: its lines come in batches, and every task has one file."""
     for i in range(3):
