@@ -26,6 +26,12 @@ def row_width(df: DataFrame) -> Column:
     return width.cast("long")
 
 
+def expected_bytes(schema: T.StructType, rows: int, text_bytes: int) -> int:
+    """:func:`row_width` of ``rows`` rows that are still text; its ``text_bytes`` count in full."""
+    wide = sum(8 if isinstance(f.dataType, (T.StringType, T.BinaryType)) else 16 for f in schema.fields)
+    return rows * (_ROW_OVERHEAD + wide) + text_bytes
+
+
 def measured_bytes(df: DataFrame) -> tuple[int, int]:
     """Rows of ``df`` and an estimate of their size in memory, from one aggregate."""
     row = df.agg(F.count("*").alias("n"), F.sum(row_width(df)).alias("b")).first()

@@ -14,7 +14,7 @@ from tablewright.functions import (
     is_not_sentinel,
     weighted_gap,
 )
-from tablewright.operators.clean import distinct_rows, distinct_rows_in_buckets, normalise
+from tablewright.operators.clean import distinct_rows, normalise
 from tablewright.operators.enrich import enrich
 from tablewright.operators.rollup import Rollup, count_true, mean, row_count, stddev
 from tablewright.sinks.contracts import Contract, Field
@@ -61,18 +61,9 @@ TEXT_COLUMNS = ("game", "provider", "game_type", "volatility")
 NUMBER_COLUMNS = ("rtp", "min_bet", "max_win", "max_multiplier")
 
 
-def _normalised(raw: DataFrame) -> DataFrame:
-    return normalise(raw, TEXT_COLUMNS, NUMBER_COLUMNS, {"jackpot": NO_JACKPOT}, {"max_multiplier": 0.0})
-
-
 def clean_games(raw: DataFrame) -> DataFrame:
     """Normalised rows without copies."""
-    return distinct_rows(_normalised(raw))
-
-
-def clean_games_in_buckets(raw: DataFrame) -> DataFrame:
-    """:func:`clean_games` for jobs: the normalised rows are written here, and ``raw`` is read once."""
-    return distinct_rows_in_buckets(_normalised(raw))
+    return distinct_rows(normalise(raw, TEXT_COLUMNS, NUMBER_COLUMNS, {"jackpot": NO_JACKPOT}, {"max_multiplier": 0.0}))
 
 
 def add_features(clean: DataFrame) -> DataFrame:

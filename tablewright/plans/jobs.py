@@ -15,12 +15,14 @@ from tablewright.operators.kmeans import fit_kmeans
 from tablewright.operators.ordering import top_k
 from tablewright.operators.quality import fingerprint, key_violations, profile, row_counts, same_rows
 from tablewright.operators.rollup import rollups_in_one_pass
+from tablewright.operators.sizing import expected_bytes
 from tablewright.plans import games
 from tablewright.session import materialise, scratch_tables, sized_shuffles
 from tablewright.sinks.contracts import apply_contract
 from tablewright.sinks.files import export_counted, export_csv, write_all, write_jdbc, write_json, write_parquet
 from tablewright.sources.csv import EMPTY_ONLY, PANDAS_TOKENS, Quarantine, UnreadableError, read_csv_text, text_profile, typed
 from tablewright.sources.manifest import file_manifest, folder_bytes
+from tablewright.sources.records import measured_lines
 from tablewright.sources.tables import JdbcServer
 from tablewright.streaming import (
     BATCH,
@@ -107,17 +109,22 @@ def batch(spark: SparkSession, source: str, layout: Layout,
           on_unreadable: str = "fail", glob: str = "*.csv") -> dict[str, DataFrame]:
     """Clean, derive, roll up and enrich; writes the processed and the curated tables.
 
-    The raw files, those that fit ``glob``, are read once. The feature table is written before it is used, since the
+    The raw files, those that fit ``glob``, are parsed once, after a pass over their lines that tells
+    how much text they hold: tasks and shuffle are cut for it, also of compressed files. The feature table is written before it is used, since the
     rollups, the statistics and the join all read it. Values that do not fit their column are
     written to ``curated/rejected``; ``on_unreadable`` as in :func:`load_raw`, and with ``fail``
     nothing else is written.
     """
     names = games.RAW_SCHEMA.fieldNames()
     with scratch_tables(spark):
-        with sized_shuffles(spark, folder_bytes(spark, source, glob)):
-            text = read_csv_text(spark, source, names, glob, multi_line=None)
+        files = folder_bytes(spark, source, glob)
+        with sized_shuffles(spark, files):
+            lines = measured_lines(spark, source, glob)
+        in_memory = expected_bytes(games.RAW_SCHEMA, lines.rows, lines.bytes)
+        with sized_shuffles(spark, in_memory, unpacked=max(1, lines.bytes / max(1, files))):
+            text = read_csv_text(spark, source, names, glob, multi_line=lines.breaks)
             checked = Quarantine(text, games.RAW_SCHEMA, EMPTY_ONLY, on_unreadable)
-            features = materialise(games.add_features(games.clean_games_in_buckets(checked.rows)), "features")
+            features = materialise(games.add_features(games.clean_games(checked.rows)), "features")
             checked.settle(layout.path("curated", "rejected"))
         write_all(rollups_in_one_pass(features, games.ROLLUPS), layout.path("curated"))
         processed = layout.path("processed")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -79,18 +81,26 @@ def typed(df: DataFrame, schema: T.StructType,
     return df.withColumns({field.name: _typed_column(field, null_tokens) for field in schema.fields})
 
 
+def _unfit(field: T.StructField, null_tokens: Sequence[str], value: Column) -> Column:
+    """True if there is text in the column and ``value``, the same in the column's type, is null."""
+    return null_tokens_to_null(field.name, null_tokens).isNotNull() & value.isNull()
+
+
+def _parsed_fields(schema: T.StructType) -> list[T.StructField]:
+    return [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+
+
 def unreadable(schema: T.StructType, null_tokens: Sequence[str] = EMPTY_ONLY) -> Column:
     """Of a row of text columns, an array of the ``(column, text)`` that do not fit their types."""
+    none = F.array().cast("array<struct<column: string, text: string>>")
     cells = [
         F.when(
-            null_tokens_to_null(field.name, null_tokens).isNotNull() & _typed_column(field, null_tokens).isNull(),
-            F.struct(F.lit(field.name).alias("column"), F.col(field.name).alias("text")),
-        )
-        for field in schema.fields if not isinstance(field.dataType, T.StringType)
+            _unfit(field, null_tokens, _typed_column(field, null_tokens)),
+            F.array(F.struct(F.lit(field.name).alias("column"), F.col(field.name).alias("text"))),
+        ).otherwise(none)
+        for field in _parsed_fields(schema)
     ]
-    if not cells:
-        return F.array().cast("array<struct<column: string, text: string>>")
-    return F.array_compact(F.array(*cells))
+    return F.concat(none, *cells)
 
 
 def text_profile(landed: DataFrame, schema: T.StructType,
@@ -132,7 +142,8 @@ class Quarantine:
     """Typed rows of a CSV source, and an account of those with values that do not fit.
 
     ``rows`` has the columns of ``schema``. The action that writes them also counts the rows with
-    unreadable values, so a clean source is read once; :meth:`settle` is called after it.
+    unreadable values, so a clean source is read once; :meth:`settle` is called after it. Every
+    value is parsed once there; which of a row's values do not fit is asked only after it.
     ``on_unreadable``: ``fail`` and ``quarantine`` leave such rows out of ``rows``, ``null`` keeps
     them with nulls.
     """
@@ -141,19 +152,23 @@ class Quarantine:
                  null_tokens: Sequence[str] = EMPTY_ONLY, on_unreadable: str = "fail") -> None:
         if on_unreadable not in ("fail", "quarantine", "null"):
             raise ValueError(f"on_unreadable: {on_unreadable}")
-        names = schema.fieldNames()
         self.on_unreadable, self.seen = on_unreadable, Observation()
-        self.cells = text.withColumn("__cells", unreadable(schema, null_tokens))
-        self.names = names
-        watched = self.cells.observe(self.seen, F.count_if(F.size("__cells") > 0).alias("rejected"))
+        self.text, self.schema, self.null_tokens = text, schema, null_tokens
+        self.names = schema.fieldNames()
+        place = {f.name: f"__typed_{i}" for i, f in enumerate(schema.fields)}
+        values = text.withColumns({place[f.name]: _typed_column(f, null_tokens) for f in schema.fields})
+        unfit = [_unfit(f, null_tokens, F.col(place[f.name])) for f in _parsed_fields(schema)]
+        marked = values.withColumn("__rejected", reduce(or_, unfit, F.lit(False)))
+        watched = marked.observe(self.seen, F.count_if("__rejected").alias("rejected"))
         if on_unreadable != "null":
-            watched = watched.where(F.size("__cells") == 0)
-        self.rows = typed(watched, schema, null_tokens).select(*names)
+            watched = watched.where(~F.col("__rejected"))
+        self.rows = watched.select(*[F.col(place[n]).alias(n) for n in self.names])
 
     def rejected(self) -> DataFrame:
         """One row per unreadable value: ``source_file, source_path, column, text`` and the ``row`` as JSON."""
         row = F.to_json(F.struct(*self.names), {"ignoreNullFields": "false"})
-        return self.cells.where(F.size("__cells") > 0).select(
+        cells = self.text.withColumn("__cells", unreadable(self.schema, self.null_tokens))
+        return cells.where(F.size("__cells") > 0).select(
             "source_file", "source_path", F.explode("__cells").alias("cell"), row.alias("row")
         ).select("source_file", "source_path", "cell.column", "cell.text", "row")
 

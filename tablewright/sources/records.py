@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,31 @@ def read_lines(spark: SparkSession, path: str | list[str], glob: str = "*.csv")
     return lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
 
 
+def _odd_quotes() -> Column:
+    """True if a line has an odd number of quotes; they are counted in lines that have any."""
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    return F.contains(F.col("line"), F.lit('"')) & (quotes % 2 == 1)
+
+
 def has_line_breaks(spark: SparkSession, path: str | list[str], glob: str = "*.csv") -> bool:
     """True if a line has an odd number of quotes: a value goes on in the next line."""
-    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
-    return not read_lines(spark, path, glob).where(quotes % 2 == 1).isEmpty()
+    return not read_lines(spark, path, glob).where(_odd_quotes()).isEmpty()
+
+
+class Lines(NamedTuple):
+    """Lines of the files, their bytes, and whether values go on in the next line."""
+
+    rows: int
+    bytes: int
+    breaks: bool
+
+
+def measured_lines(spark: SparkSession, path: str | list[str], glob: str = "*.csv") -> Lines:
+    """:func:`has_line_breaks` that also tells how much text there is, which sizes of compressed files do not."""
+    found = read_lines(spark, path, glob).agg(
+        F.count("*").alias("rows"), F.sum(F.octet_length("line")).alias("bytes"), F.count_if(_odd_quotes()).alias("odd")
+    ).first()
+    return Lines(found["rows"], found["bytes"] or 0, found["odd"] > 0)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.RecordBatch]]:

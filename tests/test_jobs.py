@@ -202,3 +202,28 @@ def test_input_of_the_jobs_is_compressed(spark, tmp_path, folder):
     names = games.RAW_SCHEMA.fieldNames()
     one, other = (sorted(map(tuple, read_csv_text(spark, *a).select(*names).collect()), key=str) for a in ((source, names, preset.PACKED), (plain, names)))
     assert one == other
+
+
+def test_batch_writes_rows_once_before_the_features(spark, tmp_path, monkeypatch):
+    """The rows go from the files to the feature table by one shuffle, cut for the text of compressed files."""
+    write_games(f"{tmp_path}/plain/games.csv", [game(game=f"G{i % 400}") for i in range(2000)])
+    read = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/plain")
+    export_csv(read, f"{tmp_path}/packed", rows_per_file=500, compression="gzip")
+    labels, sizes, kept, sized = [], [], jobs.materialise, jobs.sized_shuffles
+    monkeypatch.setattr(jobs, "materialise", lambda df, label: (labels.append((label, df._jdf.queryExecution().executedPlan().toString())), kept(df, label))[1])
+    monkeypatch.setattr(jobs, "sized_shuffles", lambda spark, size, **more: (sizes.append((size, more)), sized(spark, size, **more))[1])
+    tables = jobs.batch(spark, f"{tmp_path}/packed", jobs.Layout(f"{tmp_path}/out"), glob="*.csv.gz")
+    assert [label for label, _ in labels] == ["features"] and "Scan csv" in labels[0][1]
+    assert tables["processed"].count() == 400
+    (files, _), (in_memory, more) = sizes
+    text = os.path.getsize(f"{tmp_path}/plain/games.csv")
+    assert files < text < in_memory and more["unpacked"] > 3
+
+
+def test_fast_gzip_holds_the_same_rows(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("id", "md5(CAST(id % 300 AS string)) AS word")
+    for fast in (False, True):
+        export_csv(rows, f"{tmp_path}/{fast}", compression="gzip", fast=fast)
+        back = spark.read.schema("id long, word string").csv(f"{tmp_path}/{fast}", header=True)
+        assert back.count() == 20_000 and back.exceptAll(rows).isEmpty()
+    assert folder_bytes(spark, f"{tmp_path}/True", "*.csv.gz") > folder_bytes(spark, f"{tmp_path}/False", "*.csv.gz")

@@ -3,6 +3,7 @@
 import csv
 import hashlib
 import io
+import json
 import os
 import random
 
@@ -180,3 +181,29 @@ def test_a_file_is_one_stream_of_batches(spark, tmp_path, monkeypatch):
     rows = file_digests(spark, f"{tmp_path}/in").collect()
     assert spark.conf.get(SPLIT) == before
     assert {r["md5"] for r in rows} == {hashlib.md5(b"%d,0123456789\n" % i * 100_000).hexdigest() for i in range(3)}
+
+
+def test_rejected_flag_and_cells_agree(spark, tmp_path):
+    """Each value is parsed once in the pass that counts, and no array is made of a row's cells there."""
+    write(f"{tmp_path}/in/a.csv", DIRTY)
+    text = read_csv_text(spark, f"{tmp_path}/in", SCHEMA.fieldNames())
+    checked = Quarantine(text, SCHEMA, ("NA", "null", ""), "quarantine")
+    plan = checked.rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("try_cast") == 3 and "struct(column" not in plan and "filter(" not in plan
+    kept, cells = {r["s"] for r in checked.rows.collect()}, checked.rejected().collect()
+    assert kept == {"ok", None, "fine"}
+    assert {json.loads(r["row"])["s"] for r in cells} == {"bad", "last"} and len(cells) == 4
+    words = T.StructType([T.StructField(c, T.StringType()) for c in SCHEMA.fieldNames()])
+    only_text = Quarantine(text, words)
+    assert only_text.rows.count() == 5 and only_text.rejected().collect() == []
+
+
+def test_measured_lines(spark, tmp_path):
+    write(f"{tmp_path}/in/a.csv", quoted([("a", "b"), ("1", 'x ""')]))
+    size = os.path.getsize(f"{tmp_path}/in/a.csv")
+    assert records.measured_lines(spark, f"{tmp_path}/in") == (2, size - 2, False)
+    write(f"{tmp_path}/in/b.csv", quoted([("a", "b"), ("2", "é\ny")]))
+    size += os.path.getsize(f"{tmp_path}/in/b.csv")
+    assert records.measured_lines(spark, f"{tmp_path}/in") == (5, size - 5, True)
+    os.makedirs(f"{tmp_path}/none")
+    assert records.measured_lines(spark, f"{tmp_path}/none") == (0, 0, False)
